@@ -257,10 +257,9 @@ def _(v: Views) -> DataFrame:
 
 @query(
     "byte_entropy",
-    """select object_id, cast(sum(n) as bigint) as size, round(-sum(n / size * log2(n / size)), 6) + 0.0 as entropy
-       from (select object_id, size, b, cast(count(*) as double) as n from (select object_id, size,
-         unnest(list_transform(range(size), lambda i: substr(h, i*2+1, 2))) as b from (select object_id, size, hex(content) as h from objects))
-       group by 1, 2, 3) group by object_id""",
+    """select object_id, cast(sum(n) as bigint) as size, round(log2(sum(n)) - sum(n * log2(n)) / sum(n), 6) as entropy
+       from (select object_id, b, cast(count(*) as double) as n from (select object_id, substr(h, cast(i*2+1 as bigint), 2) as b
+         from (select object_id, hex(bytes) as h, unnest(range("end"-"start")) as i from parts)) group by 1, 2) group by object_id""",
 )
 def _(v: Views) -> DataFrame:
     return integrity.byte_entropy(v.objects())

@@ -38,6 +38,14 @@ SIZE_TEXTS = [
 SIZE_UNITS = ["", "K", " M", "Gi", " kilo", "k ", "kibi", "MB", "T", "  mega  "]
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few fixed rows made in the JVM."""
+    made = spark.range(1, numPartitions=1).select(F.inline(F.array(*[F.struct(*map(F.lit, r)) for r in rows])))
+    names = [field.split()[0] for field in schema.split(",")]
+    types = [field.split()[1] for field in schema.split(",")]
+    return made.toDF(*names).select(*[F.col(n).cast(t) for n, t in zip(names, types)])
+
+
 class Views:
     """Views of one scale factor; each is built when it is asked for."""
 
@@ -159,7 +167,7 @@ class Views:
     def locations(self) -> DataFrame:
         pages = self.table("pages").select(F.col("page_id").alias("id"), F.col("url").alias("raw"))
         objects = self.manifest().select("object_id", F.concat(F.lit("s3://"), "bucket", F.lit("/"), "key"))
-        fixed = self.spark.createDataFrame(LOCATIONS, "id bigint, raw string")
+        fixed = local_rows(self.spark, LOCATIONS, "id bigint, raw string")
         return pages.union(objects).union(fixed)
 
     def size_texts(self) -> DataFrame:
@@ -170,7 +178,7 @@ class Views:
                 F.element_at(units, (F.col("l_suppkey") % len(SIZE_UNITS) + 1).cast("int")),
             ).alias("raw")
         )
-        return made.union(self.spark.createDataFrame([(t,) for t in SIZE_TEXTS], "raw string"))
+        return made.union(local_rows(self.spark, [(t,) for t in SIZE_TEXTS], "raw string"))
 
     def attempts(self) -> DataFrame:
         return attempts(self.table("events"))
@@ -207,7 +215,7 @@ class Views:
         )
 
     def key_table(self) -> DataFrame:
-        return self.spark.createDataFrame(KEYS, "key_id string, key_text string, is_master boolean")
+        return local_rows(self.spark, KEYS, "key_id string, key_text string, is_master boolean")
 
     def keyed_objects(self) -> DataFrame:
         """objects with the key each is stored under; one in four has none."""

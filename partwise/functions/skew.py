@@ -16,6 +16,14 @@ from partwise.limits import BLOCK_BITS
 
 SALTS = 16
 
+# Rows of narrow tables that are broadcast without harm: some ten megabytes.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """df to be broadcast where the counted rows allow it, else left to a shuffle join."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
 
 def block_of(part_num: Column) -> Column:
     """Number of the block a part is in, as BIGINT."""
@@ -40,15 +48,22 @@ def salted_join(
 
 
 def join_by_block(
-    parts: DataFrame, objects: DataFrame, n_parts: Column, how: str = "inner", key: str = "object_id"
+    parts: DataFrame,
+    objects: DataFrame,
+    n_parts: Column,
+    how: str = "inner",
+    key: str = "object_id",
+    rows: int | None = None,
 ) -> DataFrame:
     """Join part rows to object rows; objects are repeated once for each block of their parts.
 
     n_parts is the number of parts the object may have; with inner and left_semi joins, parts past
-    the last block have no partner.
+    the last block have no partner. rows is the number of blocks in all, where it was counted.
     """
     last = block_of(F.greatest(n_parts, F.lit(1)) - 1)
     blocks = objects.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    if rows is not None:
+        blocks = broadcast_if_small(blocks, rows)
     return (
         parts.withColumn("_block", block_of(F.col("part_num")))
         .join(blocks, [key, "_block"], how)

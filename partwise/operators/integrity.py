@@ -82,10 +82,12 @@ def _fold(ordered: DataFrame, algo: str, value: str) -> DataFrame:
     ordered holds all rows of an object in one partition, next to each other and in order.
     """
 
+    names = ["object_id", "digest"]
+
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, state = None, None
+        current, state, id_type = None, None, pa.int64()
         for batch in batches:
-            done_ids, done = [], []
+            done_ids, done, id_type = [], [], batch.column(0).type
             for object_id, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if state is None or object_id != current:
                     if state is not None:
@@ -95,13 +97,12 @@ def _fold(ordered: DataFrame, algo: str, value: str) -> DataFrame:
                 if data.is_valid:
                     state.update(data.as_buffer())
             if done:
-                yield pa.RecordBatch.from_arrays([pa.array(done_ids, pa.int64()), pa.array(done)], ["object_id", "digest"])
+                yield pa.RecordBatch.from_arrays([pa.array(done_ids, id_type), pa.array(done)], names)
         if state is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([current], pa.int64()), pa.array([state.hexdigest()])], ["object_id", "digest"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([current], id_type), pa.array([state.hexdigest()])], names)
 
-    return ordered.select("object_id", value).mapInArrow(fold, "object_id bigint, digest string")
+    id_type = ordered.schema["object_id"].dataType.simpleString()
+    return ordered.select("object_id", value).mapInArrow(fold, f"object_id {id_type}, digest string")
 
 
 def object_digests(df: DataFrame, algo: str = "md5") -> DataFrame:
@@ -117,8 +118,10 @@ def object_digests(df: DataFrame, algo: str = "md5") -> DataFrame:
         if algo in _BUILTIN:
             return df.select("object_id", digest(F.col("content"), algo).alias("digest"))
         return _fold(df, algo, "content")
-    ordered = df.select("object_id", "part_num", "bytes").repartition("object_id")
-    return _fold(ordered.sortWithinPartitions("object_id", "part_num"), algo, "bytes")
+    # A part longer than a cell is several rows, see fetch_parts.
+    order = ["part_num", "offset"] if "offset" in df.columns else ["part_num"]
+    ordered = df.select("object_id", *order, "bytes").repartition("object_id")
+    return _fold(ordered.sortWithinPartitions("object_id", *order), algo, "bytes")
 
 
 def composite_etags(part_digests: DataFrame) -> DataFrame:

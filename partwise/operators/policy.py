@@ -27,15 +27,18 @@ def _fail(error_class: str) -> Column:
     return F.lit(f"{FAIL}:{error_class}")
 
 
-def apply_exists_policy(requests: DataFrame, dest: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """(key, action, error_class, exit_code): is the destination there, readable, and what then?
+def apply_exists_policy(
+    requests: DataFrame, dest: DataFrame, on: tuple[str, ...] = ("object_id",)
+) -> DataFrame:
+    """(object_id, action, error_class, exit_code): is the destination there, readable, what then?
 
-    requests holds key, exists and key_id, dest holds key and key_id, at most one row for each
-    key. A destination under another key cannot be read, whatever the policy.
+    requests holds object_id, on, exists and key_id; dest holds on and key_id, at most one row for
+    each destination. One stored under another key cannot be read, whatever the policy.
     """
-    keys = key or ["object_id"]
+    keys = list(on)
     there = dest.select(*keys, F.struct("key_id").alias("_dest"))
-    found = requests.join(there, keys, "left")
+    asked = requests.select(*{"object_id": 0, **dict.fromkeys(keys)}, "exists", "key_id")
+    found = asked.join(there, keys, "left")
     decision = (
         F.when(F.col("_dest").isNull(), CONTINUE)
         .when(~F.col("_dest.key_id").eqNullSafe(F.col("key_id")), _fail("InvalidEncryptionKey"))
@@ -44,7 +47,7 @@ def apply_exists_policy(requests: DataFrame, dest: DataFrame, key: list[str] | N
         .when(F.col("exists").isNull(), _fail("ObjectExists"))
         .otherwise(_fail("UserError"))
     )
-    return _decisions(found, decision, keys)
+    return _decisions(found, decision, ["object_id"])
 
 
 def resolve_pending(requests: DataFrame, pending: DataFrame, completed: DataFrame) -> DataFrame:
@@ -55,14 +58,16 @@ def resolve_pending(requests: DataFrame, pending: DataFrame, completed: DataFram
     """
     guessed = guess_part_size(completed)
     state = (
-        pending.join(guessed, "upload_id", "left")
+        pending.select("upload_id", "bucket", "key")
+        .join(guessed, "upload_id", "left")
         .groupBy("bucket", "key")
         .agg(
             F.count("*").alias("_n"),
             F.min(F.struct("upload_id", F.col("part_size").alias("size"), "ambiguous")).alias("_up"),
         )
     )
-    found = requests.join(state, ["bucket", "key"], "left")
+    asked = requests.select("object_id", "bucket", "key", "resume_mode", "part_size")
+    found = asked.join(state, ["bucket", "key"], "left")
     mode, one = F.col("resume_mode"), F.col("_n") == 1
     decision = (
         F.when(mode.isNotNull() & ~mode.isin("resume", "force"), _fail("UserError"))
@@ -86,10 +91,14 @@ def resolve_pending(requests: DataFrame, pending: DataFrame, completed: DataFram
 
 
 def upload_decisions(
-    requests: DataFrame, dest: DataFrame, pending: DataFrame, completed: DataFrame
+    requests: DataFrame,
+    dest: DataFrame,
+    pending: DataFrame,
+    completed: DataFrame,
+    on: tuple[str, ...] = ("object_id",),
 ) -> DataFrame:
     """Destination first, unfinished uploads only where that does not end the request."""
-    first = apply_exists_policy(requests, dest)
+    first = apply_exists_policy(requests, dest, on)
     second = resolve_pending(requests, pending, completed)
     go_on = F.col("first.action") == CONTINUE
     return (
@@ -145,7 +154,8 @@ def apply_file_exists_policy(
     requests holds file_exists, download_exists and part_size; objects the current etag.
     """
     found = (
-        requests.join(dest.select("object_id", F.lit(True).alias("_there")), "object_id", "left")
+        requests.select("object_id", "file_exists", "download_exists", "part_size")
+        .join(dest.select("object_id", F.lit(True).alias("_there")), "object_id", "left")
         .join(progress_headers(progress), "object_id", "left")
         .join(objects.select("object_id", "etag"), "object_id", "left")
     )

@@ -121,16 +121,13 @@ def completion_list(parts: DataFrame, page: int = COMPLETION_PAGE) -> DataFrame:
     )
 
 
-def merge_completed(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Parts of the resumed upload and new ones, one row for each slot.
+def unique_parts(parts: DataFrame) -> DataFrame:
+    """(upload_id, part_num, size, etag, reject_reason), one row for each slot.
 
     A slot that came more than once is one row with reject_reason.
     """
-    columns = ["upload_id", "part_num", "size", "etag"]
     return (
-        old.select(*columns)
-        .unionByName(new.select(*columns))
-        .groupBy("upload_id", "part_num")
+        parts.groupBy("upload_id", "part_num")
         .agg(F.count("*").alias("_n"), F.min(F.struct("size", "etag")).alias("_part"))
         .select(
             "upload_id",
@@ -142,6 +139,12 @@ def merge_completed(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def merge_completed(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Parts of the resumed upload and new ones; a part number may not be in both."""
+    columns = ["upload_id", "part_num", "size", "etag"]
+    return unique_parts(old.select(*columns).unionByName(new.select(*columns)))
+
+
 def transfer_summary(planned: DataFrame, completed: DataFrame) -> DataFrame:
     """(upload_id, n_parts, n_done, bytes_done, n_missing); slots outside the plan do not count."""
     slots = (

@@ -35,8 +35,12 @@ def scan_objects(spark: SparkSession, path: str, glob: str = "*", recursive: boo
     )
 
 
-def spread_ranges(parts: DataFrame, key: str, tasks: int | None = None, run: int = 4) -> DataFrame:
-    """Part rows without bytes, dealt to tasks in runs of 2^run neighbours and sorted there.
+def spread_ranges(
+    parts: DataFrame, key: str, tasks: int | None = None, first: tuple[str, ...] = (), run: int = 4
+) -> DataFrame:
+    """Part rows without bytes, dealt to tasks in runs of 2^run neighbours.
+
+    Tasks have them in the order of the columns first, key and part_num.
 
     The number of tasks is given to Spark explicitly: ranges are tiny rows that stand for much
     work, so adaptive execution must not put them together by their size.
@@ -44,7 +48,7 @@ def spread_ranges(parts: DataFrame, key: str, tasks: int | None = None, run: int
     spark = parts.sparkSession
     n = tasks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     dealt = parts.repartition(n, F.col(key), F.shiftright("part_num", run))
-    return dealt.sortWithinPartitions(key, "part_num")
+    return dealt.sortWithinPartitions(*first, key, "part_num")
 
 
 def _arrow_type(batch: pa.RecordBatch, extra: list[pa.Field]) -> pa.Schema:
@@ -53,7 +57,7 @@ def _arrow_type(batch: pa.RecordBatch, extra: list[pa.Field]) -> pa.Schema:
 
 def fetch_parts(
     parts: DataFrame, key: str = "object_id", tasks: int | None = None, algo: str = "md5",
-    cell_bytes: int = MAX_CELL_BYTES,
+    cell_bytes: int = MAX_CELL_BYTES, order: tuple[str, ...] = (),
 ) -> DataFrame:
     """Read the range [start, end) of url for each row of a planned parts table.
 
@@ -125,7 +129,7 @@ def fetch_parts(
             T.StructField("reject_reason", T.StringType()),
         ]
     )
-    return spread_ranges(parts, key, tasks).mapInArrow(read_all, schema)
+    return spread_ranges(parts, key, tasks, order).mapInArrow(read_all, schema)
 
 
 def digest_ranges(parts: DataFrame, key: str = "object_id", algo: str = "md5", tasks: int | None = None) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Progress of downloads: an append-only table, the last record of a slot counts."""
+"""Progress of downloads: an append-only table in which the last record of a slot counts.
+
+A record with part_num -1 begins a download with its part size and etag, and makes all earlier
+slots of the object void. One without a part size says that the object has no progress any more.
+"""
 
 from __future__ import annotations
 
@@ -10,24 +14,59 @@ from partwise.functions.skew import salted_join
 SCHEMA = (
     "object_id bigint, part_size bigint, etag string, part_num bigint, md5 string, recorded_at timestamp"
 )
-_SLOT = ["object_id", "part_num"]
+COLUMNS = ["object_id", "part_size", "etag", "part_num", "md5", "recorded_at"]
+HEADER = -1
+NO_MD5 = "0" * 32
+
+
+def _append(rows: DataFrame, table: str) -> None:
+    stamped = rows if "recorded_at" in rows.columns else rows.withColumn("recorded_at", F.current_timestamp())
+    stamped.select(*COLUMNS).write.mode("append").parquet(table)
+
+
+def create_journal(spark: SparkSession, table: str) -> None:
+    spark.createDataFrame([], SCHEMA).write.mode("ignore").parquet(table)
+
+
+def begin_progress(objects: DataFrame, table: str) -> None:
+    """objects: object_id, part_size and etag of the downloads that start from nothing."""
+    header = objects.select(
+        "object_id", "part_size", "etag", F.lit(HEADER).cast("bigint").alias("part_num"), F.lit(NO_MD5).alias("md5")
+    )
+    _append(header, table)
 
 
 def journal_progress(df: DataFrame, table: str) -> None:
     """Append finished parts; rows without recorded_at get the time of the job."""
-    rows = df if "recorded_at" in df.columns else df.withColumn("recorded_at", F.current_timestamp())
-    bad = F.length("md5") != 32
-    checked = rows.withColumn("md5", F.when(bad, F.raise_error(F.lit("an MD5 has 32 digits"))).otherwise(F.col("md5")))
-    checked.select("object_id", "part_size", "etag", "part_num", "md5", "recorded_at").write.mode("append").parquet(table)
+    bad = F.raise_error(F.lit("an MD5 has 32 digits"))
+    _append(df.withColumn("md5", F.when(F.length("md5") == 32, F.col("md5")).otherwise(bad)), table)
+
+
+def end_progress(objects: DataFrame, table: str) -> None:
+    """The objects are finished: nothing of their progress is to be used again."""
+    begin_progress(
+        objects.select("object_id", F.lit(None).cast("bigint").alias("part_size"), F.lit(None).cast("string").alias("etag")),
+        table,
+    )
 
 
 def latest_progress(rows: DataFrame) -> DataFrame:
-    """One row for each slot, combined before the shuffle however often a slot was written."""
-    return (
-        rows.groupBy(*_SLOT)
+    """One row for each slot that is not void, headers included.
+
+    The latest record of a slot is found before the shuffle, however often a slot was written.
+    """
+    last = (
+        rows.groupBy("object_id", "part_num")
         .agg(F.max_by(F.struct("part_size", "etag", "md5", "recorded_at"), F.struct("recorded_at", "md5")).alias("_r"))
         .select("object_id", "_r.part_size", "_r.etag", "part_num", "_r.md5", "_r.recorded_at")
     )
+    headers = last.filter(F.col("part_num") == HEADER).select(
+        "object_id", F.struct("part_size", "recorded_at").alias("_h")
+    )
+    valid = F.col("_h").isNull() | (
+        F.col("_h.part_size").isNotNull() & (F.col("recorded_at") >= F.col("_h.recorded_at"))
+    )
+    return salted_join(last, headers, ["object_id"], ["part_num"], "left").filter(valid).drop("_h")
 
 
 def load_progress(spark: SparkSession, table: str) -> DataFrame:
@@ -35,6 +74,6 @@ def load_progress(spark: SparkSession, table: str) -> DataFrame:
 
 
 def remove_progress(progress: DataFrame, published: DataFrame) -> DataFrame:
-    """Progress of the objects that are not finished; written as a new snapshot by the caller."""
+    """Progress of the objects that are not finished."""
     gone = published.select("object_id").distinct()
     return salted_join(progress, gone, ["object_id"], ["part_num"], "left_anti")

@@ -86,36 +86,39 @@ class _Writer:
 
 
 def write_pieces(parts: DataFrame) -> DataFrame:
-    """Write bytes at offset of dst_path's partial file; (object_id, part_num, md5) of each row.
+    """Write bytes at offset of dst_path's partial file; (object_id, part_num, offset, n, md5).
 
     dst_path is on a file system that all executors mount. Tasks write different places of one
     file, so a huge object is written by many; a repeated task writes the same bytes again.
     """
+    inputs = parts.select("object_id", "part_num", "offset", "dst_path", "bytes")
 
     def write_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = _Writer()
         try:
             for batch in batches:
-                digests = []
-                for dst, offset, data in zip(
-                    batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+                lengths, digests = [], []
+                for offset, dst, data in zip(
+                    batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4)
                 ):
                     buf = data.as_buffer()
                     f = writer.open(dst)
                     f.seek(offset)
                     f.write(buf)
+                    lengths.append(len(buf))
                     digests.append(hashlib.md5(buf).hexdigest())
                 writer.close()  # on disk before the batch is reported
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(3), batch.column(4), pa.array(digests, pa.string())],
-                    ["object_id", "part_num", "md5"],
+                    [*batch.columns[:3], pa.array(lengths, pa.int64()), pa.array(digests, pa.string())],
+                    ["object_id", "part_num", "offset", "n", "md5"],
                 )
         finally:
             writer.close()
 
-    fields = {f.name: f for f in parts.schema.fields}
-    schema = T.StructType([fields["object_id"], fields["part_num"], T.StructField("md5", T.StringType())])
-    return parts.select("dst_path", "offset", "bytes", "object_id", "part_num").mapInArrow(write_all, schema)
+    schema = T.StructType(
+        inputs.schema.fields[:3] + [T.StructField("n", T.LongType()), T.StructField("md5", T.StringType())]
+    )
+    return inputs.mapInArrow(write_all, schema)
 
 
 def write_ranges(parts: DataFrame, key: str = "object_id", tasks: int | None = None) -> DataFrame:
