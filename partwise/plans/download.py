@@ -77,7 +77,7 @@ def run_download(
     journal.begin_progress(go.filter(F.col("action") != policy.LOAD), progress_table)
 
     # What an earlier run wrote, read back from the partial files.
-    partial = F.regexp_replace("dst_path", r"([^/]*)$", ".$1.partial")
+    partial = F.regexp_replace("dst_path", r"([^/]+)$", ".$1.partial")
     loaded = go.filter(F.col("action") == policy.LOAD).select("object_id", "size", "part_size", partial.alias("url"))
     slots = plan_parts(loaded, F.col("part_size"), DOWNLOAD).join(
         progress.filter("part_num >= 0").select("object_id", "part_num"), ["object_id", "part_num"], "left_semi"
