@@ -167,17 +167,23 @@ def digest_ranges(parts: DataFrame, key: str = "object_id", algo: str = "md5", t
     return spread_ranges(parts, key, tasks).mapInArrow(digest_all, schema)
 
 
-class _Run(InputPartition):
-    def __init__(self, url: str, start: int, end: int) -> None:
-        self.url, self.start, self.end = url, start, end
+class _Runs(InputPartition):
+    """Ranges (url, start, end) for one task."""
+
+    def __init__(self, runs: list[tuple[str, int, int]]) -> None:
+        self.runs = runs
+
+
+# What opening a file counts for when ranges are packed into tasks.
+OPEN_COST = 256 * 1024
 
 
 class PartSource(DataSource):
     """spark.read.format("partwise_parts"): the parts of the files below a path.
 
-    Options: path, partSize, partitionBytes (bytes of one file for one task, rounded to parts),
-    withContent ("false" leaves bytes NULL and opens no file). One input partition is one range of
-    one file, and the list of them is made on the driver: for millions of files use scan_objects,
+    Options: path, partSize, partitionBytes (bytes for one task, rounded to parts), withContent
+    ("false" leaves bytes NULL and opens no file). Large files are many tasks and small files
+    share one. The list of tasks is made on the driver: for millions of files use scan_objects,
     plan_parts and fetch_parts, which keep it distributed.
     """
 
@@ -198,17 +204,23 @@ class _PartReader(DataSourceReader):
         self.part_size = int(options["partSize"])
         if not 1 <= self.part_size <= MAX_CELL_BYTES:
             raise ValueError(f"partSize must be 1 to {MAX_CELL_BYTES}")
-        wanted = int(options.get("partitionBytes", 128 * 1024**2))
-        self.run = max(1, wanted // self.part_size) * self.part_size
+        self.wanted = int(options.get("partitionBytes", 128 * 1024**2))
+        self.run = max(1, self.wanted // self.part_size) * self.part_size
         self.with_content = options.get("withContent", "true").lower() == "true"
 
     def partitions(self) -> list[InputPartition]:
-        runs = []
+        tasks, runs, held = [], [], 0
         for url, size in _list_files(self.path):
-            runs += [_Run(url, low, min(low + self.run, size)) for low in range(0, size, self.run)]
-        return runs or [_Run("", 0, 0)]
-
-    def read(self, partition: _Run) -> Iterator[pa.RecordBatch]:
+            for low in range(0, size, self.run):
+                high = min(low + self.run, size)
+                runs.append((url, low, high))
+                held += high - low + OPEN_COST
+                if held >= self.wanted:
+                    tasks.append(_Runs(runs))
+                    runs, held = [], 0
+        return [*tasks, _Runs(runs)] if runs or not tasks else tasks
+
+    def read(self, partition: _Runs) -> Iterator[pa.RecordBatch]:
         names = ["url", "part_num", "start", "end", "bytes"]
         types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
@@ -218,16 +230,17 @@ class _PartReader(DataSourceReader):
 
         reader, rows, held = Reader(), [], 0
         try:
-            for low in range(partition.start, partition.end, self.part_size):
-                high = min(low + self.part_size, partition.end)
-                data = None
-                if self.with_content:
-                    data = b"".join(read_range(reader.open(partition.url), low, high))
-                    held += len(data)
-                rows.append((partition.url, low // self.part_size, low, high, data))
-                if held >= BATCH_BYTES or len(rows) >= 10_000:
-                    yield batch(rows)
-                    rows, held = [], 0
+            for url, first, last in partition.runs:
+                for low in range(first, last, self.part_size):
+                    high = min(low + self.part_size, last)
+                    data = None
+                    if self.with_content:
+                        data = b"".join(read_range(reader.open(url), low, high))
+                        held += len(data)
+                    rows.append((url, low // self.part_size, low, high, data))
+                    if held >= BATCH_BYTES or len(rows) >= 10_000:
+                        yield batch(rows)
+                        rows, held = [], 0
             if rows:
                 yield batch(rows)
         finally:

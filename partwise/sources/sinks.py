@@ -16,6 +16,7 @@ from partwise.operators.locations import RESERVED_SUFFIXES
 from partwise.operators.parts import joined_bytes
 from partwise.sources.files import Reader, local_path, partial_path, read_range
 from partwise.sources.objects import spread_ranges
+from partwise.sources.scratch import materialise
 
 N_BUCKETS = 64
 
@@ -42,24 +43,29 @@ def assemble_objects(parts: DataFrame, max_bytes: int = MAX_CELL_BYTES) -> DataF
     and it is a reject here, while publish_objects writes it to a file. Not more than max_bytes of
     any object is shuffled.
     """
-    sizes = parts.groupBy("object_id").agg(
-        F.sum(F.col("end") - F.col("start")).alias("size"), F.count("*").alias("n_parts")
-    )
-    bodies = (
-        parts.filter(F.col("end") <= max_bytes)
-        .groupBy("object_id")
-        .agg(joined_bytes(F.collect_list(F.struct("part_num", "bytes"))).alias("content"))
+    piece = F.when(F.col("end") <= max_bytes, F.struct("part_num", "bytes"))
+    groups = parts.groupBy("object_id").agg(
+        F.sum(F.col("end") - F.col("start")).alias("size"),
+        F.count("*").alias("n_parts"),
+        F.collect_list(piece).alias("_pieces"),
     )
     fits = F.col("size") <= max_bytes
-    return sizes.join(bodies, "object_id", "left").select(
+    return groups.select(
         "object_id",
         "size",
         "n_parts",
-        F.when(fits, F.col("content")).alias("content"),
+        F.when(fits, joined_bytes(F.col("_pieces"))).alias("content"),
         F.when(~fits, F.lit("ObjectTooLarge")).alias("reject_reason"),
     )
 
 
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Small rows that stand for file operations, over all tasks; see spread_ranges."""
+    spark = rows.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return rows.repartition(n, key)
+
+
 def _open_partial(dst: str):
     """The partial file of a destination, for writing anywhere in it."""
     path = partial_path(dst)
@@ -86,19 +92,20 @@ class _Writer:
 
 
 def write_pieces(parts: DataFrame) -> DataFrame:
-    """Write bytes at offset of dst_path's partial file; (object_id, part_num, offset, n, md5).
+    """Write bytes at offset of dst_path's partial file.
 
-    dst_path is on a file system that all executors mount. Tasks write different places of one
-    file, so a huge object is written by many; a repeated task writes the same bytes again.
+    Returns (object_id, part_num, dst_path, offset, n, md5) of each row. dst_path is on a file
+    system that all executors mount. Tasks write different places of one file, so a huge object is
+    written by many; a repeated task writes the same bytes again.
     """
-    inputs = parts.select("object_id", "part_num", "offset", "dst_path", "bytes")
+    inputs = parts.select("object_id", "part_num", "dst_path", "offset", "bytes")
 
     def write_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = _Writer()
         try:
             for batch in batches:
                 lengths, digests = [], []
-                for offset, dst, data in zip(
+                for dst, offset, data in zip(
                     batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4)
                 ):
                     buf = data.as_buffer()
@@ -109,14 +116,14 @@ def write_pieces(parts: DataFrame) -> DataFrame:
                     digests.append(hashlib.md5(buf).hexdigest())
                 writer.close()  # on disk before the batch is reported
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:3], pa.array(lengths, pa.int64()), pa.array(digests, pa.string())],
-                    ["object_id", "part_num", "offset", "n", "md5"],
+                    [*batch.columns[:4], pa.array(lengths, pa.int64()), pa.array(digests, pa.string())],
+                    [*batch.schema.names[:4], "n", "md5"],
                 )
         finally:
             writer.close()
 
     schema = T.StructType(
-        inputs.schema.fields[:3] + [T.StructField("n", T.LongType()), T.StructField("md5", T.StringType())]
+        inputs.schema.fields[:4] + [T.StructField("n", T.LongType()), T.StructField("md5", T.StringType())]
     )
     return inputs.mapInArrow(write_all, schema)
 
@@ -182,7 +189,7 @@ def publish_files(objects: DataFrame) -> DataFrame:
                 [*batch.columns, pa.array(done, pa.bool_())], schema=pa.schema([*batch.schema, ("published", pa.bool_())])
             )
 
-    rows = objects.select("object_id", "dst_path", "size")
+    rows = _dealt(objects.select("object_id", "dst_path", "size"), "dst_path")
     return rows.mapInArrow(rename_all, T.StructType([*rows.schema.fields, T.StructField("published", T.BooleanType())]))
 
 
@@ -190,26 +197,28 @@ def publish_objects(parts: DataFrame) -> DataFrame:
     """Write parts (object_id, part_num, start, end, bytes, dst_path) to files and name them.
 
     Returns (object_id, dst_path, size, n_parts, published, reject_reason). A reserved name is
-    refused. Nothing has its name before all parts of the object are written.
+    refused, and an object with a hole in its parts is not named. Nothing has its name before all
+    parts of the object are written. The bytes are evaluated once.
     """
-    from partwise.sources.scratch import materialise
-
-    good = ~F.col("dst_path").rlike(RESERVED_SUFFIXES)
+    reserved = F.col("dst_path").rlike(RESERVED_SUFFIXES)
     placed = parts.withColumn("offset", F.col("start"))
-    written = materialise(write_pieces(placed.filter(good)), "written")
-    expected = parts.groupBy("object_id", "dst_path").agg(
-        F.sum(F.col("end") - F.col("start")).alias("size"), F.count("*").alias("n_parts")
+    written = materialise(write_pieces(placed.filter(~reserved)), "written")
+    refused = parts.filter(reserved).select(
+        "object_id", "dst_path", (F.col("end") - F.col("start")).alias("n"), F.col("end").alias("_end")
+    )
+    rows = written.select("object_id", "dst_path", "n", (F.col("offset") + F.col("n")).alias("_end"))
+    objects = rows.unionByName(refused).groupBy("object_id", "dst_path").agg(
+        F.sum("n").alias("size"), F.count("*").alias("n_parts"), F.max("_end").alias("_end")
     )
-    counts = written.groupBy("object_id").agg(F.count("*").alias("_n"))
-    ready = expected.join(counts, "object_id", "left").filter(F.col("_n") == F.col("n_parts"))
-    named = materialise(publish_files(ready), "published")
-    return expected.join(named.select("object_id", "published"), "object_id", "left").select(
+    whole = objects.filter((F.col("_end") == F.col("size")) & ~reserved)
+    named = materialise(publish_files(whole), "published")
+    return objects.join(named.select("object_id", "published"), "object_id", "left").select(
         "object_id",
         "dst_path",
         "size",
         "n_parts",
         F.coalesce("published", F.lit(False)).alias("published"),
-        F.when(~good, F.lit("InvalidDestinationURL")).alias("reject_reason"),
+        F.when(reserved, "InvalidDestinationURL").when(F.col("_end") != F.col("size"), "IncompleteTransfer").alias("reject_reason"),
     )
 
 
@@ -226,7 +235,7 @@ def file_states(df: DataFrame, path_col: str, size_col: str = "file_size") -> Da
                 [*batch.columns, pa.array(sizes, pa.int64())], schema=pa.schema([*batch.schema, (size_col, pa.int64())])
             )
 
-    return df.mapInArrow(stat_all, T.StructType([*df.schema.fields, T.StructField(size_col, T.LongType())]))
+    return _dealt(df, path_col).mapInArrow(stat_all, T.StructType([*df.schema.fields, T.StructField(size_col, T.LongType())]))
 
 
 def _size(url: str) -> int | None:
