@@ -24,13 +24,26 @@ def local_path(url: str) -> str | None:
     return rest
 
 
+def filesystem_of(url: str):
+    """(pyarrow file system, path in it, what comes before such a path in a URL)."""
+    from pyarrow import fs
+
+    path = local_path(url)
+    if path is not None:
+        return fs.LocalFileSystem(), path, ""
+    scheme = url.split("://", 1)[0]
+    filesystem, name = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", url))
+    prefix = f"{scheme}://"
+    if scheme == "hdfs":  # its paths do not hold the host
+        prefix += url.split("://", 1)[1].split("/", 1)[0]
+    return filesystem, name, prefix
+
+
 def open_read(url: str) -> BinaryIO:
     path = local_path(url)
     if path is not None:
         return open(path, "rb")
-    from pyarrow import fs
-
-    filesystem, name = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", url))
+    filesystem, name, _ = filesystem_of(url)
     return filesystem.open_input_file(name)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,26 +14,73 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from partwise.limits import BATCH_BYTES, MAX_CELL_BYTES
 from partwise.operators.integrity import new_hash
-from partwise.sources.files import Reader, read_range
+from partwise.sources.files import Reader, filesystem_of, read_range
+from partwise.sources.scratch import materialise
 
 
-def scan_objects(spark: SparkSession, path: str, glob: str = "*", recursive: bool = True) -> DataFrame:
-    """(url, name, size, etag, modified): a listing; content is not read.
+_LISTED = "url string, name string, size bigint, modified_ns bigint, is_dir boolean"
+# Entries one task lists below a folder before it leaves the other subfolders to more tasks.
+LIST_AT_ONCE = 10_000
 
-    etag changes when the file is written again.
+
+def _list_below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files below each folder, and the subfolders that are not looked into yet."""
+    from pyarrow import fs
+
+    names = ["url", "name", "size", "modified_ns", "is_dir"]
+    types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+
+    def rows(entries: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(list(c), t) for c, t in zip(zip(*entries), types)]
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            filesystem, start, prefix = filesystem_of(folder)
+            info = filesystem.get_file_info(start)
+            waiting, seen = [start], 0
+            if info.type == fs.FileType.File:
+                waiting = []
+                yield rows([(prefix + info.path, info.base_name, info.size, info.mtime_ns, False)])
+            while waiting and seen < LIST_AT_ONCE:
+                found = filesystem.get_file_info(fs.FileSelector(waiting.pop()))
+                seen += len(found)
+                waiting += [f.path for f in found if f.type == fs.FileType.Directory]
+                files = [
+                    (prefix + f.path, f.base_name, f.size, f.mtime_ns, False)
+                    for f in found
+                    if f.type == fs.FileType.File
+                ]
+                if files:
+                    yield rows(files)
+            if waiting:
+                yield rows([(prefix + path, None, None, None, True) for path in waiting])
+
+
+def scan_objects(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(url, name, size, etag, modified) of all files below path; no file is opened.
+
+    Folders are listed by the tasks, in as many rounds as the tree needs, and the list never passes
+    through the driver. Spark's own file sources are not used for it as they leave out empty files.
+    Partial files of this library are no objects. etag changes when a file is written again.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(path)
-    )
-    return listed.select(
-        F.col("path").alias("url"),
-        F.regexp_extract("path", r"([^/]*)$", 1).alias("name"),
-        F.col("length").cast("bigint").alias("size"),
-        F.md5(F.concat_ws("-", F.unix_micros("modificationTime"), "length").cast("binary")).alias("etag"),
-        F.col("modificationTime").alias("modified"),
+    folders = spark.range(1, numPartitions=1).select(F.lit(path.rstrip("/") or "/").alias("url"))
+    rounds = []
+    while True:
+        listed = materialise(folders.mapInArrow(_list_below, _LISTED), "listing")
+        rounds.append(listed.filter("not is_dir"))
+        folders = listed.filter("is_dir").select("url")
+        if folders.isEmpty():
+            break
+        folders = folders.repartition(spark.sparkContext.defaultParallelism, "url")
+    files = reduce(DataFrame.unionByName, rounds)
+    pattern = "^" + re.escape(glob).replace(r"\*", ".*").replace(r"\?", ".") + "$"
+    return files.filter(F.col("name").rlike(pattern) & ~F.col("name").rlike(r"^\..*\.partial$")).select(
+        "url",
+        "name",
+        "size",
+        F.md5(F.concat_ws("-", "modified_ns", "size").cast("binary")).alias("etag"),
+        F.timestamp_micros(F.call_function("div", F.col("modified_ns"), F.lit(1000).cast("bigint"))).alias("modified"),
     )
 
 
@@ -250,22 +299,14 @@ class _PartReader(DataSourceReader):
 def _list_files(path: str) -> Iterator[tuple[str, int]]:
     from pyarrow import fs
 
-    from partwise.sources.files import local_path
-
-    local = local_path(path)
-    if local is not None:
-        filesystem, base, prefix = fs.LocalFileSystem(), local, ""
-    else:
-        filesystem, base = fs.FileSystem.from_uri(path)
-        prefix = path.split("://", 1)[0] + "://"
+    filesystem, base, prefix = filesystem_of(path)
     info = filesystem.get_file_info(base)
-    found = (
-        [info]
-        if info.type == fs.FileType.File
-        else filesystem.get_file_info(fs.FileSelector(base, recursive=True))
-    )
+    if info.type == fs.FileType.Directory:
+        found = filesystem.get_file_info(fs.FileSelector(base, recursive=True))
+    else:
+        found = [info]
     for f in found:
-        if f.type == fs.FileType.File:
+        if f.type == fs.FileType.File and not (f.base_name.startswith(".") and f.base_name.endswith(".partial")):
             yield prefix + f.path, f.size
 
 

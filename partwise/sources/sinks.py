@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from partwise.limits import MAX_CELL_BYTES
 from partwise.operators.locations import RESERVED_SUFFIXES
 from partwise.operators.parts import joined_bytes
-from partwise.sources.files import Reader, local_path, partial_path, read_range
+from partwise.sources.files import Reader, filesystem_of, local_path, partial_path, read_range
 from partwise.sources.objects import spread_ranges
 from partwise.sources.scratch import materialise
 
@@ -247,6 +247,6 @@ def _size(url: str) -> int | None:
             return None
     from pyarrow import fs
 
-    filesystem, name = fs.FileSystem.from_uri(url)
+    filesystem, name, _ = filesystem_of(url)
     info = filesystem.get_file_info(name)
     return info.size if info.type == fs.FileType.File else None

@@ -9,13 +9,18 @@ from pyspark.sql.streaming import DataStreamWriter
 from partwise.limits import MIN_PART_SIZE
 from partwise.plans.store import Store
 from partwise.plans.transfer import run_transfer
+from partwise.sources.files import local_path
+from partwise.sources.objects import scan_objects
 from partwise.sources.scratch import materialise
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def new_objects(spark: SparkSession, directory: str, max_files: int | None = None) -> DataFrame:
-    """Stream of (url, size, modified) of files below directory; content is not read here."""
+    """Stream of (url, size, modified) of files below directory; content is not read here.
+
+    Spark's file stream leaves out empty files; stream_objects lists those in each batch.
+    """
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
@@ -39,14 +44,16 @@ def stream_objects(
     """Writer that transfers each new file to dst_url followed by its path below directory.
 
     A batch that is repeated after a failure resumes its unfinished uploads and, with exists
-    "skip", leaves alone what it had finished: each file is transferred once.
+    "skip", leaves alone what it had finished: each file is transferred once. Empty files are
+    taken along by the batch after they appear.
     """
-    base = directory.rstrip("/") + "/"
+    base = (local_path(directory) or directory).rstrip("/") + "/"
 
     def transfer(batch: DataFrame, batch_id: int) -> None:
         below = F.expr("substring(url, position(_base in url) + length(_base))")
+        empty = scan_objects(store.spark, directory).filter("size = 0").select("url")
         listed = materialise(
-            batch.withColumn("_base", F.lit(base)).select(
+            batch.select("url").unionByName(empty).withColumn("_base", F.lit(base)).select(
                 F.monotonically_increasing_id().alias("object_id"),
                 F.col("url").alias("src_url"),
                 F.concat(F.lit(dst_url), below).alias("dst_url"),
