@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from partwise.functions import keys as K
 from partwise.functions.regions import endpoint_url
 from partwise.functions.skew import join_by_block, salted_join
-from partwise.operators.parts import ceil_div
+from partwise.operators.parts import n_parts
 
 
 def read_keys(key_table: DataFrame) -> DataFrame:
@@ -47,13 +47,14 @@ def derive_object_keys(objects: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
-def attach_keys(parts: DataFrame, object_keys: DataFrame, part_size: int, size: DataFrame) -> DataFrame:
+def attach_keys(parts: DataFrame, keyed: DataFrame) -> DataFrame:
     """Add object_key to planned parts, before their bytes are read.
 
-    size holds object_id and size; an object is repeated for each block of its parts.
+    keyed holds object_id, object_key, size and part_size. An object is repeated for each block of
+    its parts, so that a huge one is no hot key.
     """
-    keyed = size.select("object_id", "size").join(object_keys.select("object_id", "object_key"), "object_id")
-    return join_by_block(parts, keyed, ceil_div(F.col("size"), part_size), "left").drop("size")
+    wanted = keyed.select("object_id", "object_key", F.col("size").alias("_s"), F.col("part_size").alias("_p"))
+    return join_by_block(parts, wanted, n_parts(F.col("_s"), F.col("_p")), "left").drop("_s", "_p")
 
 
 def encrypted(content: Column, key_hex: Column) -> Column:

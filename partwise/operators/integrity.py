@@ -215,12 +215,18 @@ def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             found = np.bincount(np.frombuffer(data.as_buffer(), dtype=np.uint8), minlength=256)
             present = np.flatnonzero(found)
-            ids.append(np.full(len(present), object_id, dtype=np.int64))
+            if not len(present):  # tells that the object is there
+                present = np.zeros(1, dtype=np.int64)
+            ids += [object_id] * len(present)
             values.append(present.astype(np.int64))
             counts.append(found[present].astype(np.int64))
         if ids:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(a)) for a in (ids, values, counts)],
+                [
+                    pa.array(ids, batch.column(0).type),
+                    pa.array(np.concatenate(values)),
+                    pa.array(np.concatenate(counts)),
+                ],
                 ["object_id", "value", "n"],
             )
 
@@ -232,21 +238,15 @@ def byte_entropy(df: DataFrame) -> DataFrame:
     Objects without bytes have entropy 0.
     """
     value = "content" if "content" in df.columns else "bytes"
+    id_type = df.schema["object_id"].dataType.simpleString()
     counted = df.select("object_id", value).mapInArrow(
-        _count_bytes, "object_id bigint, value bigint, n bigint"
+        _count_bytes, f"object_id {id_type}, value bigint, n bigint"
     )
     counts = counted.groupBy("object_id", "value").agg(F.sum("n").alias("n"))
     n = F.col("n").cast("double")
     # -sum(p * log2 p) with p = n / total is log2(total) - sum(n * log2 n) / total.
-    full = counts.groupBy("object_id").agg(
-        F.sum("n").alias("size"), F.sum(n * F.log2(n)).alias("_nlogn")
-    )
-    full = full.select(
-        "object_id", "size", F.round(F.log2("size") - F.col("_nlogn") / F.col("size"), 6).alias("entropy")
-    )
-    empty = (
-        df.filter(F.length(value) == 0).select("object_id").distinct().join(full, "object_id", "left_anti")
-    )
-    return full.unionByName(
-        empty.select("object_id", F.lit(0).cast("bigint").alias("size"), F.lit(0.0).alias("entropy"))
+    totals = counts.groupBy("object_id").agg(
+        F.sum("n").alias("size"), F.sum(F.when(F.col("n") > 0, n * F.log2(n)).otherwise(0.0)).alias("_nlogn")
     )
+    entropy = F.when(F.col("size") > 0, F.log2("size") - F.col("_nlogn") / F.col("size")).otherwise(0.0)
+    return totals.select("object_id", "size", F.round(entropy, 6).alias("entropy"))

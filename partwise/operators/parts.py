@@ -30,11 +30,15 @@ def _range(last: Column) -> Column:
     return F.sequence(F.lit(0).cast("bigint"), last)
 
 
-def plan_parts(objects: DataFrame, part_size: Column | int, mode: str = UPLOAD) -> DataFrame:
+def plan_parts(
+    objects: DataFrame, part_size: Column | int, mode: str = UPLOAD, tasks: int | None = None
+) -> DataFrame:
     """One row for each part: the columns of objects without content, and part_num, start, end.
 
     part_size is a number or a column of objects. Part numbers are made in two steps, blocks and
-    parts of a block, so that no array grows with the size of an object.
+    parts of a block, so that no array grows with the size of an object. With tasks, the blocks
+    are dealt to that many tasks in between, and those of a huge object are numbered by many;
+    without it nothing is shuffled.
     """
     p = part_size if isinstance(part_size, Column) else F.lit(part_size).cast("bigint")
     kept = [c for c in objects.columns if c != "content"]
@@ -42,6 +46,8 @@ def plan_parts(objects: DataFrame, part_size: Column | int, mode: str = UPLOAD)
     blocks = counted.filter("_n > 0").withColumn(
         "_block", F.explode(_range(F.shiftright(F.col("_n") - 1, BLOCK_BITS)))
     )
+    if tasks is not None:
+        blocks = blocks.repartition(tasks)
     first = F.shiftleft(F.col("_block"), BLOCK_BITS)
     numbered = blocks.withColumn(
         "part_num", F.explode(F.sequence(first, F.least(first + (BLOCK_PARTS - 1), F.col("_n") - 1)))

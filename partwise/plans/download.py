@@ -14,7 +14,7 @@ from partwise.operators.rejects import with_exit_code
 from partwise.plans.store import Store
 from partwise.plans.transfer import _first_reason, _keys
 from partwise.sources import progress as journal
-from partwise.sources.objects import digest_ranges
+from partwise.sources.objects import digest_ranges, tasks_for
 from partwise.sources.scratch import materialise
 from partwise.sources.sinks import file_states, publish_files, write_pieces
 
@@ -26,7 +26,7 @@ def find_objects(store: Store, requests: DataFrame, keys: DataFrame | None) -> t
     named = classify_locations(requests, "src_url", STORE).withColumn("key", F.expr("substring(path, 2)"))
     named = named.withColumnRenamed("authority", "bucket").drop("scheme", "path", "has_query")
     stored = store.objects().withColumnsRenamed({"part_size": "src_part_size", "key_md5_b64": "src_md5_b64"})
-    found = named.join(stored, ["bucket", "key"], "left")
+    found = materialise(named.join(stored, ["bucket", "key"], "left"), "named")
     object_keys = derive_object_keys(found, _keys(store.spark, keys))
     given = object_keys.select("object_id", "key_md5_b64", F.col("reject_reason").alias("_key_reject"))
     found = found.join(given, "object_id")
@@ -79,11 +79,14 @@ def run_download(
     # What an earlier run wrote, read back from the partial files.
     partial = F.regexp_replace("dst_path", r"([^/]+)$", ".$1.partial")
     loaded = go.filter(F.col("action") == policy.LOAD).select("object_id", "size", "part_size", partial.alias("url"))
-    slots = plan_parts(loaded, F.col("part_size"), DOWNLOAD).join(
-        progress.filter("part_num >= 0").select("object_id", "part_num"), ["object_id", "part_num"], "left_semi"
+    slots = materialise(
+        plan_parts(loaded, F.col("part_size"), DOWNLOAD, spark.sparkContext.defaultParallelism).join(
+            progress.filter("part_num >= 0").select("object_id", "part_num"), ["object_id", "part_num"], "left_semi"
+        ),
+        "slots",
     )
     kept = materialise(
-        verify_parts(progress, digest_ranges(slots)).filter(F.col("action") == VERIFIED).select(
+        verify_parts(progress, digest_ranges(slots, tasks=tasks_for(slots))).filter(F.col("action") == VERIFIED).select(
             "object_id", "part_num", (F.col("end") - F.col("start")).alias("n")
         ),
         "kept",

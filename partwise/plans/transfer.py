@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from partwise.functions.skew import join_by_block
 from partwise.limits import MAX_CELL_BYTES
 from partwise.operators import policy
-from partwise.operators.crypto import decrypted, derive_object_keys, encrypted, read_keys
+from partwise.operators.crypto import attach_keys, decrypted, derive_object_keys, encrypted, read_keys
 from partwise.operators.integrity import composite_etags
 from partwise.operators.locations import SOURCE, STORE, classify_locations, derive_destination
 from partwise.operators.parts import UPLOAD, n_parts, plan_parts, resplit_parts
 from partwise.operators.rejects import with_exit_code
 from partwise.operators.uploads import sanity_check, unique_parts
 from partwise.plans.store import CANCELLED, COMPLETED, Store
-from partwise.sources.objects import fetch_parts
+from partwise.sources.objects import fetch_parts, tasks_for
 from partwise.sources.scratch import materialise
 from partwise.sources.sinks import bucket_id, file_states, write_parts
 
@@ -132,7 +132,8 @@ def _keys(spark: SparkSession, keys: DataFrame | None) -> DataFrame:
 def _missing(store: Store, go: DataFrame, waves: int) -> DataFrame:
     """Materialised slots still to fill, each with the wave that will fill it."""
     resumed = go.filter(F.col("action") == policy.RESUME)
-    planned = plan_parts(go.select("upload_id", "object_id", "url", "size", "part_size"), F.col("part_size"), UPLOAD)
+    asked = go.select("upload_id", "object_id", "url", "size", "part_size")
+    planned = plan_parts(asked, F.col("part_size"), UPLOAD, store.spark.sparkContext.defaultParallelism)
     left = planned.join(store.parts_of(resumed).select(*SLOT), SLOT, "left_anti")
     return materialise(
         left.withColumn("wave", F.pmod(F.xxhash64("upload_id", F.shiftright("part_num", 4)), F.lit(waves)))
@@ -156,7 +157,7 @@ def run_transfer(
     goes on from there. Bytes go from the source into the parts table in one pass without shuffle.
     """
     spark = store.spark
-    named = file_states(_named(requests, base_dir), "url", "size")
+    named = materialise(file_states(_named(requests, base_dir), "url", "size"), "named")
     object_keys = derive_object_keys(named, _keys(spark, keys))
     asked = _first_reason(named, F.when(F.col("size").isNull(), F.lit("SourceMissing")))
     asked = asked.join(object_keys.select("object_id", "key_md5_b64", F.col("reject_reason").alias("_key_reject")), "object_id")
@@ -165,15 +166,16 @@ def run_transfer(
     go = decided.filter(F.col("action").isin(*GO))
     _open_uploads(store, go)
     missing = _missing(store, go, waves)
+    tasks = tasks or -(-tasks_for(missing) // waves)
     secret = None
     if keys is not None:
         go_keys = go.select("object_id", "key_id", "bucket", "key", "location")
-        sized = go.select("object_id", F.col("size").alias("_s"), F.col("part_size").alias("_p"))
-        secret = derive_object_keys(go_keys, _keys(spark, keys)).select("object_id", "object_key").join(sized, "object_id")
+        secret = derive_object_keys(go_keys, _keys(spark, keys)).select("object_id", "object_key")
+        secret = secret.join(go.select("object_id", "size", "part_size"), "object_id")
     for wave in range(waves):
         ranges = missing.filter(F.col("wave") == wave)
         if secret is not None:  # joined while the rows are small
-            ranges = join_by_block(ranges, secret, n_parts(F.col("_s"), F.col("_p"))).drop("_s", "_p")
+            ranges = attach_keys(ranges, secret)
         fetched = fetch_parts(ranges, "upload_id", tasks, order=("bucket_id",))
         if secret is None:
             stored = fetched.withColumn("is_encrypted", F.lit(False))
@@ -204,7 +206,7 @@ def run_copy(
         F.col("part_size").alias("src_part_size"),
         F.col("key_md5_b64").alias("src_md5_b64"),
     )
-    found = named.join(source, ["src_bucket", "src_key"], "left")
+    found = materialise(named.join(source, ["src_bucket", "src_key"], "left"), "found")
     dst_key = derive_object_keys(found, _keys(spark, keys))
     src_key = _source_keys(found, _keys(spark, src_keys))
     checks = dst_key.select("object_id", "key_md5_b64", F.col("reject_reason").alias("_dst_reject")).join(

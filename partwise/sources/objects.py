@@ -84,6 +84,17 @@ def scan_objects(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
+BYTES_PER_TASK = 1024**3
+
+
+def tasks_for(ranges: DataFrame, bytes_per_task: int = BYTES_PER_TASK) -> int:
+    """Number of tasks that gives each about bytes_per_task; ranges is a written table."""
+    spark = ranges.sparkSession
+    total = ranges.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(least, -(-total // bytes_per_task))
+
+
 def spread_ranges(
     parts: DataFrame, key: str, tasks: int | None = None, first: tuple[str, ...] = (), run: int = 4
 ) -> DataFrame:

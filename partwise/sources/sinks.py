@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -94,11 +95,13 @@ class _Writer:
 def write_pieces(parts: DataFrame) -> DataFrame:
     """Write bytes at offset of dst_path's partial file.
 
-    Returns (object_id, part_num, dst_path, offset, n, md5) of each row. dst_path is on a file
-    system that all executors mount. Tasks write different places of one file, so a huge object is
-    written by many; a repeated task writes the same bytes again.
+    Returns (object_id, part_num, dst_path, offset, n, md5) of each row; md5 is NULL where dst_path
+    is a reserved name, and nothing is written. dst_path is on a file system that all executors
+    mount. Tasks write different places of one file, so a huge object is written by many; a
+    repeated task writes the same bytes again.
     """
     inputs = parts.select("object_id", "part_num", "dst_path", "offset", "bytes")
+    reserved = re.compile(RESERVED_SUFFIXES)
 
     def write_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = _Writer()
@@ -109,10 +112,13 @@ def write_pieces(parts: DataFrame) -> DataFrame:
                     batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4)
                 ):
                     buf = data.as_buffer()
+                    lengths.append(len(buf))
+                    if reserved.search(dst):
+                        digests.append(None)
+                        continue
                     f = writer.open(dst)
                     f.seek(offset)
                     f.write(buf)
-                    lengths.append(len(buf))
                     digests.append(hashlib.md5(buf).hexdigest())
                 writer.close()  # on disk before the batch is reported
                 yield pa.RecordBatch.from_arrays(
@@ -201,14 +207,9 @@ def publish_objects(parts: DataFrame) -> DataFrame:
     parts of the object are written. The bytes are evaluated once.
     """
     reserved = F.col("dst_path").rlike(RESERVED_SUFFIXES)
-    placed = parts.withColumn("offset", F.col("start"))
-    written = materialise(write_pieces(placed.filter(~reserved)), "written")
-    refused = parts.filter(reserved).select(
-        "object_id", "dst_path", (F.col("end") - F.col("start")).alias("n"), F.col("end").alias("_end")
-    )
-    rows = written.select("object_id", "dst_path", "n", (F.col("offset") + F.col("n")).alias("_end"))
-    objects = rows.unionByName(refused).groupBy("object_id", "dst_path").agg(
-        F.sum("n").alias("size"), F.count("*").alias("n_parts"), F.max("_end").alias("_end")
+    written = materialise(write_pieces(parts.withColumn("offset", F.col("start"))), "written")
+    objects = written.groupBy("object_id", "dst_path").agg(
+        F.sum("n").alias("size"), F.count("*").alias("n_parts"), F.max(F.col("offset") + F.col("n")).alias("_end")
     )
     whole = objects.filter((F.col("_end") == F.col("size")) & ~reserved)
     named = materialise(publish_files(whole), "published")
