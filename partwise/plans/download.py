@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partwise.functions.skew import salted_join
 from partwise.operators import policy
 from partwise.operators.crypto import decrypted, derive_object_keys
 from partwise.operators.integrity import VERIFIED, verify_parts
@@ -61,7 +62,10 @@ def run_download(
     asked = materialise(asked, "asked")
     valid = asked.filter(F.col("reject_reason").isNull())
     before = asked.filter(F.col("file_size").isNotNull()).select("object_id")
-    progress = materialise(journal.load_progress(spark, progress_table), "progress")
+    recorded = journal.load_progress(spark, progress_table)
+    progress = materialise(
+        salted_join(recorded, valid.select("object_id"), ["object_id"], ["part_num"], "left_semi"), "progress"
+    )
     decisions = policy.apply_file_exists_policy(valid, before, progress, valid)
     decided = materialise(
         with_exit_code(

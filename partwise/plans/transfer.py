@@ -17,6 +17,7 @@ from partwise.operators.parts import UPLOAD, n_parts, plan_parts, resplit_parts
 from partwise.operators.rejects import with_exit_code
 from partwise.operators.uploads import sanity_check, unique_parts
 from partwise.plans.store import CANCELLED, COMPLETED, Store
+from partwise.sources.files import READABLE_SCHEMES
 from partwise.sources.objects import fetch_parts, tasks_for
 from partwise.sources.scratch import materialise
 from partwise.sources.sinks import bucket_id, file_states, write_parts
@@ -37,7 +38,9 @@ def _named(requests: DataFrame, base_dir: str) -> DataFrame:
         "src_scheme",
         "src_bucket",
         "src_path",
-        F.when(F.col("src_scheme") == "file", F.col("src_path")).otherwise(F.col("src_url")).alias("url"),
+        F.when(F.col("src_scheme") == "file", F.col("src_path"))
+        .when(F.col("src_scheme").isin(READABLE_SCHEMES), F.col("src_url"))
+        .alias("url"),
         F.col("authority").alias("bucket"),
         F.col("dst_key").alias("key"),
         F.coalesce("reject_reason", "_src_reject").alias("reject_reason"),
@@ -159,7 +162,8 @@ def run_transfer(
     spark = store.spark
     named = materialise(file_states(_named(requests, base_dir), "url", "size"), "named")
     object_keys = derive_object_keys(named, _keys(spark, keys))
-    asked = _first_reason(named, F.when(F.col("size").isNull(), F.lit("SourceMissing")))
+    asked = _first_reason(named, F.when(F.col("url").isNull(), F.lit("UnsupportedScheme")))
+    asked = _first_reason(asked, F.when(F.col("size").isNull(), F.lit("SourceMissing")))
     asked = asked.join(object_keys.select("object_id", "key_md5_b64", F.col("reject_reason").alias("_key_reject")), "object_id")
     asked = materialise(_first_reason(asked, F.col("_key_reject")).drop("_key_reject"), "asked")
     decided = _decide(store, asked, uuid.uuid4().hex)

@@ -9,6 +9,9 @@ from typing import BinaryIO
 
 from partwise.limits import READ_BUFFER
 
+# Schemes a task can read; what pyarrow.fs has besides plain files.
+READABLE_SCHEMES = ["file", "s3", "s3a", "s3n", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss"]
+
 _SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
 
 

@@ -89,10 +89,8 @@ BYTES_PER_TASK = 1024**3
 
 def tasks_for(ranges: DataFrame, bytes_per_task: int = BYTES_PER_TASK) -> int:
     """Number of tasks that gives each about bytes_per_task; ranges is a written table."""
-    spark = ranges.sparkSession
     total = ranges.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
-    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return max(least, -(-total // bytes_per_task))
+    return max(ranges.sparkSession.sparkContext.defaultParallelism, -(-total // bytes_per_task))
 
 
 def spread_ranges(
@@ -100,13 +98,13 @@ def spread_ranges(
 ) -> DataFrame:
     """Part rows without bytes, dealt to tasks in runs of 2^run neighbours.
 
-    Tasks have them in the order of the columns first, key and part_num.
+    Tasks have them in the order of the columns first, key and part_num. Without tasks there is
+    one for each core; tasks_for gives a number that fits the bytes.
 
     The number of tasks is given to Spark explicitly: ranges are tiny rows that stand for much
     work, so adaptive execution must not put them together by their size.
     """
-    spark = parts.sparkSession
-    n = tasks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    n = tasks or parts.sparkSession.sparkContext.defaultParallelism
     dealt = parts.repartition(n, F.col(key), F.shiftright("part_num", run))
     return dealt.sortWithinPartitions(*first, key, "part_num")
 

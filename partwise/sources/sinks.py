@@ -62,9 +62,7 @@ def assemble_objects(parts: DataFrame, max_bytes: int = MAX_CELL_BYTES) -> DataF
 
 def _dealt(rows: DataFrame, key: str) -> DataFrame:
     """Small rows that stand for file operations, over all tasks; see spread_ranges."""
-    spark = rows.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return rows.repartition(n, key)
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def _open_partial(dst: str):

@@ -147,9 +147,10 @@ def test_source_changes(spark, store, source):
     folder, _ = source
     asked = spark.createDataFrame(
         [(1, f"{folder}/none", "s3://b/x", None, None, P, None, ""), (2, f"{folder}/1.bin", "s3://", None, None, P, None, ""),
-         (3, "file://host/x", "s3://b/y", None, None, P, None, ""), (4, f"{folder}/1.bin", "s3://b/z", None, None, P, "kNone", "")], REQUEST)
+         (3, "file://host/x", "s3://b/y", None, None, P, None, ""), (4, f"{folder}/1.bin", "s3://b/z", None, None, P, "kNone", ""),
+         (5, "http://h/x", "s3://b/w", None, None, P, None, "")], REQUEST)
     keys = spark.createDataFrame([("k", KEY_B, False)], "key_id string, key_text string, is_master boolean")
-    assert outcome(run_transfer(store, asked, keys)) == {1: ("FAIL", 1), 2: ("FAIL", 7), 3: ("FAIL", 5), 4: ("FAIL", 10)}
+    assert outcome(run_transfer(store, asked, keys)) == {1: ("FAIL", 1), 2: ("FAIL", 7), 3: ("FAIL", 5), 4: ("FAIL", 10), 5: ("FAIL", 1)}
     assert store.table("uploads").count() == 0
 
 
