@@ -355,12 +355,12 @@ def _(v: Views) -> DataFrame:
 
 @query(
     "retry_latest",
-    """select upload_id, part_num, event_id, ok, md5, epoch_us(recorded_at) as recorded_us from (select *, row_number() over (
+    """select upload_id, part_num, event_id, ok, md5, strftime(recorded_at, '%Y-%m-%d %H:%M:%S.%f') as recorded from (select *, row_number() over (
          partition by upload_id, part_num order by recorded_at desc, event_id desc) as rn from attempts) where rn = 1""",
 )
 def _(v: Views) -> DataFrame:
     latest = uploads.retry_latest(v.attempts())
-    return latest.withColumn("recorded_us", F.unix_micros("recorded_at")).drop("recorded_at")
+    return latest.withColumn("recorded", F.date_format("recorded_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")).drop("recorded_at")
 
 
 @query("select_cancellable", "select p.* from pending p semi join (select bucket, key from objects where object_id % 3 = 1) using (bucket, key)")

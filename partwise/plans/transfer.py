@@ -73,14 +73,13 @@ def _decide(store: Store, asked: DataFrame, run_id: str) -> DataFrame:
 def _open_uploads(store: Store, go: DataFrame) -> None:
     """Cancel what is to make way, then begin what is new."""
     forced = go.filter(F.col("action") == policy.CANCEL_AND_NEW).select("bucket", "key")
-    store.close(materialise(store.pending().join(forced, ["bucket", "key"], "left_semi"), "cancelled"), CANCELLED)
+    store.close(store.pending().join(forced, ["bucket", "key"], "left_semi"), CANCELLED)
     begun = go.filter(F.col("action") != policy.RESUME)
     store.append("uploads", begun.withColumn("initiated", F.current_timestamp()))
 
 
-def _complete(store: Store, decided: DataFrame) -> DataFrame:
-    """Publish the uploads whose parts are all there; decisions with size and etag as they are now."""
-    go = decided.filter(F.col("action").isin(*GO))
+def _publish(store: Store, go: DataFrame) -> None:
+    """Complete the uploads among go whose parts are all there."""
     stored = materialise(unique_parts(store.parts_of(go)), "stored")
     sizes = go.select("upload_id", F.col("part_size").alias("_p"), F.col("size").alias("_s"))
     planned = n_parts(F.col("_s"), F.col("_p"), UPLOAD)
@@ -106,13 +105,18 @@ def _complete(store: Store, decided: DataFrame) -> DataFrame:
     )
     store.append("objects", finished)
     store.close(finished, COMPLETED)
+
+
+def _report(store: Store, decided: DataFrame) -> DataFrame:
+    """Decisions with size and etag; what was to run and is not published is a failure."""
+    published = store.table("objects").select("upload_id", "etag")
     failures = (
         store.table("parts")
         .filter("reject_reason is not null")
         .groupBy("upload_id")
         .agg(F.min("reject_reason").alias("_why"))
     )
-    result = decided.join(finished.select("upload_id", "etag"), "upload_id", "left").join(failures, "upload_id", "left")
+    result = decided.join(published, "upload_id", "left").join(failures, "upload_id", "left")
     ran = F.col("action").isin(*GO)
     broken = ran & F.col("etag").isNull()
     return with_exit_code(
@@ -128,6 +132,28 @@ def _complete(store: Store, decided: DataFrame) -> DataFrame:
     )
 
 
+# Neighbouring parts that go in the same wave: 2^4.
+RUN_BITS = 4
+
+
+def wave_of(part_num: Column, n: Column, waves: int) -> Column:
+    """Wave of a part of an upload of n parts, never earlier than that of a part before it.
+
+    So a short last part is not stored without the full ones, from which the part size of an
+    unfinished upload is told. Small uploads are in one wave, huge ones in all.
+    """
+    runs = F.shiftright(n - 1, RUN_BITS) + 1
+    div = lambda a, b: F.call_function("div", a, b)
+    step = div(F.shiftright(part_num, RUN_BITS) * waves, runs)
+    spare = F.lit(waves - 1) - div((runs - 1) * waves, runs)
+    return step + F.pmod(F.xxhash64("upload_id"), spare + 1)
+
+
+def _ready_in(go: DataFrame, wave: int, waves: int) -> DataFrame:
+    n = n_parts(F.col("size"), F.col("part_size"), UPLOAD)
+    return go.filter(wave_of(n - 1, n, waves) == wave)
+
+
 def _keys(spark: SparkSession, keys: DataFrame | None) -> DataFrame:
     return read_keys(keys if keys is not None else spark.createDataFrame([], NO_KEYS))
 
@@ -139,7 +165,7 @@ def _missing(store: Store, go: DataFrame, waves: int) -> DataFrame:
     planned = plan_parts(asked, F.col("part_size"), UPLOAD, store.spark.sparkContext.defaultParallelism)
     left = planned.join(store.parts_of(resumed).select(*SLOT), SLOT, "left_anti")
     return materialise(
-        left.withColumn("wave", F.pmod(F.xxhash64("upload_id", F.shiftright("part_num", 4)), F.lit(waves)))
+        left.withColumn("wave", wave_of(F.col("part_num"), n_parts(F.col("size"), F.col("part_size"), UPLOAD), waves))
         .withColumn("bucket_id", bucket_id("upload_id")),
         "missing",
     )
@@ -156,8 +182,8 @@ def run_transfer(
     """Upload files: (object_id, bucket, key, action, error_class, exit_code, size, etag).
 
     requests: object_id, src_url, dst_url, exists, resume_mode, part_size, key_id, location.
-    Each wave is one write, kept when a later one fails; the next run with resume_mode "resume"
-    goes on from there. Bytes go from the source into the parts table in one pass without shuffle.
+    Each wave is one write, and its complete uploads are published: both are kept when a later one
+    fails. The next run, with resume_mode "resume" and exists "skip", goes on from there. Bytes go from the source into the parts table in one pass without shuffle.
     """
     spark = store.spark
     named = materialise(file_states(_named(requests, base_dir), "url", "size"), "named")
@@ -188,7 +214,8 @@ def run_transfer(
                 "is_encrypted", F.col("object_key").isNotNull()
             )
         write_parts(stored.select(*store.table("parts").columns), store.path("parts"))
-    return _complete(store, decided)
+        _publish(store, _ready_in(go, wave, waves))
+    return _report(store, decided)
 
 
 def run_copy(
@@ -240,22 +267,23 @@ def run_copy(
             "size",
             "object_id",
             F.col("part_size").alias("dst_part_size"),
+            n_parts(F.col("size"), F.col("part_size"), UPLOAD).alias("dst_parts"),
         ),
         "sources",
     )
     secrets = dst_key.select("object_id", F.col("object_key").alias("_to")).join(
         src_key.select("object_id", F.col("object_key").alias("_from")), "object_id"
     )
-    carry = ["dst_upload_id", "object_id", "dst_part_size", "src_part_size"]
+    carry = ["dst_upload_id", "object_id", "dst_part_size", "dst_parts", "src_part_size"]
     rows = store.part_rows(sources.withColumn("src_part_size", F.col("part_size")), carry, secrets)
     opened = rows.withColumn("bytes", decrypted(F.col("bytes"), F.col("_from"))).withColumn("upload_id", F.col("dst_upload_id"))
-    columns = ["upload_id", "part_num", "start", "end", "offset", "bytes", "md5", "_to"]
+    columns = ["upload_id", "part_num", "start", "end", "offset", "bytes", "md5", "_to", "dst_parts"]
     same = F.col("src_part_size") == F.col("dst_part_size")
     # A part that cannot be opened keeps its borders and becomes a reject.
     kept = opened.filter(same | F.col("bytes").isNull()).select(*columns)
     cut = resplit_parts(
         opened.filter(~same & F.col("bytes").isNotNull()).select(
-            F.struct("upload_id", "_to").alias("object_id"),
+            F.struct("upload_id", "_to", "dst_parts").alias("object_id"),
             F.col("offset").alias("start"),
             (F.col("offset") + F.length("bytes")).alias("end"),
             "bytes",
@@ -271,10 +299,11 @@ def run_copy(
         "bytes",
         F.md5("bytes").alias("md5"),
         "object_id._to",
+        "object_id.dst_parts",
     )
-    wave_of = F.pmod(F.xxhash64("upload_id", F.shiftright("part_num", 4)), F.lit(waves))
+    part_wave = wave_of(F.col("part_num"), F.col("dst_parts"), waves)
     for wave in range(waves):
-        moved = kept.unionByName(cut).filter(wave_of == wave).join(done, SLOT, "left_anti")
+        moved = kept.unionByName(cut).filter(part_wave == wave).join(done, SLOT, "left_anti")
         stored = moved.select(
             "upload_id",
             bucket_id("upload_id").alias("bucket_id"),
@@ -288,7 +317,8 @@ def run_copy(
             F.when(F.col("bytes").isNull(), F.lit("InvalidEncryptionKey")).alias("reject_reason"),
         )
         write_parts(stored, store.path("parts"))
-    return _complete(store, decided)
+        _publish(store, _ready_in(go, wave, waves))
+    return _report(store, decided)
 
 
 def _source_keys(found: DataFrame, keys: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from partwise.operators import crypto
 from partwise.plans.cancel import run_cancel
 from partwise.plans.download import run_download
 from partwise.plans.store import Store
-from partwise.plans.transfer import run_copy, run_transfer
+from partwise.plans.transfer import run_copy, run_transfer, wave_of
 from partwise.plans.verify import run_verify
 from partwise.sources.files import partial_path
 
@@ -85,22 +85,36 @@ def test_crash_and_resume(spark, store, source):
     open(f"{broken}/x", "w").close()  # opening it fails the task, which is not a missing file
     with pytest.raises(Exception, match="IsADirectory"):
         run_transfer(store, requests(spark, folder), waves=6)
-    assert store.objects().count() == 0
-    assert store.pending().count() == len(SIZES)
+    published = {int(r["key"].split(".")[0]) for r in store.objects().collect()}
+    assert SIZES[-1] not in published
+    assert store.pending().count() == len(SIZES) - len(published)
     os.remove(f"{broken}/x")
     os.rmdir(broken)
     with open(broken, "wb") as f:
         f.write(contents[SIZES[-1]])
     done_before = store.stored_parts().count()
-    assert outcome(run_transfer(store, requests(spark, folder))) == {s: ("FAIL", 4) for s in SIZES}
-    tried = outcome(run_transfer(store, requests(spark, folder, mode="resume")))
-    assert tried == {s: ("RESUME", None) for s in SIZES}
+    again = outcome(run_transfer(store, requests(spark, folder)))
+    assert again == {s: ("FAIL", 3 if s in published else 4) for s in SIZES}
+    tried = outcome(run_transfer(store, requests(spark, folder, exists="skip", mode="resume"), waves=2))
+    assert tried == {s: ("SKIP" if s in published else "RESUME", None) for s in SIZES}
     assert digests(spark, store) == md5s(contents)
     slots = store.stored_parts().groupBy("upload_id", "part_num").count()
     assert slots.filter("count > 1").count() == 0 and slots.count() >= done_before
     assert store.pending().count() == 0
 
 
+@pytest.mark.parametrize("waves", [1, 2, 3, 7, 50])
+def test_waves_keep_part_order(spark, waves):
+    counts = spark.createDataFrame([(str(i), n) for i, n in enumerate([1, 2, 16, 17, 33, 160, 1000, 5000])], "upload_id string, n bigint")
+    rows = counts.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("part_num"))
+    found = {}
+    for r in rows.select("*", wave_of(F.col("part_num"), F.col("n"), waves).alias("w")).orderBy("part_num").collect():
+        found.setdefault(r["n"], []).append(r["w"])
+    for n, numbers in found.items():
+        assert numbers == sorted(numbers) and 0 <= numbers[0] and numbers[-1] < waves
+        assert len(set(numbers)) == min(waves, -(-n // 16))
+
+
 def test_resume_skips_stored_parts(spark, store, source):
     folder, contents = source
     size = SIZES[-1]
