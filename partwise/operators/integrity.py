@@ -124,6 +124,13 @@ def object_digests(df: DataFrame, algo: str = "md5") -> DataFrame:
     return _fold(ordered.sortWithinPartitions("object_id", *order), algo, "bytes")
 
 
+def piece_digests(pieces: DataFrame, algo: str = "md5") -> DataFrame:
+    """(object_id, digest) over pieces (object_id, start, bytes) in order of start, as a sorted stream."""
+    check_algorithm(algo)
+    ordered = pieces.select("object_id", "start", "bytes").repartition("object_id")
+    return _fold(ordered.sortWithinPartitions("object_id", "start"), algo, "bytes")
+
+
 def composite_etags(part_digests: DataFrame) -> DataFrame:
     """(object_id, etag, size): MD5 over the part MD5s in part order, a dash, the part count.
 

@@ -136,12 +136,11 @@ def plan_capacity(
     )
 
 
-def resplit_parts(parts: DataFrame, part_size: Column | int) -> DataFrame:
-    """Cut parts that hold bytes at other borders: (object_id, part_num, start, end, bytes).
+def cut_at_borders(parts: DataFrame, part_size: Column | int) -> DataFrame:
+    """Cut parts that hold bytes at multiples of part_size: (object_id, part_num, start, end, bytes).
 
-    Every old part gives one piece for each new part it touches; the pieces of one new part,
-    part_size bytes together, are put in order again. No group passes one new part. part_size is
-    a number or a column that is the same for all parts of an object.
+    Every old part gives one piece for each new part it touches. part_size is a number or a column
+    that is the same for all parts of an object.
     """
     p = part_size if isinstance(part_size, Column) else F.lit(part_size)
     old = parts.select("object_id", "start", "end", "bytes", p.cast("bigint").alias("_p"))
@@ -150,7 +149,7 @@ def resplit_parts(parts: DataFrame, part_size: Column | int) -> DataFrame:
     pieces = old.withColumn("part_num", F.explode(F.sequence(first, last)))
     low = F.greatest(F.col("start"), F.col("part_num") * F.col("_p"))
     high = F.least(F.col("end"), (F.col("part_num") + 1) * F.col("_p"))
-    cut = pieces.select(
+    return pieces.select(
         "object_id",
         "part_num",
         low.alias("start"),
@@ -159,12 +158,18 @@ def resplit_parts(parts: DataFrame, part_size: Column | int) -> DataFrame:
             F.col("bytes"), (low - F.col("start") + 1).cast("int"), (high - low).cast("int")
         ).alias("bytes"),
     )
-    whole = cut.groupBy("object_id", "part_num").agg(
+
+
+def resplit_parts(parts: DataFrame, part_size: Column | int) -> DataFrame:
+    """Parts of another size: cut_at_borders, and the pieces of each new part joined in order.
+
+    A new part is one cell and no group passes it.
+    """
+    return cut_at_borders(parts, part_size).groupBy("object_id", "part_num").agg(
         F.min("start").alias("start"),
         F.max("end").alias("end"),
         joined_bytes(F.collect_list(F.struct("start", "bytes"))).alias("bytes"),
     )
-    return whole
 
 
 def joined_bytes(pieces: Column) -> Column:

@@ -11,9 +11,9 @@ from partwise.functions.skew import join_by_block
 from partwise.limits import MAX_CELL_BYTES
 from partwise.operators import policy
 from partwise.operators.crypto import attach_keys, decrypted, derive_object_keys, encrypted, read_keys
-from partwise.operators.integrity import composite_etags
+from partwise.operators.integrity import composite_etags, piece_digests
 from partwise.operators.locations import SOURCE, STORE, classify_locations, derive_destination
-from partwise.operators.parts import UPLOAD, n_parts, plan_parts, resplit_parts
+from partwise.operators.parts import UPLOAD, cut_at_borders, n_parts, plan_parts, resplit_parts
 from partwise.operators.rejects import with_exit_code
 from partwise.operators.uploads import sanity_check, unique_parts
 from partwise.plans.store import CANCELLED, COMPLETED, Store
@@ -219,12 +219,18 @@ def run_transfer(
 
 
 def run_copy(
-    store: Store, requests: DataFrame, keys: DataFrame | None = None, src_keys: DataFrame | None = None, waves: int = 1
+    store: Store,
+    requests: DataFrame,
+    keys: DataFrame | None = None,
+    src_keys: DataFrame | None = None,
+    waves: int = 1,
+    cell_bytes: int = MAX_CELL_BYTES,
 ) -> DataFrame:
     """Copy objects of the store to other keys, under another encryption key if asked.
 
     requests as for run_transfer with s3:// sources, and src_key_id. Parts keep their borders when
-    the part size stays; otherwise they are cut again, up to one cell for each new part.
+    the part size stays; otherwise they are cut again. A new part of more than cell_bytes is stored
+    as the pieces it was cut from, followed by an empty row with the digest over them.
     """
     spark = store.spark
     named = _named(requests, "/").withColumn("src_key", F.expr("substring(src_path, 2)"))
@@ -250,8 +256,6 @@ def run_copy(
     asked = _first_reason(
         asked, F.when(~F.col("_src_given").eqNullSafe(F.col("src_md5_b64")), F.lit("InvalidEncryptionKey"))
     )
-    recut = F.col("part_size") != F.col("src_part_size")
-    asked = _first_reason(asked, F.when(recut & (F.col("part_size") > MAX_CELL_BYTES), F.lit("UserError")))
     asked = materialise(asked.drop("_dst_reject", "_src_given"), "asked")
     decided = _decide(store, asked, uuid.uuid4().hex)
     go = decided.filter(F.col("action").isin(*GO))
@@ -274,33 +278,41 @@ def run_copy(
     secrets = dst_key.select("object_id", F.col("object_key").alias("_to")).join(
         src_key.select("object_id", F.col("object_key").alias("_from")), "object_id"
     )
-    carry = ["dst_upload_id", "object_id", "dst_part_size", "dst_parts", "src_part_size"]
-    rows = store.part_rows(sources.withColumn("src_part_size", F.col("part_size")), carry, secrets)
+    carry = ["dst_upload_id", "object_id", "dst_part_size", "dst_parts", "src_part_size", "dst_size"]
+    rows = store.part_rows(sources.withColumns({"src_part_size": F.col("part_size"), "dst_size": F.col("size")}), carry, secrets)
     opened = rows.withColumn("bytes", decrypted(F.col("bytes"), F.col("_from"))).withColumn("upload_id", F.col("dst_upload_id"))
     columns = ["upload_id", "part_num", "start", "end", "offset", "bytes", "md5", "_to", "dst_parts"]
     same = F.col("src_part_size") == F.col("dst_part_size")
     # A part that cannot be opened keeps its borders and becomes a reject.
     kept = opened.filter(same | F.col("bytes").isNull()).select(*columns)
-    cut = resplit_parts(
-        opened.filter(~same & F.col("bytes").isNotNull()).select(
-            F.struct("upload_id", "_to", "dst_parts").alias("object_id"),
-            F.col("offset").alias("start"),
-            (F.col("offset") + F.length("bytes")).alias("end"),
-            "bytes",
-            "dst_part_size",
-        ),
-        F.col("dst_part_size"),
-    ).select(
-        "object_id.upload_id",
-        "part_num",
-        "start",
-        "end",
-        F.col("start").alias("offset"),
+    # The empty row that closes a part in pieces has no place in new parts.
+    filled = (F.length("bytes") > 0) | (F.col("dst_size") == 0)
+    recut = opened.filter(~same & F.col("bytes").isNotNull() & filled).select(
+        F.struct("upload_id", "_to", "dst_parts", F.col("dst_size").alias("n"), F.col("dst_part_size").alias("p")).alias("object_id"),
+        F.col("offset").alias("start"),
+        (F.col("offset") + F.length("bytes")).alias("end"),
         "bytes",
-        F.md5("bytes").alias("md5"),
-        "object_id._to",
-        "object_id.dst_parts",
+        "dst_part_size",
+    )
+    fits = F.col("dst_part_size") <= cell_bytes
+    o = lambda name: F.col(f"object_id.{name}")
+    cut = resplit_parts(recut.filter(fits), F.col("dst_part_size")).select(
+        o("upload_id"), "part_num", "start", "end", F.col("start").alias("offset"), "bytes",
+        F.md5("bytes").alias("md5"), o("_to"), o("dst_parts"),
+    )
+    pieces = cut_at_borders(recut.filter(~fits), F.col("dst_part_size"))
+    first = F.col("part_num") * o("p")
+    bounds = [first.alias("start"), F.least(first + o("p"), o("n")).alias("end")]
+    placed = pieces.select(
+        o("upload_id"), "part_num", *bounds, F.col("start").alias("offset"), "bytes",
+        F.lit(None).cast("string").alias("md5"), o("_to"), o("dst_parts"),
+    )
+    keyed = pieces.select(F.struct("object_id", "part_num").alias("object_id"), "start", "bytes")
+    closing = piece_digests(keyed).select(F.col("object_id.*"), "digest").select(
+        o("upload_id"), "part_num", *bounds, bounds[1].alias("offset"), F.lit(b"").alias("bytes"),
+        F.col("digest").alias("md5"), o("_to"), o("dst_parts"),
     )
+    cut = cut.unionByName(placed).unionByName(closing)
     part_wave = wave_of(F.col("part_num"), F.col("dst_parts"), waves)
     for wave in range(waves):
         moved = kept.unionByName(cut).filter(part_wave == wave).join(done, SLOT, "left_anti")

@@ -184,6 +184,16 @@ def test_keys(spark, store, source, keys):
     ).withColumn("src_key_id", F.lit("kA"))
     assert set(outcome(run_copy(store, copy, keys, keys, waves=2)).values()) == {("NEW", None)}
     assert digests(spark, store, "kB", keys, "c") == md5s(contents)
+    # New parts larger than a cell are kept in pieces, and can be copied on.
+    large = copy.withColumn("part_size", F.lit(3000).cast("bigint")).withColumn("dst_url", F.lit("s3://e/"))
+    assert set(outcome(run_copy(store, large, keys, keys, cell_bytes=2000)).values()) == {("NEW", None)}
+    assert digests(spark, store, "kB", keys, "e") == md5s(contents)
+    etags = {r["key"]: r["etag"] for r in store.objects().filter("bucket = 'e'").collect()}
+    joined = b"".join(hashlib.md5(contents[40 * P][i : i + 3000]).digest() for i in range(0, 40 * P, 3000))
+    assert etags[f"{40 * P}.bin"] == f"{hashlib.md5(joined).hexdigest()}-14"
+    onward = spark.createDataFrame([(s, f"s3://e/{s}.bin", "s3://f/", None, None, 512, None, "") for s in SIZES], REQUEST)
+    assert set(outcome(run_copy(store, onward.withColumn("src_key_id", F.lit("kB")), keys, keys)).values()) == {("NEW", None)}
+    assert digests(spark, store, None, keys, "f") == md5s(contents)
     wrong = copy.withColumn("src_key_id", F.lit("kB")).withColumn("dst_url", F.lit("s3://d/"))
     assert set(outcome(run_copy(store, wrong, keys, keys)).values()) == {("FAIL", 10)}
 
