@@ -312,10 +312,15 @@ def run_copy(
         o("upload_id"), "part_num", *bounds, bounds[1].alias("offset"), F.lit(b"").alias("bytes"),
         F.col("digest").alias("md5"), o("_to"), o("dst_parts"),
     )
-    cut = cut.unionByName(placed).unionByName(closing)
+    # Only the ways that some object takes are in the plan: each one reads the parts it needs.
+    other = F.col("part_size") != F.col("dst_part_size")
+    has_cut, has_pieces = sources.agg(F.max(other & fits), F.max(other & ~fits)).first()
+    moving = kept.unionByName(cut) if has_cut else kept
+    if has_pieces:
+        moving = moving.unionByName(placed).unionByName(closing)
     part_wave = wave_of(F.col("part_num"), F.col("dst_parts"), waves)
     for wave in range(waves):
-        moved = kept.unionByName(cut).filter(part_wave == wave).join(done, SLOT, "left_anti")
+        moved = moving.filter(part_wave == wave).join(done, SLOT, "left_anti")
         stored = moved.select(
             "upload_id",
             bucket_id("upload_id").alias("bucket_id"),
