@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is set (tests), one is made and set."""
+    """The cluster's checkpoint folder; where none is set and all runs on one machine, one is made and set."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: tables of a job need a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="partwise-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")

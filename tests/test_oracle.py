@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from fixtures import catalog
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
     "labels conversations"
 ).split()
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN", "double": "DOUBLE"}
 
 
