@@ -6,8 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partwise.llm.packing import pack_documents
+from partwise.llm.pii import pseudonymise
+from partwise.llm.sharding import shard_records
 from partwise.llm.tables import read
 from partwise.llm.token_counts import count_tokens
+from partwise.llm.url_filters import filter_urls
+
+# Stands for a secret that a user would pass in.
+PII_KEY = "an example key"
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
 
 
 def vocabulary() -> str:
@@ -20,14 +30,58 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, PII_KEY)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(read(spark, sf_dir, "documents"), vocabulary())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return filter_urls(read(spark, sf_dir, "pages"), rules)
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    crc = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    return shard_records(crc, 8, carry=["doc_id", "text_crc32"]).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op5_token_counts": op5_token_counts,
+    "op7_pii": op7_pii,
     "op8_packing": op8_packing,
+    "op9_url_filters": op9_url_filters,
+    "op10_sharding": op10_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_url_filters": """
+        with cut as (
+            select page_id, row_number() over () as n,
+                case when position('://' in coalesce(url, '')) > 0 then substr(url, position('://' in url) + 3) else '' end as rest
+            from pages
+        ), u as (
+            select page_id, n,
+                translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+            from cut
+        ), rules(r_host, r_path, r_verdict) as (
+            values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+        ), best as (
+            select n, arg_max(struct_pack(rule := r_host || r_path, verdict := r_verdict), length(r_host || r_path)) as b
+            from u join rules on (host = r_host or ends_with(host, '.' || r_host)) and starts_with(path, r_path)
+            group by n
+        )
+        select page_id, host, path, b.rule as rule, coalesce(b.verdict, 'allow') as verdict
+        from u left join best using (n)
+    """,
+}
