@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partwise.llm.html_text import extract_text
+from partwise.llm.language_id import fit, identify
 from partwise.llm.packing import pack_documents
 from partwise.llm.pii import pseudonymise
 from partwise.llm.sharding import shard_records
@@ -26,10 +28,24 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def held_out(doc_id: Column) -> Column:
+    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit(docs.where(~held_out(F.col("doc_id"))))
+    return identify(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonymise(docs, PII_KEY)
@@ -55,7 +71,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op5_token_counts": op5_token_counts,
+    "op6_html_text": op6_html_text,
     "op7_pii": op7_pii,
     "op8_packing": op8_packing,
     "op9_url_filters": op9_url_filters,
