@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from partwise.llm.html_text import extract_text
 from partwise.llm.language_id import fit, identify
+from partwise.llm.near_dedup import near_duplicates
 from partwise.llm.packing import pack_documents
 from partwise.llm.pii import pseudonymise
 from partwise.llm.sharding import shard_records
@@ -38,6 +39,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), vocabulary())
 
@@ -72,6 +77,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_near_dedup": op2_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_html_text": op6_html_text,
     "op7_pii": op7_pii,
