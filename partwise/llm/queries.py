@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from partwise.llm.html_text import extract_text
 from partwise.llm.language_id import fit, identify
 from partwise.llm.near_dedup import near_duplicates
+from partwise.llm.nearest import nearest_neighbours
 from partwise.llm.packing import pack_documents
 from partwise.llm.pii import pseudonymise
 from partwise.llm.sharding import shard_records
@@ -43,6 +44,11 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), vocabulary())
 
@@ -78,6 +84,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_dedup": op2_near_dedup,
+    "op3_nearest": op3_nearest,
     "op5_token_counts": op5_token_counts,
     "op6_html_text": op6_html_text,
     "op7_pii": op7_pii,
