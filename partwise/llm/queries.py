@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partwise.llm.decontaminate import find_contamination
 from partwise.llm.html_text import extract_text
 from partwise.llm.language_id import fit, identify
 from partwise.llm.near_dedup import near_duplicates
@@ -49,6 +50,10 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), vocabulary())
 
@@ -85,6 +90,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_dedup": op2_near_dedup,
     "op3_nearest": op3_nearest,
+    "op4_decontamination": op4_decontamination,
     "op5_token_counts": op5_token_counts,
     "op6_html_text": op6_html_text,
     "op7_pii": op7_pii,
