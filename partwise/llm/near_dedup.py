@@ -9,8 +9,11 @@ hash functions.
 
 Bins are cut into bands; documents that agree in a band are candidates, and the full sets decide.
 Documents with equal sets are one class from the start. In a bucket of classes each is first compared
-with one centre. Classes that this leaves apart are then compared with all of the bucket that are not
-linked with them yet: no bucket is cut, and a bucket of many near copies costs its size, not its square.
+with one centre, the class with the fewest shingles that no other candidate has. Classes that this
+leaves apart are then compared with the others of their buckets, but for pairs that counting rules
+out: two sets share at most the shingles that neither has alone, and similar sets share one of their
+rarest. So no bucket is cut, and a large group of copies costs about its size: near ones hang on the
+centre, and those far from it meet the few that share their own changes.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partwise.llm.components import connected_components
@@ -77,31 +80,31 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, n_shingles, set: digest of the set, bands); set and bands are null for empty sets."""
+    """(id, text_hash, n_shingles, set: digest of the set, bands); set and bands are null for empty sets."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def sign(batches):
         for batch in in_slices(batches):
-            sets = [shingles(raw, words) for raw in batch.column(1).to_pylist()]
+            sets = [shingles(raw, words) for raw in batch.column(2).to_pylist()]
             some = [s for s in sets if len(s)]
             keys = iter(band_keys(sketches(some)).tolist() if some else [])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    batch.column(0), batch.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 ],
-                ["id", "n_shingles", "set", "bands"],
+                ["id", "text_hash", "n_shingles", "set", "bands"],
             )
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(
-        sign, f"id {id_type}, n_shingles long, set binary, bands array<long>"
+    return id_and_text(docs, id_col, text_col).select("id", F.xxhash64("raw").alias("text_hash"), "raw").mapInArrow(
+        sign, f"id {id_type}, text_hash long, n_shingles long, set binary, bands array<long>"
     )
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(set, items) for wanted (set, least id)."""
+    """(set, items, and the digest as two numbers) for wanted (set, least id)."""
 
     def unfold(batches):
         for batch in in_slices(batches):
@@ -109,16 +112,19 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
             items = [s.view(np.int64) for s in sets]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             same = [d == w for d, w in zip(digests, batch.column(0).to_pylist())]  # ids may be repeated
+            digests = [d for d, s in zip(digests, same) if s]
+            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([d for d, s in zip(digests, same) if s], pa.binary()),
+                    pa.array(digests, pa.binary()),
                     pa.array([i for i, s in zip(items, same) if s], pa.list_(pa.int64())),
+                    pa.array(halves[:, 0]), pa.array(halves[:, 1]),
                 ],
-                ["set", "items"],
+                ["set", "items", "x", "y"],
             )
 
     texts = id_and_text(docs, id_col, text_col).join(wanted, "id").select("set", "raw")
-    return texts.mapInArrow(unfold, "set binary, items array<long>").dropDuplicates(["set"])
+    return texts.mapInArrow(unfold, "set binary, items array<long>, x long, y long").dropDuplicates(["set"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -130,22 +136,70 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * common >= percent * union).select("a", "b")
 
 
-def _fits(n: str, m: str, percent: int):
-    """Sets of these sizes can be similar enough."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def _private(sets: DataFrame) -> DataFrame:
+    """(set, own): how many of its shingles no other of these sets has."""
+    alone = (
+        sets.select("x", "y", F.explode("items").alias("item")).groupBy("item")
+        .agg(F.count("*").alias("m"), F.min("x").alias("x"), F.min("y").alias("y")).where("m = 1")
+        .groupBy("x", "y").agg(F.count("*").alias("own"))
+    )
+    return sets.select("set", "x", "y").join(alone, ["x", "y"], "left").select("set", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def _fits(n: str, own: str, m: str, m_own: str, percent: int):
+    """Sets of n and m shingles, of which own and m_own in no other set, can be similar enough."""
+    common = F.least(F.col(n) - F.col(own), F.col(m) - F.col(m_own))
+    return 100 * common >= percent * (F.col(n) + F.col(m) - common)
+
+
+def _hopeful(n: str, own: str, least: str, percent: int):
+    """So can one of n shingles and some set of at least `least`: best is one that has all but its own."""
+    common = F.col(n) - F.col(own)
+    return 100 * common >= percent * (F.col(n) + F.greatest(F.col(least), common) - common)
+
+
+def _by_rare_shingles(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes in different components that may be similar enough, one of them outside
+    the largest component of a bucket.
+
+    With shingles in one order, rare ones first, sets with at least c in common share one among the
+    first n - c + 1 of each. c follows from the sizes: no partner is smaller than the bucket's least.
+    """
+    one = apart.groupBy("set").agg(
+        F.first("n").alias("n"), F.first("own").alias("own"), F.first("root").alias("root"),
+        F.min("least_n").alias("least"), F.max(F.col("root") != F.col("largest")).alias("minor"),
+    )
+    common = F.ceil(percent * (F.col("n") + F.greatest(F.ceil(percent * F.col("n") / 100), F.col("least"))) / (100 + percent) - 1e-9)
+    items = materialise(
+        one.withColumn("first", F.col("n") - common + 1).join(sets.select("set", F.explode("items").alias("item")), "set"), "items"
+    )
+    held = items.groupBy("item").agg(F.count("*").alias("m")).where("m > 1")
+    order = Window.partitionBy("set").orderBy(F.coalesce("m", F.lit(1)), "item")
+    early = (
+        items.join(held, "item", "left").withColumn("place", F.row_number().over(order))
+        .where("place <= first and m > 1").drop("m", "place", "first", "least")
+    )
+    early = materialise(early, "early")
+    minor = early.where("minor").select("item", *[F.col(c).alias(f"{c}_") for c in ("set", "n", "own", "root")])
+    return (
+        minor.join(early, "item").where("root != root_").where(_fits("n", "own", "n_", "own_", percent))
+        .where("set_ < set or not minor")
+        .select(F.least("set", "set_").alias("a"), F.greatest("set", "set_").alias("b")).distinct()
+    )
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
-    """(id_col, n_shingles, component_id, kept) for each row of docs.
+    """(id_col, n_shingles, component_id, kept, text_hash) for each row of docs.
 
     Documents are linked where 100 * intersection >= percent * union of their sets of distinct `words`-word
     shingles; a text of fewer words is one shingle, and one without words (or null) is empty and linked
     with nothing. component_id is the least id that links reach, kept says it is the document's own. Rows
     with equal ids are documents of their own: equal texts share a class, and each such row is kept if the
     class's least id is its own. Rows with a null id are linked with nothing and kept, with a null
-    component_id. Other columns are ignored; an empty table gives an empty result.
+    component_id. text_hash (xxhash64 of the UTF-8 bytes, null as empty) tells rows with equal ids apart. Other
+    columns are ignored; an empty table gives an empty result.
     """
     signed = materialise(signatures(docs, id_col, text_col, words), "signatures")
     usable = signed.where("id is not null and n_shingles > 0")
@@ -154,37 +208,36 @@ def near_duplicates(
         "classes",
     )
     in_band = classes.select("set", "id", "n", F.explode("bands").alias("bucket"))
-    centres = (
-        in_band.groupBy("bucket").agg(F.count("*").alias("m"), F.min("set").alias("centre"), F.min_by("n", "set").alias("centre_n"))
-        .where("m > 1").drop("m")
-    )
+    shared = in_band.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
     # members of buckets with company, which are a small part of all
-    members = materialise(in_band.join(centres, "bucket"), "members")
+    members = materialise(in_band.join(shared, "bucket"), "members")
     sets = materialise(
         _full_sets(docs, members.select("set", "id").distinct(), id_col, text_col, words), "sets"
     )
+    members = materialise(members.select("bucket", "set", "n").join(_private(sets), "set"), "profiled")
+    centres = members.groupBy("bucket").agg(F.min(F.struct("own", "set", "n")).alias("c")).select(
+        "bucket", F.col("c.set").alias("centre"), F.col("c.n").alias("c_n"), F.col("c.own").alias("c_own")
+    )
     star = materialise(
-        members.where("set != centre").where(_fits("n", "centre_n", percent)).select(F.col("centre").alias("a"), F.col("set").alias("b")).distinct(),
+        members.join(centres, "bucket").where("set != centre").where(_fits("n", "own", "c_n", "c_own", percent))
+        .select(F.col("centre").alias("a"), F.col("set").alias("b")).distinct(),
         "star",
     )
     links = materialise(_verified(star, sets, percent), "links")
     found = connected_components(links)
 
     # What one centre leaves apart: in each bucket all but its largest component against the rest.
-    labelled = members.select("bucket", "set", "n").join(found.withColumnRenamed("node", "set"), "set", "left")
-    labelled = materialise(labelled.select("bucket", "set", "n", F.coalesce("root", "set").alias("root")), "labelled")
-    by_root = labelled.groupBy("bucket", "root").agg(F.count("*").alias("m"))
+    labelled = members.join(found.withColumnRenamed("node", "set"), "set", "left")
+    labelled = materialise(labelled.select("bucket", "set", "n", "own", F.coalesce("root", "set").alias("root")), "labelled")
+    by_root = labelled.groupBy("bucket", "root").agg(F.count("*").alias("m"), F.min("n").alias("n"))
     mixed = (
-        by_root.groupBy("bucket").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("m", "root")).alias("largest"))
+        by_root.groupBy("bucket")
+        .agg(F.count("*").alias("roots"), F.max(F.struct("m", "root"))["root"].alias("largest"), F.min("n").alias("least_n"))
         .where("roots > 1").drop("roots")
     )
-    apart = labelled.join(mixed, "bucket")
-    minor = apart.where("root != largest").select("bucket", *[F.col(c).alias(f"{c}_") for c in ("set", "n", "root")])
-    rest = (
-        minor.join(apart, "bucket").where("root != root_").where(_fits("n", "n_", percent))
-        .where("set_ < set or root = largest")
-        .select(F.least("set", "set_").alias("a"), F.greatest("set", "set_").alias("b")).distinct()
-        .join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    apart = labelled.join(mixed, "bucket").where(_hopeful("n", "own", "least_n", percent))
+    rest = _by_rare_shingles(apart, sets, percent).join(
+        star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
     )
     more = materialise(_verified(materialise(rest, "rest"), sets, percent), "more-links")
     roots = connected_components(links.union(more)) if more.limit(1).count() else found
@@ -198,6 +251,6 @@ def near_duplicates(
         .withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")))
         .select(
             F.col("id").alias(id_col), "n_shingles", "component_id",
-            F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+            F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_hash",
         )
     )
