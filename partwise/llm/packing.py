@@ -7,8 +7,8 @@ packs at a time. Then each piece finds its place by its length and its rank amon
 length.
 
 As many sequences are opened as the tokens fill: full ones, and for what is left over one for each
-power of two in it, which need no padding either. A piece that fits no open pack is cut over the
-shortest ones, so that all sequences are full.
+power of two in it, which need no padding either. Pieces that then fit no open pack are cut over the
+rooms that all others leave, so that all sequences are full.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partwise.llm.tables import id_and_text, in_slices, materialise
-from partwise.llm.wordpieces import Cache, packed, shared, tokens
+from partwise.llm.wordpieces import chunk_cache, packed, shared, short, tokens
 
 # Pieces of one length are ranked in so many parts, so that a length that many documents share is not one task.
 RANK_PARTS = 512
@@ -69,60 +69,95 @@ class Packs:
             self.last = []
 
 
-def plan(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, list[tuple[int, ...]]]]:
-    """For each length and run of ranks (length, first, n, parts).
+Run = tuple[int, int, int, int, int, int]
 
-    A part (start, len, sequence, offset, docs) is len ids from start of the j-th piece of the run, in
-    sequence + j // docs at offset + j % docs * len. A piece of several parts is cut.
+
+def plan(histogram: dict[int, int], size: int) -> tuple[list[Run], list[tuple], list[tuple]]:
+    """Places for all ranks of all lengths: (runs, cut, rooms).
+
+    A run (length, first, n, sequence, offset, docs) has n pieces from rank `first`; the j-th of them lies
+    in sequence + j // docs, at offset + j % docs * length. Lengths that no pack has room for any more
+    are cut: (length, first, n, start), a line of tokens from `start` on, over the rooms
+    (start, room, packs, sequence, offset), which form a line as long.
     """
     packs = Packs(sum(length * n for length, n in histogram.items()), size)
-    runs = []
+    runs, cut, at = [], [], 0
     for length in sorted(histogram, reverse=True):
-        todo = [(0, histogram[length], 0, ())]
-        while todo:
-            first, n, done, parts = todo.pop()
-            rest = length - done
-            packs.open(rest, n)
-            room, group = packs.take(n)
-            sequence, c, capacity = group
-            if room >= rest:
-                docs = min(room // rest, n // c)
-                used = c * docs
-                packs.put(room - rest * docs, group)
-                runs.append((length, first, used, [*parts, (done, rest, sequence, capacity - room, docs)]))
-            else:
-                used = c
-                todo.append((first, used, done + room, (*parts, (done, room, sequence, capacity - room, 1))))
-            if used < n:
-                # the pieces after these: their parts so far lie in later sequences
-                moved = tuple((s, k, q + used, o, d) for s, k, q, o, d in parts)
-                todo.append((first + used, n - used, done, moved))
-    return sorted(runs, key=lambda r: r[:2])
+        first, left = 0, histogram[length]
+        while left:
+            packs.open(length, left)
+            if packs.rooms[-1] < length:
+                cut.append((length, first, left, at))
+                at += length * left
+                break
+            room, group = packs.take(left)
+            sequence, n_packs, capacity = group
+            docs = min(room // length, left // n_packs)
+            packs.put(room - length * docs, group)
+            runs.append((length, first, n_packs * docs, sequence, capacity - room, docs))
+            first, left = first + n_packs * docs, left - n_packs * docs
+    rooms, at = [], 0
+    for room in sorted(packs.by_room, reverse=True):
+        for sequence, n_packs, capacity in packs.by_room[room]:
+            rooms.append((at, room, n_packs, sequence, capacity - room))
+            at += room * n_packs
+    return runs, cut, rooms
+
+
+class Places:
+    """The plan as sorted arrays, for lookups by length and rank."""
+
+    def __init__(self, runs: list[Run], cut: list[tuple], rooms: list[tuple]) -> None:
+        # a cut length's row has its start in the line, and no packs
+        rows = sorted([*runs, *[(length, first, n, start, 0, 0) for length, first, n, start in cut]])
+        self.rows = np.array(rows, np.int64).reshape(-1, 6)
+        self.keys = self.rows[:, 0] << 44 | self.rows[:, 1]
+        self.rooms = np.array(rooms, np.int64).reshape(-1, 5)
+
+    def find(self, length: np.ndarray, rank: np.ndarray) -> list[list[tuple[int, int, int, int]]]:
+        """For each piece its parts (start, length, sequence, offset)."""
+        rows = self.rows[np.searchsorted(self.keys, length << 44 | rank, side="right") - 1]
+        out = []
+        for (k, first, _, base, offset, docs), j in zip(rows.tolist(), rank.tolist()):
+            j -= first
+            out.append([(0, k, base + j // docs, offset + j % docs * k)] if docs else self._over_rooms(base + j * k, k))
+        return out
+
+    def _over_rooms(self, at: int, length: int) -> list[tuple[int, int, int, int]]:
+        parts, done = [], 0
+        while done < length:
+            start, room, _, sequence, offset = self.rooms[np.searchsorted(self.rooms[:, 0], at, side="right") - 1].tolist()
+            pack, inner = divmod(at - start, room)
+            n = min(room - inner, length - done)
+            parts.append((done, n, sequence + pack, offset + inner))
+            done, at = done + n, at + n
+        return parts
 
 
 def tokenised(docs: DataFrame, path: str, id_col: str, text_col: str, size: int, end_id: int, cache_size: int) -> DataFrame:
-    """Pieces of at most size ids: (id, start, doc_tokens, length, ids as unsigned 32-bit, little-endian)."""
+    """Pieces of at most size ids: (id, start, doc_tokens, length, ids in 2 bytes each where all fit, else 4)."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches):
         own = tokens(path)
-        cache = shared(("ids", path), lambda: Cache(lambda c: packed(own.chunk(c)), {}, cache_size))
-        chunk, end, step = cache.__getitem__, packed([end_id]), 4 * size
+        form, width = (short, 2) if own.library.get_vocab_size() <= 1 << 16 else (packed, 4)
+        chunk = shared(("ids", path), lambda: chunk_cache(own, form, {}, cache_size)).__getitem__
+        end, step = form([end_id]), width * size
         for batch in in_slices(batches):
             keep, start, total, ids = [], [], [], []
             for row, raw in enumerate(batch.column(1).to_pylist()):
-                made = (b"".join(map(chunk, raw.split())) if own.by_chunk else packed(own.ids(raw))) + end
+                made = (b"".join(map(chunk, raw.split())) if own.by_chunk else form(own.ids(raw))) + end
                 for at in range(0, len(made), step):
                     keep.append(row)
-                    start.append(at // 4)
-                    total.append(len(made) // 4)
+                    start.append(at // width)
+                    total.append(len(made) // width)
                     ids.append(made[at : at + step])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(keep, pa.int64())),
                     pa.array(start, pa.int64()),
                     pa.array(total, pa.int64()),
-                    pa.array([len(i) // 4 for i in ids], pa.int32()),
+                    pa.array([len(i) // width for i in ids], pa.int32()),
                     pa.array(ids, pa.binary()),
                 ],
                 ["id", "start", "doc_tokens", "length", "ids"],
@@ -151,7 +186,7 @@ def pack_documents(
     text_col: str = "text",
     size: int = 4096,
     end_id: int = 2,
-    cache_size: int = 300_000,
+    cache_size: int = 250_000,
 ) -> DataFrame:
     """(id_col, start, length, ids, doc_tokens, sequence_id, offset), one row for each piece.
 
@@ -165,29 +200,25 @@ def pack_documents(
     pieces = materialise(made.withColumn("piece", F.monotonically_increasing_id()), "pieces")
     # at most `size` rows come to the driver
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    runs = plan(histogram, size)
-    keys = np.array([r[0] << 44 | r[1] for r in runs], dtype=np.int64)
-    places = spark.sparkContext.broadcast((keys, [(r[1], r[3]) for r in runs]))
+    places = spark.sparkContext.broadcast(Places(*plan(histogram, size)))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def place(batches):
-        keys, runs = places.value
         for batch in in_slices(batches, 1024):
             ids = batch.column(batch.schema.get_field_index("ids")).to_pylist()
             start = batch.column(batch.schema.get_field_index("start")).to_pylist()
             rank = batch.column(batch.schema.get_field_index("rank")).to_numpy()
             length = batch.column(batch.schema.get_field_index("length")).to_numpy().astype(np.int64)
-            found = np.searchsorted(keys, length << 44 | rank, side="right") - 1
             keep, begins, cut, sequence, offset = [], [], [], [], []
-            for row, (k, j) in enumerate(zip(found.tolist(), rank.tolist())):
-                first, parts = runs[k]
-                j -= first
-                for at, n, base, off, per in parts:
+            for row, parts in enumerate(places.value.find(length, rank)):
+                for at, n, in_sequence, in_offset in parts:
                     keep.append(row)
                     begins.append(start[row] + at)
-                    cut.append(ids[row][4 * at : 4 * (at + n)])
-                    sequence.append(base + j // per)
-                    offset.append(off + j % per * n)
+                    width = len(ids[row]) // length[row]
+                    piece = ids[row][width * at : width * (at + n)]
+                    cut.append(np.frombuffer(piece, np.uint16).astype("<u4").tobytes() if width == 2 else piece)
+                    sequence.append(in_sequence)
+                    offset.append(in_offset)
             rows = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partwise.llm.tables import id_and_text, in_slices
-from partwise.llm.wordpieces import LONGEST_KEPT, Cache, shared, tokens
+from partwise.llm.wordpieces import LONGEST_KEPT, Cache, chunk_cache, shared, tokens
 
 
 def frequent_lengths(docs: DataFrame, text_col: str, path: str, sample_rows: int, table_size: int) -> tuple[bytes, bytes]:
@@ -35,7 +35,7 @@ def frequent_lengths(docs: DataFrame, text_col: str, path: str, sample_rows: int
     best = pairs.groupBy("chunk").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "chunk").limit(table_size)
     chunks = [bytes(r["chunk"]) for r in best.collect()]
     own = tokens(path)
-    lengths = [len(own.chunk(c)) for c in chunks] if own.by_chunk else []
+    lengths = [len(own.ids(c)) for c in chunks] if own.by_chunk else []
     # A chunk has at most as many tokens as bytes, so a byte holds its length.
     return b" ".join(chunks[: len(lengths)]), bytes(lengths)
 
@@ -48,7 +48,7 @@ def count_tokens(
     limit: int = 2048,
     sample_rows: int = 2000,
     table_size: int = 32_768,
-    cache_size: int = 400_000,
+    cache_size: int = 250_000,
 ) -> DataFrame:
     """(id_col, n_bytes, n_tokens, over_limit) for each row of docs.
 
@@ -64,7 +64,7 @@ def count_tokens(
     def cache() -> Cache:
         chunks, sizes = table.value
         own = tokens(path)
-        return Cache(lambda c: len(own.chunk(c)), dict(zip(chunks.split(), sizes)), cache_size)
+        return chunk_cache(own, len, dict(zip(chunks.split(), sizes)), cache_size)
 
     def count(batches):
         own = tokens(path)

@@ -13,15 +13,19 @@ import os
 import re
 import sys
 import types
+from array import array
 
 import numpy as np
 
 # Fixed value: a pre-tokenizer with this pattern, removing what it does not match, never joins over white space.
 DROPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# A word that needs no normaliser but lower case, with at most one mark after it.
-PLAIN = re.compile(rb"([A-Za-z]+)([.,]?)")
 LONGEST_KEPT = 64
-
+# Letters before this one, but for the one below, are their own NFC form and have one small letter.
+FIRST_OTHER, DOTTED_I = "\u0180", "\u0130"
+# The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+BYTE_CHARACTERS = {b: b for b in _PRINTABLE} | {b: 256 + i for i, b in enumerate(_OTHERS)}
 
 
 class Tokens:
@@ -38,7 +42,6 @@ class Tokens:
         self.library.no_padding()
         self.by_chunk = self._splits_at_space(made)
         self.model = self.library.model
-        self.marks = {m: self.ids(m) for m in (b".", b",")} if self.by_chunk else {}
 
     @staticmethod
     def _splits_at_space(made: dict) -> bool:
@@ -57,12 +60,18 @@ class Tokens:
     def ids(self, raw: bytes) -> list[int]:
         return self.library.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids
 
-    def chunk(self, raw: bytes) -> list[int]:
-        plain = PLAIN.fullmatch(raw)
-        if plain is None:
-            return self.ids(raw)
-        ids = [t.id for t in self.model.tokenize(plain[1].lower().decode())]
-        return ids + self.marks[plain[2]] if plain[2] else ids
+    def folded(self, raw: bytes) -> bytes | None:
+        """A chunk of letters that needs no normaliser but lower case, so changed; others give None."""
+        if raw.isalpha():  # ASCII letters only
+            return raw.lower()
+        text = raw.decode("utf-8", "replace")
+        if text.isalpha() and max(text) < FIRST_OTHER and DOTTED_I not in text:
+            return text.lower().encode()
+        return None
+
+    def word(self, folded: bytes) -> list[int]:
+        text = folded.decode() if folded.isascii() else folded.decode("latin-1").translate(BYTE_CHARACTERS)
+        return [t.id for t in self.model.tokenize(text)]
 
 
 def shared(key: tuple, make):
@@ -82,21 +91,49 @@ def tokens(path: str) -> Tokens:
 
 
 class Cache(dict):
-    """What is made of a chunk, made when it is first asked for; emptied to its first entries when full."""
+    """What is made of a key, made when it is first asked for.
+
+    When `most` entries have come to the first ones, they become the old half: what is asked for again
+    moves over, the rest goes with the next change.
+    """
 
     def __init__(self, make, first: dict, most: int) -> None:
         super().__init__(first)
-        self.make, self.first, self.most = make, first, len(first) + most
+        self.make, self.first, self.most, self.old = make, first, len(first) + most, {}
 
-    def __missing__(self, chunk: bytes):
-        made = self.make(chunk)
-        if len(chunk) <= LONGEST_KEPT:
+    def __missing__(self, key: bytes):
+        made = self.old.get(key)
+        if made is None:
+            made = self.make(key)
+        if len(key) <= LONGEST_KEPT:
             if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
                 self.update(self.first)
-            self[chunk] = made
+            self[key] = made
         return made
 
 
+def chunk_cache(own: Tokens, form, first: dict, most: int) -> Cache:
+    """What `form` makes of the ids of a chunk; forms of parts have to add up to the form of the whole."""
+    words = Cache(lambda word: form(own.word(word)), {}, most // 2)
+    marks = {m: form(own.ids(m)) for m in (b".", b",")}
+
+    def make(chunk: bytes):
+        mark = marks.get(chunk[-1:])
+        word = own.folded(chunk if mark is None else chunk[:-1])
+        if word is None:
+            return form(own.ids(chunk))
+        return words[word] if mark is None else words[word] + mark
+
+    return Cache(make, first, most)
+
+
 def packed(ids: list[int]) -> bytes:
+    """Unsigned 32-bit integers, little-endian."""
     return np.array(ids, dtype="<u4").tobytes()
+
+
+def short(ids: list[int]) -> bytes:
+    """Unsigned 16-bit integers, for vocabularies that are small enough, in this machine's order."""
+    return array("H", ids).tobytes()
