@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,9 +75,10 @@ def _noisy(tag: str, attrs: str) -> bool:
     )
 
 
-def read_page(source: str) -> tuple[Node, list[tuple[Node, str, int]]]:
-    """The tree, and the runs of text with the element each is in and how many characters are links."""
+def read_page(source: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
+    """All elements, parents first, and the runs of text with their elements and numbers of characters in links."""
     root = node = Node("html", None, False)
+    nodes, open_tags = [root], Counter()
     runs: list[tuple[Node, str, int]] = []
     texts: list[str] = []
     links: list[str] = []
@@ -94,11 +96,16 @@ def read_page(source: str) -> tuple[Node, list[tuple[Node, str, int]]]:
     def leave(upto: Node) -> None:
         nonlocal node, in_link
         flush()
-        node, in_link = upto.parent or root, False
+        while True:
+            gone, node = node, node.parent or root
+            open_tags[gone.tag] -= 1
+            if gone is upto:
+                break
+        in_link = False
 
     def opened(tags: set[str], stop: set[str]) -> Node | None:
         """The outermost open element of these tags inside the nearest container."""
-        found, up = None, node
+        found, up = None, node if any(open_tags[t] for t in tags) else root
         while up is not root and up.tag not in stop:
             if up.tag in tags:
                 found = up
@@ -126,7 +133,7 @@ def read_page(source: str) -> tuple[Node, list[tuple[Node, str, int]]]:
                 texts.append(" ")
             continue
         if closing:
-            up = node
+            up = node if open_tags[name] else root
             while up is not root and up.tag != name:
                 up = up.parent
             if up is not root:
@@ -146,35 +153,34 @@ def read_page(source: str) -> tuple[Node, list[tuple[Node, str, int]]]:
         if name in VOID or name in ("html",):
             continue
         made = Node(name, node, node.dropped or name in DROPPED or _noisy(name, attrs))
+        nodes.append(made)
         if name in RAW and not attrs.rstrip().endswith("/"):
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*(?:>|\\Z)|\\Z", re.I).search(source, at)
             at = end.end()
             continue
         node, in_link = made, False
+        open_tags[name] += 1
     flush()
-    return root, runs
+    return nodes, runs
 
 
-def _score(runs: list[tuple[Node, str, int]]) -> list[Node]:
-    """Passes points and lengths up; the elements that got some."""
-    seen: dict[int, Node] = {}
+def _score(nodes: list[Node], runs: list[tuple[Node, str, int]]) -> None:
+    """Passes points to the elements above each run, and lengths all the way up."""
     for node, text, linked in runs:
         points = (1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)) * (1 - linked / len(text))
         if node.tag in ("h1", "h2", "h3", "h4", "h5", "h6", "li", "figcaption"):
             points /= 4
         own = node.tag in ("div", "section", "article", "main", "body", "html", "td")
         up, level = node if own else node.parent or node, 1
-        while up is not None:
+        while up is not None and level < 10_000:  # what is left of the points by then is next to nothing
             up.points += points / level
-            seen[id(up)] = up
             up, level = up.parent, level * 2 if level < 2 else level * 3
-        up = node
-        while up is not None:
-            up.chars += len(text)
-            up.linked += linked
-            seen[id(up)] = up
-            up = up.parent
-    return list(seen.values())
+        node.chars += len(text)
+        node.linked += linked
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.chars += node.chars
+            node.parent.linked += node.linked
 
 
 def _density(node: Node) -> float:
@@ -185,16 +191,12 @@ def main_text(source: str | None) -> str:
     """Blocks of the main text joined by empty lines; empty if there is none."""
     if not source:
         return ""
-    _, runs = read_page(source)
+    nodes, runs = read_page(source)
     if not runs:
         return ""
-    candidates = [n for n in _score(runs) if n.points > 0 and n.tag not in ("p", "tr", "table", "tbody", "ul", "ol", "html")]
-    if not candidates:
-        best = runs[0][0]
-        while best.parent is not None:
-            best = best.parent
-    else:
-        best = max(candidates, key=lambda n: n.points * (1 - _density(n)))
+    _score(nodes, runs)
+    candidates = [n for n in nodes if n.points > 0 and n.tag not in ("p", "tr", "table", "tbody", "ul", "ol", "html")]
+    best = max(candidates, key=lambda n: n.points * (1 - _density(n)), default=nodes[0])
     landmark = best
     while landmark is not None and landmark.tag not in ("article", "main"):
         landmark = landmark.parent
@@ -210,14 +212,10 @@ def main_text(source: str | None) -> str:
             if other.points * (1 - dense) >= least or landmark is None and (plain or other.tag in HEADINGS and dense < 0.3):
                 kept.add(id(other))
 
-    def inside(node: Node | None) -> bool:
-        while node is not None:
-            if id(node) in kept:
-                return True
-            node = node.parent
-        return False
-
-    return "\n\n".join(text for node, text, _ in runs if inside(node))
+    for node in nodes:
+        if node.parent is not None and id(node.parent) in kept:
+            kept.add(id(node))
+    return "\n\n".join(text for node, text, _ in runs if id(node) in kept)
 
 
 def extract_text(
