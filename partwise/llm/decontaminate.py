@@ -25,7 +25,7 @@ from partwise.llm.tables import id_and_text, in_slices, materialise
 
 WINDOW, STEP = 32, 16
 RANK = 48
-LEAST_COSINE = 0.45
+LEAST_COSINE = 0.4
 SHARED = 0.4  # of a benchmark passage's words, before the subsequence is sought
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
 SHORT = 12  # items of fewer words are found as a run of just these words
@@ -241,7 +241,9 @@ def _search(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFr
     seen = np.zeros(len(items.terms))
     for r in counted.select(F.posexplode("seen").alias("term", "n")).groupBy("term").agg(F.sum("n").alias("n")).collect():
         seen[r["term"]] = r["n"]
-    idf = (np.log((n + 1) / (seen + 1)) + 1e-3).astype(np.float32)
+    # words of answers alone are looked for later; they do not count in passages
+    asked = np.isin(np.arange(len(seen)), np.concatenate(items.words))
+    idf = (asked * (np.log((n + 1) / (seen + 1)) + 0.3)).astype(np.float32)
     space = latent_space(texts, idf)
     latent = items.vectors(idf) @ space if items.passages else np.zeros((0, space.shape[1]), np.float32)
     latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
