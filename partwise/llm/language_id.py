@@ -14,6 +14,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -124,6 +125,31 @@ def fit(
     return Model(languages, code, w, trust / trust.sum(1, keepdims=True) * y.shape[1])
 
 
+def with_language(docs: DataFrame, model: Model | None, text_col: str = "text", least_margin: float = 0.05) -> DataFrame:
+    """docs with lang_pred, score and ambiguous, as identify() gives them; columns of these names are replaced."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        model, n = shared.value, len(texts)
+        lang, score, close = ["und"] * n, [0.0] * n, [False] * n
+        for at in range(0, n, 256):
+            rows = [i for i in range(at, min(n, at + 256)) if model and LETTER.search(texts.iat[i] or "")]
+            if not rows:
+                continue
+            loss = model.losses(np.stack([features(texts.iat[i].encode()) for i in rows]))
+            share = np.exp(loss.min(1, keepdims=True) - loss)
+            share /= share.sum(1, keepdims=True)
+            best, ranked = loss.argmin(1), np.sort(loss, axis=1)
+            for k, i in enumerate(rows):
+                lang[i], score[i] = model.languages[best[k]], float(min(1.0, share[k, best[k]]))
+                close[i] = len(model.languages) > 1 and bool(ranked[k, 1] - ranked[k, 0] < least_margin)
+        return pd.DataFrame({"lang_pred": lang, "score": score, "ambiguous": close})
+
+    kept = docs.drop("lang_pred", "score", "ambiguous").withColumn("_said", predict(F.coalesce(F.col(text_col), F.lit(""))))
+    return kept.select(*[c for c in kept.columns if c != "_said"], "_said.*")
+
+
 def identify(
     docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", least_margin: float = 0.05
 ) -> DataFrame:
@@ -134,29 +160,5 @@ def identify(
     nearer than least_margin to it. Ids may be null or repeated; only the text decides, other columns are
     ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    id_type = docs.schema[id_col].dataType.simpleString()
-
-    def predict(batches):
-        model = shared.value
-        for batch in in_slices(batches):
-            raws = batch.column(1).to_pylist()
-            lang, score, close = ["und"] * len(raws), [0.0] * len(raws), [False] * len(raws)
-            rows = [i for i, raw in enumerate(raws) if model and LETTER.search(raw.decode("utf-8", "replace"))]
-            if rows:
-                loss = model.losses(np.stack([features(raws[i]) for i in rows]))
-                share = np.exp(loss.min(1, keepdims=True) - loss)
-                share /= share.sum(1, keepdims=True)
-                best, ranked = loss.argmin(1), np.sort(loss, axis=1)
-                for k, i in enumerate(rows):
-                    lang[i], score[i] = model.languages[best[k]], float(min(1.0, share[k, best[k]]))
-                    close[i] = len(model.languages) > 1 and bool(ranked[k, 1] - ranked[k, 0] < least_margin)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(close, pa.bool_())],
-                ["id", "lang_pred", "score", "ambiguous"],
-            )
-
-    predicted = id_and_text(docs, id_col, text_col).mapInArrow(
-        predict, f"id {id_type}, lang_pred string, score double, ambiguous boolean"
-    )
-    return predicted.withColumnRenamed("id", id_col)
+    said = with_language(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), model, "text", least_margin)
+    return said.select(F.col("id").alias(id_col), "lang_pred", "score", "ambiguous")
