@@ -47,7 +47,7 @@ _URL_SQL = r"'^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)'"
           regexp_extract(url, {_URL_SQL}, 3) as full_path from urls),
       done as (
         select id, raw, role, scheme, authority, regexp_matches(url, '[?#]') as has_query,
-          case when scheme in ('http','https','ftp','sftp','hdfs') then regexp_replace(full_path, ';[^/]*$', '') else full_path end as path
+          case when scheme in ('ftp','hdl','prospero','http','imap','https','shttp','rtsp','rtsps','rtspu','sip','sips','mms','sftp','tel') then regexp_replace(full_path, ';[^/]*$', '') else full_path end as path
         from cut)
     select id, raw, role, scheme, authority, path, has_query,
       case when role <> 'store' and scheme = 'file' and authority not in ('', 'localhost') then 'InvalidSourceURL'
@@ -319,7 +319,7 @@ def _(v: Views) -> DataFrame:
 
 @query(
     "completion_list",
-    """select upload_id, part_num // 1000 as page, count(*) as n_parts,
+    """select upload_id, part_num // 10000 as page, count(*) as n_parts,
          string_agg(part_num || ':' || etag, ',' order by part_num) as parts
        from (select upload_id, part_num, etag from completed
              union all select 'l' || upload_id, part_num, md5(cast(size as varchar)) from line_parts) group by 1, 2""",
@@ -336,11 +336,11 @@ def _(v: Views) -> DataFrame:
 @query(
     "merge_completed",
     """select upload_id, part_num, min(size) as size, md5(cast(min(size) as varchar)) as etag, case when count(*) > 1 then 'DuplicatePart' end as reject_reason
-       from (select * from line_parts union all select * from all_line_parts where part_num = 1) group by 1, 2""",
+       from (select * from line_parts union all select * from all_line_parts) group by 1, 2""",
 )
 def _(v: Views) -> DataFrame:
     tagged = lambda df: df.withColumn("etag", F.md5(F.col("size").cast("string").cast("binary")))
-    return uploads.merge_completed(tagged(v.line_parts()), tagged(v.all_line_parts().filter("part_num = 1")))
+    return uploads.merge_completed(tagged(v.line_parts()), tagged(v.all_line_parts()))
 
 
 @query(
@@ -356,7 +356,7 @@ def _(v: Views) -> DataFrame:
 @query(
     "retry_latest",
     """select upload_id, part_num, event_id, ok, md5, strftime(recorded_at, '%Y-%m-%d %H:%M:%S.%f') as recorded from (select *, row_number() over (
-         partition by upload_id, part_num order by recorded_at desc, event_id desc) as rn from attempts) where rn = 1""",
+         partition by upload_id, part_num order by recorded_at desc, event_id desc) as rn from attempts where ok) where rn = 1""",
 )
 def _(v: Views) -> DataFrame:
     latest = uploads.retry_latest(v.attempts())
@@ -483,15 +483,16 @@ def object_keys(v: Views) -> DataFrame:
 
 
 def keyed_parts(v: Views) -> DataFrame:
-    """Parts of the objects whose key is usable; the key is joined before the content is cut."""
-    keyed = v.objects().join(object_keys(v).filter("reject_reason is null").select("object_id", "object_key"), "object_id")
-    return parts.split_parts(keyed.select("object_id", "object_key", "content"), P)
+    """Parts with the keys of their objects, or why they have none; joined before the content is cut."""
+    keyed = v.objects().join(object_keys(v).select("object_id", "object_key", "reject_reason"), "object_id")
+    return parts.split_parts(keyed.select("object_id", "object_key", "reject_reason", "content"), P)
 
 
 @query(
     "encrypt_objects",
-    """select object_id, part_num, "end"-"start" + case when object_id % 4 = 3 then 0 else 28 end as stored_size,
-         object_id % 4 <> 3 as changed from parts where object_id % 4 <> 2""",
+    """select object_id, part_num, case when object_id % 4 <> 2 then "end"-"start" + case when object_id % 4 = 3 then 0 else 28 end end as stored_size,
+         case when object_id % 4 <> 2 then object_id % 4 <> 3 end as changed,
+         case when object_id % 4 = 2 then 'InvalidEncryptionKey' end as reject_reason from parts""",
 )
 def _(v: Views) -> DataFrame:
     stored = crypto.encrypt_objects(keyed_parts(v).withColumn("plain", F.md5("bytes")))
@@ -500,14 +501,15 @@ def _(v: Views) -> DataFrame:
         "part_num",
         F.length("bytes").cast("bigint").alias("stored_size"),
         (F.md5("bytes") != F.col("plain")).alias("changed"),
+        "reject_reason",
     )
 
 
 @query(
     "decrypt_objects",
-    """select object_id, part_num, wrong, case when not wrong then md5(bytes) end as md5,
-         case when wrong then 'InvalidEncryptionKey' end as reject_reason
-       from (select *, object_id % 4 <> 3 and part_num % 5 = 4 as wrong from parts where object_id % 4 <> 2)""",
+    """select object_id, part_num, wrong, case when not (wrong or bad) then md5(bytes) end as md5,
+         case when wrong or bad then 'InvalidEncryptionKey' end as reject_reason
+       from (select *, object_id % 4 in (0, 1) and part_num % 5 = 4 as wrong, object_id % 4 = 2 as bad from parts)""",
 )
 def _(v: Views) -> DataFrame:
     # Every fifth part of an encrypted object is read with a key that is not its own.
@@ -518,9 +520,10 @@ def _(v: Views) -> DataFrame:
     return opened.select("object_id", "part_num", "wrong", F.md5("bytes").alias("md5"), "reject_reason")
 
 
-@query("reencrypt_objects", """select object_id, part_num, md5(bytes) as md5, cast(null as varchar) as reject_reason from parts where object_id % 4 <> 2""")
+@query("reencrypt_objects", """select object_id, part_num, case when object_id % 4 <> 2 then md5(bytes) end as md5,
+  case when object_id % 4 = 2 then 'InvalidEncryptionKey' end as reject_reason from parts""")
 def _(v: Views) -> DataFrame:
     stored = crypto.encrypt_objects(keyed_parts(v)).withColumn("new_key", F.sha2(F.col("object_id").cast("string").cast("binary"), 256))
-    moved = crypto.reencrypt_objects(stored, "object_key", "new_key").drop("reject_reason")
+    moved = crypto.reencrypt_objects(stored, "object_key", "new_key")
     opened = crypto.decrypt_objects(moved, "new_key")
     return opened.select("object_id", "part_num", F.md5("bytes").alias("md5"), "reject_reason")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 _URL = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
 
 # Schemes whose last path segment may carry ";parameters".
-PARAMETER_SCHEMES = ["http", "https", "ftp", "sftp", "hdfs"]
+PARAMETER_SCHEMES = [
+    "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp", "rtsps", "rtspu", "sip", "sips", "mms", "sftp", "tel",
+]
 
 
 def split_url(url: Column) -> Column:

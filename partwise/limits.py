@@ -4,7 +4,6 @@
 MIN_PART_SIZE = 5 * 1024**2
 MAX_PART_SIZE = 5 * 1024**3
 MAX_PARTS_PER_UPLOAD = 10_000
-COMPLETION_PAGE = 1_000
 
 # Bytes handed to a digest at a time.
 READ_BUFFER = 1024**2

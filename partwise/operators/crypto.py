@@ -29,21 +29,25 @@ def derive_object_keys(objects: DataFrame, keys: DataFrame) -> DataFrame:
 
     objects holds key_id, bucket, key and location. Many objects may use one key: the key table
     is salted. An unknown key, or one that is not 32 bytes long, is a reject; an object without
-    key_id has no key and is none.
+    key_id has no key and is none. A master key makes keys from URLs: an object whose location is
+    unknown has none, which is a missing permission.
     """
     table = keys.select("key_id", F.col("key").alias("_key"), "is_master", "reject_reason")
     wanted = objects.select("object_id", "key_id", "bucket", F.col("key").alias("_name"), "location")
     found = salted_join(wanted, table, ["key_id"], ["object_id"], "left")
     url = F.concat_ws("/", endpoint_url(F.col("location")), F.col("bucket"), F.col("_name"))
     usable = K.valid_key(F.col("_key")) & F.col("reject_reason").isNull()
-    resolved = found.withColumn("_resolved", F.when(usable, K.object_key(F.col("_key"), F.col("is_master"), url)))
+    placed = ~F.col("is_master") | F.col("location").isNotNull()
+    resolved = found.withColumn("_resolved", F.when(usable & placed, K.object_key(F.col("_key"), F.col("is_master"), url)))
     return resolved.select(
         "object_id",
         "key_id",
         F.lower(F.hex("_resolved")).alias("object_key"),
         F.base64("_resolved").alias("key_b64"),
         K.fingerprint(F.col("_resolved")).alias("key_md5_b64"),
-        F.when(F.col("key_id").isNotNull() & ~usable, F.lit("InvalidEncryptionKey")).alias("reject_reason"),
+        F.when(F.col("key_id").isNotNull() & ~usable, F.lit("InvalidEncryptionKey"))
+        .when(F.col("key_id").isNotNull() & ~placed, F.lit("PermissionDenied"))
+        .alias("reject_reason"),
     )
 
 
@@ -68,20 +72,32 @@ def decrypted(content: Column, key_hex: Column) -> Column:
 
 
 def encrypt_objects(parts: DataFrame, key_col: str = "object_key") -> DataFrame:
-    """bytes encrypted in place; parts already hold the key of their object (see attach_keys)."""
-    return parts.withColumn("bytes", encrypted(F.col("bytes"), F.col(key_col)))
+    """bytes encrypted in place; parts already hold the key of their object (see attach_keys).
+
+    Parts that have a reject_reason, as those of an object whose key is unusable, lose their bytes.
+    """
+    stored = encrypted(F.col("bytes"), F.col(key_col))
+    if "reject_reason" in parts.columns:
+        stored = F.when(F.col("reject_reason").isNull(), stored)
+    return parts.withColumn("bytes", stored)
 
 
 def decrypt_objects(parts: DataFrame, key_col: str = "object_key") -> DataFrame:
-    """bytes decrypted in place, and reject_reason; stored is_encrypted tells that a key is needed."""
+    """bytes decrypted in place, and reject_reason; stored is_encrypted tells that a key is needed.
+
+    Parts that were rejects before keep their reason.
+    """
     plain = decrypted(F.col("bytes"), F.col(key_col))
     no_key = F.lit(False)
     if "is_encrypted" in parts.columns:
         no_key = F.col("is_encrypted") & F.col(key_col).isNull()
     result = parts.withColumn("_plain", F.when(~no_key, plain))
     return result.select(
-        *[F.col("_plain").alias(c) if c == "bytes" else F.col(c) for c in parts.columns],
-        F.when(F.col("_plain").isNull(), F.lit("InvalidEncryptionKey")).alias("reject_reason"),
+        *[F.col("_plain").alias(c) if c == "bytes" else F.col(c) for c in parts.columns if c != "reject_reason"],
+        F.coalesce(
+            F.col("reject_reason") if "reject_reason" in parts.columns else F.lit(None),
+            F.when(F.col("_plain").isNull(), F.lit("InvalidEncryptionKey")),
+        ).alias("reject_reason"),
     )
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partwise.limits import BLOCK_BITS
+from partwise.limits import BLOCK_BITS, READ_BUFFER
 
 # Digests Spark computes itself; every other name goes through hashlib in the fold.
 _BUILTIN = {
@@ -220,7 +220,10 @@ def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for object_id, data in zip(batch.column(0).to_pylist(), batch.column(1)):
             if not data.is_valid:
                 continue
-            found = np.bincount(np.frombuffer(data.as_buffer(), dtype=np.uint8), minlength=256)
+            found = np.zeros(256, dtype=np.int64)
+            flat = np.frombuffer(data.as_buffer(), dtype=np.uint8)
+            for at in range(0, len(flat), READ_BUFFER):  # bincount widens what it counts to 8 bytes each
+                found += np.bincount(flat[at : at + READ_BUFFER], minlength=256)
             present = np.flatnonzero(found)
             if not len(present):  # tells that the object is there
                 present = np.zeros(1, dtype=np.int64)

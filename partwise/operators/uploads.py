@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from partwise.functions.skew import salted_join
-from partwise.limits import COMPLETION_PAGE
+from partwise.limits import MAX_PARTS_PER_UPLOAD
 
 
 def part_size_histogram(parts: DataFrame) -> DataFrame:
@@ -107,11 +107,11 @@ def sanity_check(parts: DataFrame, part_size: Column | int) -> DataFrame:
     )
 
 
-def completion_list(parts: DataFrame, page: int = COMPLETION_PAGE) -> DataFrame:
+def completion_list(parts: DataFrame, page: int = MAX_PARTS_PER_UPLOAD) -> DataFrame:
     """(upload_id, page, n_parts, parts): what a completion request sends, in part order.
 
-    A page holds the parts numbered page * 1000 to page * 1000 + 999; its list never grows beyond
-    that, and pages in order are the list of the upload.
+    A page holds as many part numbers as an upload may have parts, so a legal upload is one row. What
+    has more is several rows, which in order are its list; no list grows beyond a page.
     """
     number = F.call_function("div", F.col("part_num"), F.lit(page).cast("bigint"))
     return (
@@ -169,8 +169,11 @@ def transfer_summary(planned: DataFrame, completed: DataFrame) -> DataFrame:
 def retry_latest(attempts: DataFrame, tie: str = "event_id") -> DataFrame:
     """The last good attempt of each (upload_id, part_num); tie orders equal times.
 
-    max_by is combined before the shuffle, so a slot tried very often stays one row for each task.
+    Where attempts have a column ok, only those with ok count. max_by is combined before the
+    shuffle, so a slot tried very often stays one row for each task.
     """
+    if "ok" in attempts.columns:
+        attempts = attempts.filter("ok")
     values = [c for c in attempts.columns if c not in ("upload_id", "part_num")]
     return (
         attempts.groupBy("upload_id", "part_num")

@@ -13,7 +13,7 @@ from partwise.operators.locations import FILE, STORE, classify_locations
 from partwise.operators.parts import DOWNLOAD, plan_parts, resplit_parts
 from partwise.operators.rejects import with_exit_code
 from partwise.plans.store import Store
-from partwise.plans.transfer import _first_reason, _keys
+from partwise.plans.transfer import _first_reason, _keys, _size_reason, _without_rivals
 from partwise.sources import progress as journal
 from partwise.sources.objects import digest_ranges, tasks_for
 from partwise.sources.scratch import materialise
@@ -51,7 +51,8 @@ def run_download(
 
     requests: object_id, src_url, dst_url, file_exists, download_exists, part_size, key_id.
     Files are written in place by all tasks, so the destination is mounted by all executors. Parts
-    finished by an earlier run are kept when their bytes still have the recorded MD5.
+    finished by an earlier run are kept when their bytes still have the recorded MD5. Of requests for
+    one file the first in order of object_id is done, the others end with FileExists.
     """
     spark = store.spark
     journal.create_journal(spark, progress_table)
@@ -59,7 +60,8 @@ def run_download(
     target = classify_locations(found.withColumnRenamed("reject_reason", "_src_reject"), "dst_url", FILE, base_dir)
     asked = target.withColumn("reject_reason", F.coalesce("_src_reject", "reject_reason")).withColumnRenamed("path", "dst_path")
     asked = file_states(asked.drop("_src_reject", "scheme", "authority", "has_query"), "dst_path")
-    asked = materialise(asked, "asked")
+    asked = _first_reason(materialise(asked, "checked"), _size_reason(F.col("part_size")))
+    asked = materialise(_without_rivals(asked, ["dst_path"], "FileExists"), "asked")
     valid = asked.filter(F.col("reject_reason").isNull())
     before = asked.filter(F.col("file_size").isNotNull()).select("object_id")
     recorded = journal.load_progress(spark, progress_table)

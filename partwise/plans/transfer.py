@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partwise.functions.locations import absolute_path, is_path
 from partwise.functions.skew import join_by_block
-from partwise.limits import MAX_CELL_BYTES
+from partwise.limits import MAX_CELL_BYTES, MAX_PART_SIZE
 from partwise.operators import policy
 from partwise.operators.crypto import attach_keys, decrypted, derive_object_keys, encrypted, read_keys
 from partwise.operators.integrity import composite_etags, piece_digests
@@ -33,12 +34,20 @@ def _named(requests: DataFrame, base_dir: str) -> DataFrame:
         {"scheme": "src_scheme", "authority": "src_bucket", "path": "src_path", "reject_reason": "_src_reject"}
     )
     both = classify_locations(source.drop("has_query"), "dst_url", STORE).withColumn("key", F.expr("substring(path, 2)"))
+    # Only a URL has a query: a plain path is read, and named, as it is; so is the path of a file URL read.
+    plain = is_path(F.col("src_url"))
+    whole = F.when(plain, absolute_path(F.col("src_url"), base_dir)).otherwise(
+        F.regexp_replace("src_url", r"^(?i:file):(//[^/]*)?", "")
+    )
+    both = both.withColumn("src_path", F.when(plain, whole).otherwise(F.col("src_path")))
+    if "dst_key" in requests.columns:  # given as it is, not as part of a URL
+        both = both.withColumn("key", F.coalesce("dst_key", "key")).drop("dst_key")
     return derive_destination(both, "key", "src_path").select(
-        *requests.columns,
+        *[c for c in requests.columns if c != "dst_key"],
         "src_scheme",
         "src_bucket",
         "src_path",
-        F.when(F.col("src_scheme") == "file", F.col("src_path"))
+        F.when(F.col("src_scheme") == "file", whole)
         .when(F.col("src_scheme").isin(READABLE_SCHEMES), F.col("src_url"))
         .alias("url"),
         F.col("authority").alias("bucket"),
@@ -51,6 +60,18 @@ def _first_reason(df: DataFrame, reason: Column) -> DataFrame:
     return df.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), reason))
 
 
+def _without_rivals(asked: DataFrame, on: list[str], error_class: str) -> DataFrame:
+    """Of requests for one destination the first; the others fail, as if they came after it."""
+    valid = asked.filter(F.col("reject_reason").isNull())
+    first = valid.groupBy(*on).agg(F.min("object_id").alias("_first"))
+    both = asked.join(first, on, "left")
+    return _first_reason(both, F.when(F.col("object_id") != F.col("_first"), F.lit(error_class))).select(*asked.columns)
+
+
+def _size_reason(part_size: Column) -> Column:
+    return F.when(part_size.isNull() | (part_size < 1) | (part_size > MAX_PART_SIZE), F.lit("UserError"))
+
+
 def _decide(store: Store, asked: DataFrame, run_id: str) -> DataFrame:
     """Materialised requests with action, error_class, exit_code and upload_id.
 
@@ -181,7 +202,9 @@ def run_transfer(
 ) -> DataFrame:
     """Upload files: (object_id, bucket, key, action, error_class, exit_code, size, etag).
 
-    requests: object_id, src_url, dst_url, exists, resume_mode, part_size, key_id, location.
+    requests: object_id, src_url, dst_url, exists, resume_mode, part_size, key_id, location; dst_key,
+    where it is given, is the key in the bucket of dst_url. Of requests for one object the first in
+    order of object_id is done, the others end with ObjectExists.
     Each wave is one write, and its complete uploads are published: both are kept when a later one
     fails. The next run, with resume_mode "resume" and exists "skip", goes on from there. Bytes go from the source into the parts table in one pass without shuffle.
     """
@@ -191,7 +214,9 @@ def run_transfer(
     asked = _first_reason(named, F.when(F.col("url").isNull(), F.lit("UnsupportedScheme")))
     asked = _first_reason(asked, F.when(F.col("size").isNull(), F.lit("SourceMissing")))
     asked = asked.join(object_keys.select("object_id", "key_md5_b64", F.col("reject_reason").alias("_key_reject")), "object_id")
-    asked = materialise(_first_reason(asked, F.col("_key_reject")).drop("_key_reject"), "asked")
+    asked = _first_reason(_first_reason(asked, F.col("_key_reject")).drop("_key_reject"), _size_reason(F.col("part_size")))
+    asked = _without_rivals(materialise(asked, "checked"), ["bucket", "key"], "ObjectExists")
+    asked = materialise(asked, "asked")
     decided = _decide(store, asked, uuid.uuid4().hex)
     go = decided.filter(F.col("action").isin(*GO))
     _open_uploads(store, go)
@@ -256,7 +281,8 @@ def run_copy(
     asked = _first_reason(
         asked, F.when(~F.col("_src_given").eqNullSafe(F.col("src_md5_b64")), F.lit("InvalidEncryptionKey"))
     )
-    asked = materialise(asked.drop("_dst_reject", "_src_given"), "asked")
+    asked = materialise(_first_reason(asked, _size_reason(F.col("part_size"))).drop("_dst_reject", "_src_given"), "checked")
+    asked = materialise(_without_rivals(asked, ["bucket", "key"], "ObjectExists"), "asked")
     decided = _decide(store, asked, uuid.uuid4().hex)
     go = decided.filter(F.col("action").isin(*GO))
     _open_uploads(store, go)

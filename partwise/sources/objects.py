@@ -294,6 +294,8 @@ class _PartReader(DataSourceReader):
                     data = None
                     if self.with_content:
                         data = b"".join(read_range(reader.open(url), low, high))
+                        if len(data) != high - low:
+                            raise OSError(f"{url} became shorter while it was read")
                         held += len(data)
                     rows.append((url, low // self.part_size, low, high, data))
                     if held >= BATCH_BYTES or len(rows) >= 10_000:

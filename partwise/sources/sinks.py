@@ -135,11 +135,17 @@ def write_pieces(parts: DataFrame) -> DataFrame:
 def write_ranges(parts: DataFrame, key: str = "object_id", tasks: int | None = None) -> DataFrame:
     """Copy the range [start, end) of url to the same place of dst_path's partial file.
 
-    Adds md5, NULL where the source is too short. One pass, one buffer at a time: the bytes are
+    Adds md5, NULL where the source is too short or gone. One pass, one buffer at a time: the bytes are
     never in a row. Otherwise as write_pieces.
     """
     columns = parts.columns
 
+    def opened(reader, url):
+        try:
+            return reader.open(url)
+        except FileNotFoundError:
+            return None
+
     def copy_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, writer = Reader(), _Writer()
         try:
@@ -148,9 +154,9 @@ def write_ranges(parts: DataFrame, key: str = "object_id", tasks: int | None = N
                 digests = []
                 for url, dst, start, end in zip(*picked):
                     state, got = hashlib.md5(), 0
-                    source, target = reader.open(url), writer.open(dst)
+                    source, target = opened(reader, url), writer.open(dst)
                     target.seek(start)
-                    for data in read_range(source, start, end):
+                    for data in read_range(source, start, end) if source is not None else ():
                         target.write(data)
                         state.update(data)
                         got += len(data)
@@ -240,10 +246,8 @@ def file_states(df: DataFrame, path_col: str, size_col: str = "file_size") -> Da
 def _size(url: str) -> int | None:
     path = local_path(url)
     if path is not None:
-        try:
-            return os.path.getsize(path)
-        except FileNotFoundError:
-            return None
+        # a folder, or a file that may not be read, is no source
+        return os.path.getsize(path) if os.path.isfile(path) and os.access(path, os.R_OK) else None
     from pyarrow import fs
 
     filesystem, name, _ = filesystem_of(url)

@@ -48,18 +48,23 @@ def stream_objects(
     taken along by the batch after they appear.
     """
     base = (local_path(directory) or directory).rstrip("/") + "/"
+    bucket, _, prefix = dst_url.removeprefix("s3://").partition("/")
 
     def transfer(batch: DataFrame, batch_id: int) -> None:
         below = F.expr("substring(url, position(_base in url) + length(_base))")
-        empty = scan_objects(store.spark, directory).filter("size = 0").select("url")
-        listed = materialise(
-            batch.select("url").unionByName(empty).withColumn("_base", F.lit(base)).select(
-                F.monotonically_increasing_id().alias("object_id"),
-                F.col("url").alias("src_url"),
-                F.concat(F.lit(dst_url), below).alias("dst_url"),
-            ),
-            "batch",
+        empty = scan_objects(store.spark, directory).filter("size = 0").select("url").withColumn("_empty", F.lit(True))
+        found = batch.select("url").withColumn("_empty", F.lit(False)).unionByName(empty).withColumn("_base", F.lit(base))
+        # Names of files are paths and keys as they are: what looks like a query in them is none.
+        named = found.select(
+            F.monotonically_increasing_id().alias("object_id"),
+            F.regexp_replace("url", r"^file:(//)?(?=/)", "").alias("src_url"),
+            F.lit(dst_url).alias("dst_url"),
+            F.concat(F.lit(prefix), below).alias("dst_key"),
+            "_empty",
         )
+        # An empty file that is in the store was taken along by an earlier batch.
+        there = store.objects().filter(F.col("bucket") == bucket).select(F.col("key").alias("dst_key"), F.lit(True).alias("_empty"))
+        listed = materialise(named.join(there, ["dst_key", "_empty"], "left_anti").drop("_empty"), "batch")
         requests = listed.select(
             "*",
             F.lit(exists).alias("exists"),

@@ -9,12 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from partwise.operators import crypto
+from partwise.plans import transfer
 from partwise.plans.cancel import run_cancel
 from partwise.plans.download import run_download
 from partwise.plans.store import Store
 from partwise.plans.transfer import run_copy, run_transfer, wave_of
 from partwise.plans.verify import run_verify
 from partwise.sources.files import partial_path
+from partwise.sources.objects import fetch_parts
 
 P = 1024
 SIZES = [0, 1, P - 1, P, P + 1, 2 * P, 5 * P // 2, 40 * P]
@@ -77,21 +79,21 @@ def test_upload_policies(spark, store, source):
     assert {r["part_size"] for r in store.objects().collect()} == {2 * P}
 
 
-def test_crash_and_resume(spark, store, source):
+def test_crash_and_resume(spark, store, source, monkeypatch):
     folder, contents = source
-    broken = f"{folder}/{SIZES[-1]}.bin"
-    os.remove(broken)
-    os.mkdir(broken)
-    open(f"{broken}/x", "w").close()  # opening it fails the task, which is not a missing file
-    with pytest.raises(Exception, match="IsADirectory"):
+
+    def broken(ranges, *args, **more):
+        """Fails the task that comes to the largest file."""
+        fails = F.when(F.col("url").endswith(f"/{SIZES[-1]}.bin"), F.raise_error(F.lit("disk lost")).cast("bigint"))
+        return fetch_parts(ranges.withColumn("start", F.coalesce(fails, F.col("start"))), *args, **more)
+
+    monkeypatch.setattr(transfer, "fetch_parts", broken)
+    with pytest.raises(Exception, match="disk lost"):
         run_transfer(store, requests(spark, folder), waves=6)
+    monkeypatch.undo()
     published = {int(r["key"].split(".")[0]) for r in store.objects().collect()}
     assert SIZES[-1] not in published
     assert store.pending().count() == len(SIZES) - len(published)
-    os.remove(f"{broken}/x")
-    os.rmdir(broken)
-    with open(broken, "wb") as f:
-        f.write(contents[SIZES[-1]])
     done_before = store.stored_parts().count()
     again = outcome(run_transfer(store, requests(spark, folder)))
     assert again == {s: ("FAIL", 3 if s in published else 4) for s in SIZES}
@@ -200,7 +202,8 @@ def test_keys(spark, store, source, keys):
 
 def test_derived_key(spark):
     objects = spark.createDataFrame(
-        [(1, "kA", "b", "k/ü", "us-west-1"), (2, "kB", "b", "k", ""), (3, "k64", "b", "k", ""), (4, "kBad", "b", "k", ""), (5, None, "b", "k", "")],
+        [(1, "kA", "b", "k/ü", "us-west-1"), (2, "kB", "b", "k", ""), (3, "k64", "b", "k", ""), (4, "kBad", "b", "k", ""), (5, None, "b", "k", ""),
+         (6, "kA", "b", "k", None), (7, "kB", "b", "k", None)],
         "object_id bigint, key_id string, bucket string, key string, location string")
     table = spark.createDataFrame(
         [("kA", KEY_A, None, True), ("kB", KEY_B, None, False), ("k64", None, base64.b64encode(KEY_B.encode()).decode(), False), ("kBad", None, "!!", False)],
@@ -213,6 +216,8 @@ def test_derived_key(spark):
     assert rows[2]["object_key"] == rows[3]["object_key"] == KEY_B.encode().hex()
     assert (rows[4]["object_key"], rows[4]["reject_reason"]) == (None, "InvalidEncryptionKey")
     assert (rows[5]["object_key"], rows[5]["reject_reason"]) == (None, None)
+    assert (rows[6]["object_key"], rows[6]["reject_reason"]) == (None, "PermissionDenied")
+    assert (rows[7]["object_key"], rows[7]["reject_reason"]) == (KEY_B.encode().hex(), None)
 
 
 def test_download_resume(spark, store, source, tmp_path):
@@ -287,3 +292,39 @@ def test_keys_are_in_no_scratch_table(spark, store, source, keys):
             with open(os.path.join(base, name), "rb") as f:
                 data = f.read()
             assert secret not in data and hexed not in data
+
+
+def test_names_that_look_like_urls(spark, store, tmp_path):
+    """The bytes of the file that was named, also where # ? % or ; are in its path."""
+    contents = {name: os.urandom(1500) for name in ("a", "a#1.bin", "a?x=1", "a%20b", "a;b")}
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+    rows = [(i, f"{tmp_path}/{name}", "s3://b/", None, None, P, None, "", name) for i, name in enumerate(contents)]
+    asked = spark.createDataFrame(rows, REQUEST + ", dst_key string")
+    assert set(outcome(run_transfer(store, asked)).values()) == {("NEW", None)}
+    etags = {r["key"]: r["etag"] for r in store.objects().collect()}
+    for name, data in contents.items():
+        joined = b"".join(hashlib.md5(data[i : i + P]).digest() for i in (0, P))
+        assert etags[name] == f"{hashlib.md5(joined).hexdigest()}-2"
+    plain = spark.createDataFrame([(9, f"{tmp_path}/a#1.bin", "s3://c/", None, None, P, None, "")], REQUEST)
+    assert outcome(run_transfer(store, plain)) == {9: ("NEW", None)}
+    assert [r["key"] for r in store.objects().filter("bucket = 'c'").collect()] == ["a#1.bin"]
+
+
+def test_bad_requests_are_rows(spark, store, source, tmp_path):
+    """Good ones go through in the same run."""
+    folder, contents = source
+    rows = [
+        (1, f"{folder}/1.bin", "s3://b/one", P, ""), (2, f"{folder}/{P}.bin", "s3://b/one", P, ""), (3, folder, "s3://b/folder", P, ""),
+        (4, f"{folder}/1.bin", "s3://b/zero", 0, ""), (5, f"{folder}/1.bin", "s3://b/none", None, ""), (6, f"{folder}/1.bin", "s3://b/neg", -5, ""),
+        (7, f"{folder}/1.bin", "s3://b/huge", 6 * 1024**3, ""), (8, f"{folder}/{2 * P}.bin", "s3://b/two", P, ""),
+    ]
+    asked = spark.createDataFrame([(i, s, d, None, None, p, None, at) for i, s, d, p, at in rows], REQUEST)
+    assert outcome(run_transfer(store, asked)) == {
+        1: ("NEW", None), 2: ("FAIL", 3), 3: ("FAIL", 1), 4: ("FAIL", 2), 5: ("FAIL", 2), 6: ("FAIL", 2), 7: ("FAIL", 2), 8: ("NEW", None),
+    }
+    assert {r["key"]: r["size"] for r in store.objects().collect()} == {"one": 1, "two": 2 * P}
+    down = [(i, f"s3://b/{k}", f"{tmp_path}/out/{d}", None, None, p, None) for i, k, d, p in ((1, "one", "x", P), (2, "two", "x", P), (3, "two", "y", 0), (4, "two", "z", 700))]
+    done = run_download(store, spark.createDataFrame(down, DOWNLOAD), str(tmp_path / "journal"))
+    assert outcome(done) == {1: ("NEW", None), 2: ("FAIL", 11), 3: ("FAIL", 2), 4: ("NEW", None)}
+    assert (tmp_path / "out/x").read_bytes() == contents[1] and (tmp_path / "out/z").read_bytes() == contents[2 * P]

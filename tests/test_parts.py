@@ -195,9 +195,22 @@ def test_one_key_holds_most_rows(spark):
     assert left.count() == 10_000 - 2
     pages = uploads.completion_list(rows).filter("upload_id = 0")
     assert pages.agg(F.sum("n_parts"), F.max("n_parts")).first()[0] == 20_001
-    assert pages.agg(F.max("n_parts")).first()[0] <= 1000
+    assert pages.agg(F.max("n_parts")).first()[0] <= 10_000
     tries = spark.range(5000).select(
         F.lit(1).alias("upload_id"), F.lit(0).alias("part_num"), F.timestamp_seconds(F.col("id") % 100).alias("recorded_at"),
         F.col("id").alias("event_id"),
     )
     assert uploads.retry_latest(tries).first()["event_id"] == 4999
+
+
+def test_a_legal_upload_is_one_completion_list(spark):
+    rows = spark.range(10_000).select(F.lit(1).alias("upload_id"), F.col("id").alias("part_num"), F.lit("e").alias("etag"))
+    assert [r["n_parts"] for r in uploads.completion_list(rows).collect()] == [10_000]
+
+
+def test_failed_attempts_do_not_count(spark):
+    tries = spark.createDataFrame(
+        [(1, 0, 1, 10, True), (1, 0, 2, 20, False), (1, 1, 3, 30, False)],
+        "upload_id long, part_num long, event_id long, recorded_at long, ok boolean",
+    )
+    assert [(r["part_num"], r["event_id"]) for r in uploads.retry_latest(tries).collect()] == [(0, 1)]

@@ -84,3 +84,22 @@ def test_objects(spark, tmp_path):
         joined = b"".join(hashlib.md5(p).digest() for p in pieces)
         assert found[name]["etag"] == f"{hashlib.md5(joined).hexdigest()}-{len(pieces)}"
     assert (uploads, store.table("uploads").count()) == (4, 5)
+
+
+def test_objects_with_odd_names(spark, tmp_path):
+    """Names with # are keys of their own; an empty file is taken along once, whatever `exists` says."""
+    folder = tmp_path / "incoming"
+    folder.mkdir()
+    store = Store(spark, str(tmp_path / "store")).create()
+
+    def run():
+        drain(stream_objects(store, str(folder), "s3://in/to/", str(tmp_path / "ckpt"), part_size=1000, exists="overwrite"))
+
+    (folder / "a#1").write_bytes(b"one")
+    (folder / "a#2").write_bytes(b"two")
+    (folder / "empty").write_bytes(b"")
+    run()
+    (folder / "later").write_bytes(b"later")
+    run()
+    assert {r["key"]: r["size"] for r in store.objects().collect()} == {"to/a#1": 3, "to/a#2": 3, "to/empty": 0, "to/later": 5}
+    assert store.table("uploads").count() == 4
