@@ -36,16 +36,17 @@ def stream_progress(parts: DataFrame, delay: str | None = None) -> DataFrame:
     )
 
 
-def stream_completion(parts: DataFrame, plans: DataFrame, delay: str | None = None) -> DataFrame:
+def stream_completion(parts: DataFrame, plans: DataFrame) -> DataFrame:
     """(upload_id, n_parts) once, when the last part of an upload is in; for update mode.
 
     plans is a table of upload_id and n_parts. Parts outside the plan do not count. As a part counts
-    once, the number of parts of an upload changes no more after it is complete.
+    once, however late it is reported again, the number of parts of an upload changes no more after it
+    is complete. So no part is ever forgotten: state grows by a narrow row for each part.
     """
     planned = salted_join(parts, plans.select("upload_id", "n_parts"), ["upload_id"], ["part_num"], "inner")
     inside = planned.filter((F.col("part_num") >= 0) & (F.col("part_num") < F.col("n_parts")))
     return (
-        first_reports(inside, delay)
+        first_reports(inside)
         .groupBy("upload_id", "n_parts")
         .agg(F.count("*").alias("n_done"))
         .filter("n_done = n_parts")
