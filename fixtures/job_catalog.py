@@ -95,12 +95,16 @@ def _(v: Views) -> DataFrame:
 
 @query(
     "assemble_objects",
-    """select object_id, count(*) as n_parts, cast(sum(octet_length(bytes)) as bigint) as size,
-         md5(unhex(string_agg(hex(bytes), '' order by part_num))) as md5, cast(null as varchar) as reject_reason
-       from turn_parts group by 1""",
+    """with whole as (select object_id, string_agg(hex(bytes), '' order by part_num) as h from turn_parts group by 1),
+         cut as (select object_id, h, unnest(range(greatest(1, (length(h) + 5999) // 6000))) as chunk_no from whole)
+       select object_id, chunk_no, chunk_no * 3000 as "offset", octet_length(unhex(substr(h, chunk_no * 6000 + 1, 6000))) as size,
+         md5(unhex(substr(h, chunk_no * 6000 + 1, 6000))) as md5 from cut""",
 )
 def _(v: Views) -> DataFrame:
-    return assemble_objects(v.turn_parts()).withColumn("md5", F.md5("content")).drop("content")
+    chunks = assemble_objects(v.turn_parts(), 3000)
+    return chunks.select(
+        "object_id", "chunk_no", "offset", F.length("content").cast("bigint").alias("size"), F.md5("content").alias("md5")
+    )
 
 
 @query(

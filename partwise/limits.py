@@ -16,5 +16,8 @@ BLOCK_PARTS = 1 << BLOCK_BITS
 # Most bytes one cell may hold: far below the 2 GiB limit of a Java array.
 MAX_CELL_BYTES = 256 * 1024**2
 
+# Bytes of a row of an assembled object.
+CHUNK_BYTES = 64 * 1024**2
+
 # Bytes of file content gathered before an Arrow batch leaves a Python worker.
 BATCH_BYTES = 32 * 1024**2

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partwise.limits import MAX_CELL_BYTES
+from partwise.limits import CHUNK_BYTES
 from partwise.operators.locations import RESERVED_SUFFIXES
-from partwise.operators.parts import joined_bytes
+from partwise.operators.parts import resplit_parts
 from partwise.sources.files import Reader, filesystem_of, local_path, partial_path, read_range
 from partwise.sources.objects import spread_ranges
 from partwise.sources.scratch import materialise
@@ -37,26 +37,14 @@ def write_parts(df: DataFrame, out: str, key: str = "object_id") -> None:
     rows.write.mode("append").parquet(out)
 
 
-def assemble_objects(parts: DataFrame, max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
-    """(object_id, size, n_parts, content, reject_reason): parts with bytes joined in part order.
+def assemble_objects(parts: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(object_id, chunk_no, offset, content): parts (with start, end and bytes) joined in order.
 
-    Parts hold start and end. An object of more than max_bytes fits no cell: its content is NULL
-    and it is a reject here, while publish_objects writes it to a file. Not more than max_bytes of
-    any object is shuffled.
+    An object of up to chunk_bytes, also an empty one, is one row. A longer one is several, all but the
+    last of them chunk_bytes long, which in order of chunk_no are its content, however long it is.
     """
-    piece = F.when(F.col("end") <= max_bytes, F.struct("part_num", "bytes"))
-    groups = parts.groupBy("object_id").agg(
-        F.sum(F.col("end") - F.col("start")).alias("size"),
-        F.count("*").alias("n_parts"),
-        F.collect_list(piece).alias("_pieces"),
-    )
-    fits = F.col("size") <= max_bytes
-    return groups.select(
-        "object_id",
-        "size",
-        "n_parts",
-        F.when(fits, joined_bytes(F.col("_pieces"))).alias("content"),
-        F.when(~fits, F.lit("ObjectTooLarge")).alias("reject_reason"),
+    return resplit_parts(parts, chunk_bytes).select(
+        "object_id", F.col("part_num").alias("chunk_no"), F.col("start").alias("offset"), F.col("bytes").alias("content")
     )
 
 

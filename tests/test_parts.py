@@ -60,9 +60,12 @@ def test_split_and_assemble(objects, contents):
         assert bytes(r["bytes"]) == contents[r["object_id"]][r["start"] : r["end"]]
     whole = {r["object_id"]: bytes(r["content"]) for r in assemble_objects(cut).collect()}
     assert whole == contents
-    small = {r["object_id"]: (r["content"], r["reject_reason"]) for r in assemble_objects(cut, max_bytes=P).collect()}
-    assert [k for k, (_, why) in sorted(small.items()) if why] == [P + 1, 2 * P, 5 * P // 2]
-    assert all((c is None) == (why is not None) for c, why in small.values())
+    for chunk in (1000, P, 3 * P):
+        joined = {}
+        for r in assemble_objects(cut, chunk).orderBy("object_id", "chunk_no").collect():
+            assert r["offset"] == r["chunk_no"] * chunk == len(joined.get(r["object_id"], b"")) and len(r["content"]) <= chunk
+            joined[r["object_id"]] = joined.get(r["object_id"], b"") + bytes(r["content"])
+        assert joined == contents
 
 
 @pytest.mark.parametrize("size", [1, 300, P, 1500, 10_000])
