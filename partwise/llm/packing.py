@@ -186,7 +186,7 @@ def pack_documents(
     text_col: str = "text",
     size: int = 4096,
     end_id: int = 2,
-    cache_size: int = 250_000,
+    cache_size: int = 350_000,
 ) -> DataFrame:
     """(id_col, start, length, ids, doc_tokens, sequence_id, offset), one row for each piece.
 

@@ -20,6 +20,8 @@ import numpy as np
 # Fixed value: a pre-tokenizer with this pattern, removing what it does not match, never joins over white space.
 DROPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LONGEST_KEPT = 64
+# Marks that after letters make a pre-token of their own; an apostrophe may belong to the letters after it.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Letters before this one, but for the one below, are their own NFC form and have one small letter.
 FIRST_OTHER, DOTTED_I = "\u0180", "\u0130"
 # The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
@@ -117,14 +119,14 @@ class Cache(dict):
 def chunk_cache(own: Tokens, form, first: dict, most: int) -> Cache:
     """What `form` makes of the ids of a chunk; forms of parts have to add up to the form of the whole."""
     words = Cache(lambda word: form(own.word(word)), {}, most // 2)
-    marks = {m: form(own.ids(m)) for m in (b".", b",")}
+    marks = Cache(lambda mark: form(own.ids(mark)), {}, 1000)
 
     def make(chunk: bytes):
-        mark = marks.get(chunk[-1:])
-        word = own.folded(chunk if mark is None else chunk[:-1])
+        letters = chunk.rstrip(MARKS)
+        word = own.folded(letters) if letters else None
         if word is None:
             return form(own.ids(chunk))
-        return words[word] if mark is None else words[word] + mark
+        return words[word] if len(letters) == len(chunk) else words[word] + marks[chunk[len(letters) :]]
 
     return Cache(make, first, most)
 
