@@ -20,11 +20,12 @@ from partwise.llm.tables import materialise, read
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labels of docs teach; those without letters or between two go."""
+    """Documents in a language that the labels of docs teach; those without letters go, and those whose
+    two nearest codewords are as good as equally near. Without any label nothing can be told, and all stay."""
     model = fit(docs)
     if model is None:
         return docs
-    said = with_language(docs, model)
+    said = with_language(docs, model, least_margin=0.01)
     return said.where("lang_pred != 'und' and not ambiguous").select(*docs.columns)
 
 
