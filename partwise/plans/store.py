@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.functions.skew import block_of, join_by_block, salted_join
+from partwise.functions.skew import block_of, broadcast_if_small, join_by_block, salted_join
 from partwise.operators.parts import n_parts
 from partwise.sources.sinks import bucket_id
 
@@ -20,7 +20,7 @@ SCHEMAS = {
     "uploads": "upload_id string, bucket string, key string, part_size bigint, initiated timestamp",
     "closed": "upload_id string, how string, closed_at timestamp",
     "parts": "upload_id string, bucket_id int, part_num bigint, start bigint, end bigint, offset bigint, "
-    "bytes binary, md5 string, is_encrypted boolean, reject_reason string",
+    "bytes binary, md5 string, is_encrypted boolean, reject_reason string, attempt string",
     "objects": "bucket string, key string, location string, upload_id string, size bigint, part_size bigint, "
     "etag string, key_md5_b64 string, published_at timestamp",
 }
@@ -86,9 +86,20 @@ class Store:
             wanted = wanted.join(object_keys, "object_id")
         rows = self.table("parts").filter(F.col("bucket_id").isin(counted["b"]) & F.col("reject_reason").isNull())
         return join_by_block(
-            rows, wanted, n_parts(F.col("_s"), F.col("_p")), "inner", "upload_id", counted["n"] or 0
+            self._closed(rows), wanted, n_parts(F.col("_s"), F.col("_p")), "inner", "upload_id", counted["n"] or 0
         ).drop("_p", "_s")
 
+    def _closed(self, rows: DataFrame) -> DataFrame:
+        """rows without the leftovers of parts of several cells that broke off: those lack a last row."""
+        inner = F.col("md5").isNull()
+        if rows.filter(inner).select("upload_id").isEmpty():
+            return rows
+        attempt = F.coalesce("attempt", F.lit("")).alias("_attempt")
+        ends = rows.filter(~inner & (F.col("offset") > F.col("start"))).select("upload_id", "part_num", attempt).distinct()
+        ends = broadcast_if_small(ends.withColumn("_whole", F.lit(True)), ends.count())
+        found = rows.withColumn("_attempt", attempt).join(ends, ["upload_id", "part_num", "_attempt"], "left")
+        return found.filter(~inner | F.col("_whole")).drop("_attempt", "_whole")
+
     def close(self, uploads: DataFrame, how: str) -> None:
         self.append("closed", uploads.select("upload_id", F.lit(how).alias("how"), F.current_timestamp().alias("closed_at")))
 

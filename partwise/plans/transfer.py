@@ -283,7 +283,8 @@ def run_copy(
     )
     asked = materialise(_first_reason(asked, _size_reason(F.col("part_size"))).drop("_dst_reject", "_src_given"), "checked")
     asked = materialise(_without_rivals(asked, ["bucket", "key"], "ObjectExists"), "asked")
-    decided = _decide(store, asked, uuid.uuid4().hex)
+    run_id = uuid.uuid4().hex
+    decided = _decide(store, asked, run_id)
     go = decided.filter(F.col("action").isin(*GO))
     _open_uploads(store, go)
     resumed = go.filter(F.col("action") == policy.RESUME)
@@ -358,6 +359,7 @@ def run_copy(
             F.when(F.col("bytes").isNotNull(), F.col("md5")).alias("md5"),
             F.col("_to").isNotNull().alias("is_encrypted"),
             F.when(F.col("bytes").isNull(), F.lit("InvalidEncryptionKey")).alias("reject_reason"),
+            F.lit(run_id).alias("attempt"),
         )
         write_parts(stored, store.path("parts"))
         _publish(store, _ready_in(go, wave, waves))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -119,9 +120,10 @@ def fetch_parts(
 ) -> DataFrame:
     """Read the range [start, end) of url for each row of a planned parts table.
 
-    Adds offset, bytes, md5 (named after algo) and reject_reason. A part of up to cell_bytes is one
-    row; a longer one is several, of which the last holds the digest of the part. offset is where
-    the bytes of a row begin. A range that gives fewer bytes than planned, or whose file is gone,
+    Adds offset, bytes, md5 (named after algo), attempt and reject_reason. A part of up to cell_bytes is
+    one row; a longer one is several, of which the last holds the digest of the part. offset is where
+    the bytes of a row begin. attempt is the same for the rows of one reading of a part: rows of an
+    attempt without a last row are leftovers. A range that gives fewer bytes than planned, or whose file is gone,
     ends in a reject row without bytes. Any other failure fails the task, which Spark repeats.
     """
     columns = parts.columns
@@ -130,6 +132,7 @@ def fetch_parts(
         pa.field("bytes", pa.binary()),
         pa.field(algo, pa.string()),
         pa.field("reject_reason", pa.string()),
+        pa.field("attempt", pa.string()),
     ]
 
     def read_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,9 +169,10 @@ def fetch_parts(
                 urls, starts, ends = (batch.column(columns.index(c)).to_pylist() for c in ("url", "start", "end"))
                 rows, values, held = [], [], 0
                 for i, (url, start, end) in enumerate(zip(urls, starts, ends)):
+                    attempt = uuid.uuid4().hex
                     for value in pieces(url, start, end):
                         rows.append(i)
-                        values.append(value)
+                        values.append((*value, attempt))
                         held += len(value[1] or b"")
                         if held >= BATCH_BYTES:
                             yield emit(batch, rows, values)
@@ -185,6 +189,7 @@ def fetch_parts(
             T.StructField("bytes", T.BinaryType()),
             T.StructField(algo, T.StringType()),
             T.StructField("reject_reason", T.StringType()),
+            T.StructField("attempt", T.StringType()),
         ]
     )
     return spread_ranges(parts, key, tasks, order).mapInArrow(read_all, schema)

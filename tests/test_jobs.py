@@ -328,3 +328,26 @@ def test_bad_requests_are_rows(spark, store, source, tmp_path):
     done = run_download(store, spark.createDataFrame(down, DOWNLOAD), str(tmp_path / "journal"))
     assert outcome(done) == {1: ("NEW", None), 2: ("FAIL", 11), 3: ("FAIL", 2), 4: ("NEW", None)}
     assert (tmp_path / "out/x").read_bytes() == contents[1] and (tmp_path / "out/z").read_bytes() == contents[2 * P]
+
+
+def test_leftovers_of_a_broken_part(spark, store, source):
+    """Cells of an attempt that never ended are in no object, those of one that did are."""
+    folder, contents = source
+    run_transfer(store, requests(spark, folder))
+    upload = store.objects().filter(f"key = '{2 * P}.bin'").first()["upload_id"]
+    rows = store.table("parts").filter(F.col("upload_id") == upload)
+    left = rows.filter("part_num = 1").withColumns({"bytes": F.lit(b"?" * 100), "md5": F.lit(None).cast("string"), "attempt": F.lit("broken")})
+    left.write.mode("append").parquet(store.path("parts"))
+    assert digests(spark, store) == md5s(contents)
+    # A part in two cells of one attempt.
+    size = 5 * P // 2
+    upload = store.objects().filter(f"key = '{size}.bin'").first()["upload_id"]
+    kept = store.table("parts").filter((F.col("upload_id") != upload) | (F.col("part_num") != 0))
+    whole = store.table("parts").filter((F.col("upload_id") == upload) & (F.col("part_num") == 0)).withColumn("attempt", F.lit("ended"))
+    first = whole.withColumns({"bytes": F.substring("bytes", 1, 1000), "md5": F.lit(None).cast("string")})
+    last = whole.withColumns({"bytes": F.expr("substring(bytes, 1001)"), "offset": F.lit(1000).cast("bigint")})
+    other = Store(spark, store.root + "-other").create()
+    kept.unionByName(first).unionByName(last).write.mode("append").parquet(other.path("parts"))
+    for name in ("uploads", "closed", "objects"):
+        store.table(name).write.mode("append").parquet(other.path(name))
+    assert digests(spark, other) == md5s(contents)
