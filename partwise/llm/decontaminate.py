@@ -26,7 +26,7 @@ from partwise.llm.tables import id_and_text, in_slices, materialise
 WINDOW, STEP = 32, 16
 RANK = 48
 LEAST_COSINE = 0.4
-SHARED = 0.4  # of a benchmark passage's words, before the subsequence is sought
+SHARED = 0.35  # of a benchmark passage's words, before the subsequence is sought
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
 SHORT = 12  # items of fewer words are found as a run of just these words
 ITEMS_PER_BLOCK = 2000
@@ -53,7 +53,7 @@ class Items:
             number = lambda ws: [self.terms.setdefault(w, len(self.terms)) for w in ws]
             self.ids.append(item)
             self.words.append(np.array(number(cut), np.int32))
-            self.answers.append(np.unique(np.array(number(told), np.int32)))
+            self.answers.append(set(number(told)))
         long = [i for i, w in enumerate(self.words) if len(w) >= SHORT]
         self.short = [i for i, w in enumerate(self.words) if len(w) < SHORT]
         cuts = [(i, s) for i in long for s in range(0, max(1, len(self.words[i]) - STEP), STEP)]
@@ -61,6 +61,11 @@ class Items:
         self.passages = [self.words[i][s : s + WINDOW] for i, s in cuts]
         self.masks = [_masks(w) for w in self.words]
 
+    def told(self, item: int, region: list[int]) -> float:
+        """Share of the answer's words that are in a region."""
+        answer = self.answers[item]
+        return len(answer.intersection(region)) / len(answer) if answer else 0.0
+
     def vectors(self, idf: np.ndarray) -> np.ndarray:
         out = np.zeros((len(self.passages), len(idf)), np.float32)
         for row, passage in zip(out, self.passages):
@@ -188,7 +193,7 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndar
     return (u / np.maximum(s, 1e-9)).astype(np.float32)
 
 
-def _matches(texts: list[np.ndarray], items: Items, idf: np.ndarray, space: np.ndarray, latent: np.ndarray, member: np.ndarray):
+def _matches(texts: list[np.ndarray], items: Items, idf: np.ndarray, space: np.ndarray, latent: np.ndarray, counts: np.ndarray):
     """(text, item, similarity, cosine, first word) of what passes all checks."""
     best: dict[tuple[int, int], tuple[float, float, int]] = {}
     if len(items.passages):
@@ -206,7 +211,7 @@ def _matches(texts: list[np.ndarray], items: Items, idf: np.ndarray, space: np.n
             lengths = (begins[a + at + 1] - begins[a + at]).astype(np.int64)
             pair = np.repeat(np.arange(len(at)), lengths)
             entry = np.repeat(begins[a + at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-            shared = np.bincount(pair, n[entry] * member[k[pair], term[entry]], minlength=len(at))
+            shared = np.bincount(pair, np.minimum(n[entry], counts[k[pair], term[entry]]), minlength=len(at))
             for i in np.flatnonzero(shared >= SHARED * sizes[k]).tolist():
                 t, item = int(of[a + at[i]]), int(items.item[k[i]])
                 own, start, close = items.words[item], int(first[a + at[i]]), float(cosine[at[i], k[i]])
@@ -215,8 +220,7 @@ def _matches(texts: list[np.ndarray], items: Items, idf: np.ndarray, space: np.n
                 lo = max(0, start - len(own))
                 region = texts[t][lo : start + WINDOW + len(own)].tolist()
                 similar = common_subsequence(items.masks[item], len(own), region) / len(own)
-                told = np.isin(items.answers[item], region).mean()
-                if similar >= VERBATIM or similar >= PARAPHRASE and told >= ANSWER:
+                if similar >= VERBATIM or similar >= PARAPHRASE and items.told(item, region) >= ANSWER:
                     best[t, item] = max(best.get((t, item), (0.0, 0.0, 0)), (similar, close, lo))
     for item in items.short:
         own = items.words[item]
@@ -247,10 +251,10 @@ def _search(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFr
     space = latent_space(texts, idf)
     latent = items.vectors(idf) @ space if items.passages else np.zeros((0, space.shape[1]), np.float32)
     latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
-    member = np.zeros((len(items.passages), len(idf)), bool)
-    for row, i in zip(member, items.item):
-        row[items.words[i]] = True
-    model = spark.sparkContext.broadcast((idf, space, latent, member))
+    counts = np.zeros((len(items.passages), len(idf)), np.uint8)
+    for row, passage in zip(counts, items.passages):
+        np.add.at(row, passage, 1)
+    model = spark.sparkContext.broadcast((idf, space, latent, counts))
 
     def search(batches):
         for batch in in_slices(batches):
