@@ -55,6 +55,7 @@ def stored_rows(parts: DataFrame) -> DataFrame:
         F.coalesce("md5", F.md5("bytes")).alias("md5"),
         F.col("object_key").isNotNull().alias("is_encrypted"),
         F.lit(None).cast("string").alias("reject_reason"),
+        F.lit("fixture").alias("attempt"),
     )
 
 

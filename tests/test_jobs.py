@@ -122,7 +122,7 @@ def test_resume_skips_stored_parts(spark, store, source):
     size = SIZES[-1]
     part = spark.createDataFrame([("u", 0, 3, 3 * P, 4 * P, bytearray(contents[size][3 * P : 4 * P]))],
                                  "upload_id string, bucket_id int, part_num bigint, start bigint, end bigint, bytes binary")
-    stored = part.select("*", F.col("start").alias("offset"), F.md5("bytes").alias("md5"), F.lit(False).alias("is_encrypted"),
+    stored = part.select("*", F.col("start").alias("offset"), F.md5("bytes").alias("md5"), F.lit(False).alias("is_encrypted"), F.lit("a").alias("attempt"),
                          F.lit(None).cast("string").alias("reject_reason"))
     store.append("parts", stored)
     store.append("uploads", spark.createDataFrame([("u", "b", f"{size}.bin", P)], "upload_id string, bucket string, key string, part_size bigint")
