@@ -217,9 +217,12 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 def lists_needed(queries: DataFrame, index: Index, dims: int, k: int, wanted: float, sample_rows: int) -> int:
     """Lists to probe so that the wanted share of true neighbours of some queries lies in them."""
-    some = queries.orderBy(F.xxhash64("id")).limit(sample_rows).collect()
-    if not some:
+    n = queries.count()
+    if not n:
         return 1
+    some = queries.sample(min(1.0, sample_rows / n), seed=1).collect()
+    if not some:  # so small a share may give none of a few queries
+        some = queries.limit(sample_rows).collect()
     ids = np.array([r["id"] for r in some], np.int64)
     plain = np.array([r["vector"] for r in some])
     shared = queries.sparkSession.sparkContext.broadcast((ids, plain))

@@ -44,13 +44,11 @@ def shard_records(
     )
     records = materialise(keyed, "records")
 
-    # The least of -ln(u) / weight, u from a hash: a sample without replacement, by bytes.
-    u = (F.shiftrightunsigned(F.xxhash64("key", "within", F.lit(7)), 11) + 1) / F.lit(float(2**53 + 1))
+    # Each record is drawn with a chance in proportion to its bytes, by a hash: about so many keys in all.
+    u = F.shiftrightunsigned(F.xxhash64("key", "within", F.lit(7)), 11) / F.lit(float(2**53))
     n_ranges = RANGES_PER_SHARD * shards
-    drawn = (
-        records.select("key", (-F.log(u) / F.col("size")).alias("order"))
-        .orderBy("order", "key").limit(n_ranges * SAMPLES_PER_RANGE).select("key").collect()
-    )
+    total = records.agg(F.sum("size")).first()[0] or 1
+    drawn = records.where(u < F.col("size") * (n_ranges * SAMPLES_PER_RANGE / total)).select("key").collect()
     keys = np.sort(np.array([r["key"] for r in drawn], dtype=np.int64))
     bounds = _bounds(keys)
 
@@ -60,7 +58,6 @@ def shard_records(
 
     ranged = records.withColumn("range", range_of("key"))
     held = {r["range"]: r["bytes"] for r in ranged.groupBy("range").agg(F.sum("size").alias("bytes")).collect()}
-    total = sum(held.values())
     share = OVERFULL * max(1, total // n_ranges)
     parts = {r: -(-b // share) for r, b in held.items() if b > share}
     part = F.lit(0)
