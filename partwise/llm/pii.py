@@ -4,12 +4,16 @@ One pattern finds candidates; what passes its kind's check is replaced, and the
 Text around and between the candidates is never changed. A value's pseudonym depends on the key, the
 kind and the value alone, so equal values stay equal in all documents, and different ones different.
 
+Numbers stand beside numbers, so a card is sought at every group of digits, in the forms of `SHAPES` and
+as a whole run of groups. What passes Luhn is put into the row's own pattern, literally: the pattern
+then takes no group from a card, and no run that fails its check hides one.
+
 | kind | candidate | check | what is permuted |
 | --- | --- | --- | --- |
 | email | local@domain | shape | letters and digits of the local part, and of the domain but for its last label |
 | card | 13 to 19 digits, also with single spaces or hyphens | Luhn | all digits but the last, which becomes the check digit |
 | iban | two letters, two digits, 11 to 30 more | remainder 1 by 97 | what follows the check digits, which are made anew |
-| phone | + with 8 to 15 digits, or (ddd) ddd-dddd, ddd-ddd-dddd | number of digits | all digits but a country code set apart from the rest |
+| phone | + with 8 to 15 digits, the most whole groups, or (ddd) ddd-dddd, ddd-ddd-dddd | number of digits | all digits but a country code set apart from the rest |
 | ssn | ddd-dd-dddd | area, group and serial in use | the number among all valid ones |
 | ip | four numbers by dots | each up to 255 | the 32 bits |
 | date | yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy, years 1900 to 2099 | is a day | the day, among all days of these years |
@@ -21,19 +25,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "card", "iban", "phone", "ssn", "ip", "date")
+# A phone number has at most 15 digits, which end where a group does.
+AT_MOST_15 = "(?<!" + "[0-9][ ()-]{0,3}" * 15 + "[0-9])"
+AFTER_8 = "(?<=" + "[0-9][ ()-]{0,3}" * 7 + "[0-9][ -])"
+ISO_DAY = r"(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9/-])"
+
+
+def _phone(cards: str) -> str:
+    """Pattern of phone numbers, none of which runs on into one of the given cards or, once long enough, a day."""
+
+    def plus(gap: str, end: str) -> str:
+        return (
+            rf"(?<![0-9A-Za-z+])\+[0-9]{{1,3}}{gap}(?:\([0-9]{{1,4}}\){gap})?[0-9]{{2,4}}(?:{gap}[0-9]{{2,4}}){{1,4}}{end}{AT_MOST_15}"
+        )
+
+    return (
+        r"(?<![0-9A-Za-z+])\+1[ -]?\([0-9]{3}\)[ -]?[0-9]{3}-[0-9]{4}(?![0-9])"
+        + "|" + plus("[ -]?", "(?![0-9]|[ -][0-9])")
+        + "|" + plus(rf"(?:[ -](?!{cards}|{AFTER_8}{ISO_DAY}))?", "(?![0-9])")
+        + r"|(?<![0-9A-Za-z)])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])"
+    )
+
+
 # Every alternative starts where a run of its characters starts, so no text is scanned twice.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-    "phone": r"(?<![0-9A-Za-z+])\+1[ -]?\([0-9]{3}\)[ -]?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{1,3}[ -]?(?:\([0-9]{1,4}\)[ -]?)?[0-9]{2,4}(?:[ -]?[0-9]{2,4}){1,4}(?![0-9])"
-    r"|(?<![0-9A-Za-z)])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
+    "phone": _phone("(?!)"),
     "ssn": r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "date": r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}"
     r"|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})(?![0-9/-])",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[ -][0-9])",
 }
-CANDIDATE = "|".join(PATTERNS.values())
+CANDIDATE = "|".join(p for k, p in PATTERNS.items() if k != "card")
+# Digits in each group of a card beside other numbers; of two that begin together the longer one.
+SHAPES = ((4, 4, 4, 4, 3), (4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 3, 3, 3), (6, 13))
+GROUP = r"(?:(?<![0-9A-Za-z.-])|(?<=[0-9]-))"
 ROUNDS = 8
 FIRST_DAY, YEARS, DAYS = "1900-01-01", 200, 73_049
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -154,6 +182,47 @@ def _day(m: Column) -> Column:
     return F.when(plain, F.try_to_date(F.when(iso, m).otherwise(turned), "yyyy-MM-dd"))
 
 
+def _any_of(values: Column) -> Column:
+    """Pattern of any of these texts of digits, spaces and hyphens."""
+    return F.when(F.size(values) > 0, F.concat(F.lit("(?:"), F.array_join(values, "|"), F.lit(")"))).otherwise("(?!)")
+
+
+def _candidate(text: Column) -> Column:
+    """The pattern of a text's candidates, in which its cards stand literally."""
+    end = "(?![0-9A-Za-z])"
+
+    def cards(pattern: str) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+        return F.filter(found, lambda m: _luhn_sum(_digits(m)) % 10 == 0)
+
+    start, body = PATTERNS["card"].split("[0-9](?:", 1)
+    lists = [cards(f"{GROUP}(?=([0-9]{{13,19}}){end})")]
+    lists += [cards(f"{GROUP}(?=({'[ -]'.join(f'[0-9]{{{n}}}' for n in s)}){end})") for s in SHAPES]
+    lists += [cards(f"{start}(?=([0-9](?:{body}))")]
+
+    def pattern(c: Column) -> Column:
+        single, shaped, whole = c[0], [c[i + 1] for i in range(len(SHAPES))], c[len(SHAPES) + 1]
+        # where two overlap, the one that begins as payment cards do
+        likely = [F.filter(x, lambda m: m.rlike("^[2-6]")) for x in shaped]
+        sure = F.concat(_any_of(F.concat(*likely, single)), F.lit(end))
+        card = [F.lit(GROUP + "(?:"), _any_of(single)]
+        for shape, x, good in zip(SHAPES, shaped, likely):
+            other = F.filter(x, lambda m: ~m.rlike("^[2-6]"))
+            card += [F.lit("|"), _any_of(good), F.lit(end)]
+            card += [F.lit(f"|(?!(?:[0-9]++[ -]){{1,{len(shape) - 1}}}"), sure, F.lit(")"), _any_of(other), F.lit(end)]
+        card += [F.lit(f"){end}|{start}(?!(?:[0-9]++[ -]){{1,18}}"), sure, F.lit(")"), _any_of(whole), F.lit("(?![0-9A-Za-z]|[ -][0-9])")]
+        # a card with a + before it is none of a phone's groups
+        phone = _phone("@")
+        cut = phone.split("@")
+        phones = F.concat(F.lit(cut[0]), *[x for part in cut[1:] for x in (sure, F.lit(part))])
+        rest = [F.lit(f"|{p}") for k, p in PATTERNS.items() if k not in ("email", "iban", "phone", "card")]
+        return F.concat(F.lit(f"{PATTERNS['email']}|{PATTERNS['iban']}|"), phones, *rest, F.lit("|"), *card)
+
+    found = F.array(*lists)
+    made = F.transform(F.array(found), lambda c: F.when(F.size(F.flatten(c)) > 0, pattern(c)).otherwise(CANDIDATE))[0]
+    return F.when(text.rlike("[0-9](?:[ -]?[0-9]){12}"), made).otherwise(CANDIDATE)
+
+
 def _pseudonym(m: Column, kind: Column, key: str) -> Column:
     digits = _digits(m)
 
@@ -225,7 +294,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: str
     text = F.col(text_col)
     # whole texts without a digit or @ are passed on without the search
     likely = text.rlike("[0-9@]")
-    found = F.when(likely, F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
+    pattern = F.col("_found")["pattern"]
+    found = F.when(likely, F.regexp_extract_all(text, pattern, F.lit(0)))
     changed = F.transform(
         found,
         lambda m: F.struct(
@@ -233,9 +303,9 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: str
         ),
     )
     replaced = F.transform(
-        F.col("_found"), lambda c: F.struct(c["kind"].alias("kind"), _pseudonym(c["was"], c["kind"], key).alias("now"))
+        F.col("_found")["all"], lambda c: F.struct(c["kind"].alias("kind"), _pseudonym(c["was"], c["kind"], key).alias("now"))
     )
-    between = F.split(text, CANDIDATE, -1)
+    between = F.split(text, pattern, -1)
     joined = F.array_join(
         F.transform(between, lambda part, i: F.concat(part, F.coalesce(F.get(F.col("_new"), i)["now"], F.lit("")))), ""
     )
@@ -249,12 +319,13 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: str
     none = F.create_map().cast("map<string,bigint>")
     rest = [c for c in docs.columns if c not in (text_col, counts, "_found", "_new")]
     return (
-        docs.withColumn("_found", changed)
+        docs.withColumn("_found", F.struct(F.when(likely, _candidate(text)).alias("pattern")))
+        .withColumn("_found", F.struct(pattern.alias("pattern"), changed.alias("all")))
         .withColumn("_new", replaced)
         .select(
             *rest,
-            F.when(F.size("_found") > 0, joined).otherwise(text).alias(text_col),
-            F.when(F.size("_found") > 0, n_by_kind).otherwise(none).alias(counts),
+            F.when(F.size("_new") > 0, joined).otherwise(text).alias(text_col),
+            F.when(F.size("_new") > 0, n_by_kind).otherwise(none).alias(counts),
         )
         .select(*[c for c in docs.columns if c not in (counts, "_found", "_new")], counts)
     )

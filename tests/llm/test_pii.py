@@ -167,3 +167,32 @@ def test_columns(spark):
     found = pseudonymise(docs.withColumn("pii_counts", F.lit(1)), KEY)
     assert found.count() == 3 and found.columns[:2] == ["doc_id", "text"]
     assert pseudonymise(docs.limit(0), KEY).count() == 0
+
+
+def test_cards_beside_numbers(spark):
+    """A card before or after other numbers is found, and these stay."""
+    cards = ["4111111111111111", "4111 1111 1111 1111", "5500-0000-0000-0004", "3782 822463 10005", "7536784127813050"]
+    forms = ["{}", "{} 12/27", "{} 123", "3 {}", "12 {} 7", "{}-5", "3-{}", "1234 {} 99 88", "{} 4845168114407329", "{} 1.5", "{} 2nd", "1 {}"]
+    values = [(f.format(c), f, c) for f in forms for c in cards]
+    for (value, form, card), (got, counts) in zip(values, pseudonyms(spark, [v for v, _, _ in values])):
+        wanted = form.format(brute_force(card, "card")).replace("4845168114407329", brute_force("4845168114407329", "card"))
+        assert got == wanted and counts == {"card": 1 + ("4845" in form)}, value
+
+
+def test_numbers_beside_cards_and_phones(spark):
+    card, made = "4111 1111 1111 1111", brute_force("4111 1111 1111 1111", "card")
+    day, ip, ssn = (brute_force(v, k) for v, k in (("1999-12-31", "date"), ("1.2.3.4", "ip"), ("123-45-6789", "ssn")))
+    phone = brute_force("415-555-2671", "phone")
+    wanted = {
+        f"{card} 1999-12-31": f"{made} {day}", f"{card} 1.2.3.4": f"{made} {ip}", f"123-45-6789 {card}": f"{ssn} {made}",
+        f"415-555-2671 {card}": f"{phone} {made}", f"{card} 415-555-2671": f"{made} {phone}", f"+1 {card}": f"+1 {made}",
+        f"1 2 {card} 3 {card} 4": f"1 2 {made} 3 {made} 4", "12 34 1999-12-31 12346": f"12 34 {day} 12346",
+        f"+1 415 555 0199 {card}": f"{brute_force('+1 415 555 0199', 'phone')} {made}",
+        "+1 415 555 2671 1999-12-31": f"{brute_force('+1 415 555 2671', 'phone')} {day}",
+        "+1 415 555 2671 1234 5678 99": f"{brute_force('+1 415 555 2671 1234', 'phone')} 5678 99",
+    }
+    for (value, want), (got, _) in zip(wanted.items(), pseudonyms(spark, wanted)):
+        assert got == want, value
+    long = ["1 " * 50_000, "4111 1111 1111 1111 " * 200]
+    found = pseudonyms(spark, long)
+    assert found[0] == (long[0], {}) and found[1] == (long[1].replace(card, made), {"card": 200})
