@@ -4,8 +4,8 @@ Words of the benchmark are the terms. Documents are read as passages of `WINDOW`
 TF-IDF vector of its terms, with document frequencies over the passages of all documents. One
 distributed pass over them gives a randomised SVD: every task sums A^T (A R) for a fixed random R over
 its passages, the sums are added by term, and the few columns are factored. In that latent space,
-scaled by the singular values, passages of documents (overlapping by half) and of the benchmark are
-compared by cosine. A candidate has to share enough words with the item, and then the longest
+scaled by the singular values, passages of documents (of two lengths, overlapping by half) and of the
+benchmark are compared by cosine. A candidate has to share enough words with the item, and then the longest
 common subsequence of words decides: a near-verbatim copy by itself, a paraphrase only if the words of
 the item's answer are there too.
 
@@ -25,8 +25,11 @@ from partwise.llm.tables import id_and_text, in_slices, materialise
 
 WINDOW, STEP = 32, 16
 RANK = 48
-LEAST_COSINE = 0.4
-SHARED = 0.35  # of a benchmark passage's words, before the subsequence is sought
+LEAST_COSINE = 0.2
+# Windows in which documents are searched: words, step, and the share of a benchmark passage's words that has
+# to be in one before the subsequence is sought. The short ones are for short items and thin paraphrases.
+VIEWS = ((WINDOW, STEP, 0.3), (16, 8, 0.25))
+PAIRS = 1 << 16  # of windows and benchmark passages compared word by word at once
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
 SHORT = 12  # items of fewer words are found as a run of just these words
 ITEMS_PER_BLOCK = 2000
@@ -92,9 +95,9 @@ def common_subsequence(masks: dict[int, int], n: int, other: list[int]) -> int:
     return n - row.bit_count()
 
 
-def _passages(texts: list[np.ndarray], n_terms: int, step: int) -> tuple[np.ndarray, ...]:
+def _passages(texts: list[np.ndarray], n_terms: int, step: int, window: int = WINDOW) -> tuple[np.ndarray, ...]:
     """Counts of terms by passage: (passage, term, count), and each passage's text and first word."""
-    ns = np.array([max(1, -(-(len(t) - WINDOW + step) // step)) for t in texts])
+    ns = np.array([max(1, -(-(len(t) - window + step) // step)) for t in texts])
     first = np.concatenate([[0], np.cumsum(ns)])
     all_terms = np.concatenate(texts)
     text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
@@ -102,7 +105,7 @@ def _passages(texts: list[np.ndarray], n_terms: int, step: int) -> tuple[np.ndar
     hit = np.flatnonzero(all_terms >= 0)
     block, text, term = place[hit] // step, text[hit], all_terms[hit].astype(np.int64)
     keys = []
-    for back in range(WINDOW // step):
+    for back in range(window // step):
         at = block - back
         ok = (at >= 0) & (at < ns[text])
         keys.append((first[text[ok]] + at[ok]) * n_terms + term[ok])
@@ -196,32 +199,32 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndar
 def _matches(texts: list[np.ndarray], items: Items, idf: np.ndarray, space: np.ndarray, latent: np.ndarray, counts: np.ndarray):
     """(text, item, similarity, cosine, first word) of what passes all checks."""
     best: dict[tuple[int, int], tuple[float, float, int]] = {}
-    if len(items.passages):
-        passage, term, n, of, first = _passages(texts, len(idf), STEP)
+    sizes = np.array([len(p) for p in items.passages])
+    for window, step, least_shared in VIEWS if len(items.passages) else ():
+        passage, term, n, of, first = _passages(texts, len(idf), step, window)
         value = _weighted(passage, term, n, idf)[:, None]
         reduced = _sum_runs(passage, value * space[term], len(of))
         reduced /= np.maximum(np.linalg.norm(reduced, axis=1), 1e-9)[:, None]
         begins = np.searchsorted(passage, np.arange(len(of) + 1))
-        sizes = np.array([len(p) for p in items.passages])
         for a in range(0, len(of), 4096):
             cosine = reduced[a : a + 4096] @ latent.T
-            at, k = np.nonzero(cosine >= LEAST_COSINE)
-            if not len(at):
-                continue
-            lengths = (begins[a + at + 1] - begins[a + at]).astype(np.int64)
-            pair = np.repeat(np.arange(len(at)), lengths)
-            entry = np.repeat(begins[a + at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-            shared = np.bincount(pair, np.minimum(n[entry], counts[k[pair], term[entry]]), minlength=len(at))
-            for i in np.flatnonzero(shared >= SHARED * sizes[k]).tolist():
-                t, item = int(of[a + at[i]]), int(items.item[k[i]])
-                own, start, close = items.words[item], int(first[a + at[i]]), float(cosine[at[i], k[i]])
-                if best.get((t, item), (0,))[0] == 1.0:
-                    continue
-                lo = max(0, start - len(own))
-                region = texts[t][lo : start + WINDOW + len(own)].tolist()
-                similar = common_subsequence(items.masks[item], len(own), region) / len(own)
-                if similar >= VERBATIM or similar >= PARAPHRASE and items.told(item, region) >= ANSWER:
-                    best[t, item] = max(best.get((t, item), (0.0, 0.0, 0)), (similar, close, lo))
+            all_at, all_k = np.nonzero(cosine >= LEAST_COSINE)
+            for b in range(0, len(all_at), PAIRS):
+                at, k = all_at[b : b + PAIRS], all_k[b : b + PAIRS]
+                lengths = (begins[a + at + 1] - begins[a + at]).astype(np.int64)
+                pair = np.repeat(np.arange(len(at)), lengths)
+                entry = np.repeat(begins[a + at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+                shared = np.bincount(pair, np.minimum(n[entry], counts[k[pair], term[entry]]), minlength=len(at))
+                for i in np.flatnonzero(shared >= least_shared * sizes[k]).tolist():
+                    t, item = int(of[a + at[i]]), int(items.item[k[i]])
+                    own, start, close = items.words[item], int(first[a + at[i]]), float(cosine[at[i], k[i]])
+                    if best.get((t, item), (0,))[0] == 1.0:
+                        continue
+                    lo = max(0, start - len(own))
+                    region = texts[t][lo : start + window + len(own)].tolist()
+                    similar = common_subsequence(items.masks[item], len(own), region) / len(own)
+                    if similar >= VERBATIM or similar >= PARAPHRASE and items.told(item, region) >= ANSWER:
+                        best[t, item] = max(best.get((t, item), (0.0, 0.0, 0)), (similar, close, lo))
     for item in items.short:
         own = items.words[item]
         for t, text in enumerate(texts):

@@ -1,6 +1,6 @@
 import random
 
-from partwise.llm.decontaminate import _masks, common_subsequence, find_contamination, words
+from partwise.llm.decontaminate import ITEMS_PER_BLOCK, _masks, common_subsequence, find_contamination, words
 from partwise.llm.queries import op4_decontamination
 from partwise.llm.tables import read
 
@@ -75,3 +75,23 @@ def test_common_subsequence():
             for j, y in enumerate(b):
                 last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
         assert common_subsequence(_masks(np.array(a, np.int32)), len(a), b) == row[-1]
+
+
+def test_recall_with_a_full_block(spark):
+    """Of the paraphrases that the rule counts, among as many items as a block holds."""
+    rng = random.Random(7)
+    say = lambda n: [f"w{int(4000 * rng.random() ** 3)}" for _ in range(n)]
+    items = [(i, " ".join(say(rng.randrange(12, 56))) + ". " + " ".join(say(4)) + ".") for i in range(ITEMS_PER_BLOCK)]
+    docs, wanted = [], set()
+    for d in range(300):
+        i, keep = rng.randrange(len(items)), rng.choice((0.9, 0.7, 0.6))
+        body, answer = items[i][1][:-1].rsplit(". ", 1)
+        text = " ".join(w if rng.random() < keep else say(1)[0] for w in body.split()) + " " + answer
+        docs.append((d, " ".join([*say(rng.randrange(0, 120)), text, *say(rng.randrange(0, 120))])))
+        if caught(items[i][1], text):
+            wanted.add((d, i))
+    docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in find_contamination(docs, bench).collect()}
+    assert len(wanted) > 250
+    lost = len(wanted - found) / len(wanted)
+    assert lost <= 0.01, (lost, len(wanted), len(found))
