@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partwise.llm import oracles
 from partwise.llm.decontaminate import find_contamination
 from partwise.llm.html_text import extract_text
 from partwise.llm.language_id import fit, identify
+from partwise.llm.merkle import merkle_manifest
 from partwise.llm.near_dedup import near_duplicates
 from partwise.llm.nearest import nearest_neighbours
 from partwise.llm.packing import pack_documents
@@ -86,6 +90,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, lower).otherwise(F.col("text"))
+    return merkle_manifest(docs, claimed={"text": tampered}).drop("path")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_dedup": op2_near_dedup,
@@ -97,6 +108,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_url_filters": op9_url_filters,
     "op10_sharding": op10_sharding,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -121,4 +133,5 @@ ORACLE: dict[str, str] = {
         select page_id, host, path, b.rule as rule, coalesce(b.verdict, 'allow') as verdict
         from u left join best using (n)
     """,
+    "op12_merkle_manifest": oracles.merkle(),
 }
