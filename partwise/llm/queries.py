@@ -17,6 +17,7 @@ from partwise.llm.nearest import nearest_neighbours
 from partwise.llm.packing import pack_documents
 from partwise.llm.pii import pseudonymise
 from partwise.llm.sharding import shard_records
+from partwise.llm.simhash import simhash_duplicates
 from partwise.llm.tables import read
 from partwise.llm.token_counts import count_tokens
 from partwise.llm.url_filters import filter_urls
@@ -97,6 +98,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(docs, claimed={"text": tampered}).drop("path")
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(read(spark, sf_dir, "documents"), words=3, radius=3, seed=42)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_dedup": op2_near_dedup,
@@ -109,6 +114,7 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_sharding": op10_sharding,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE: dict[str, str] = {
