@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partwise.llm import oracles
+from partwise.llm.conversations import repair_conversations
 from partwise.llm.decontaminate import find_contamination
 from partwise.llm.html_text import extract_text
 from partwise.llm.language_id import fit, identify
@@ -91,6 +92,32 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user, by a checksum of conversation and turn."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    text = F.coalesce("text", space)
+    return conversations.withColumn("how", F.crc32(key.cast("binary")) % 20).where("how != 0").select(
+        "conv_id", "turn", F.when(F.col("how") == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(F.col("how") == 1, "").when(F.col("how") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("how") == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    repair = repair_conversations(damaged(conversations))
+    digests = repair.digests().withColumnRenamed("conv", "d_conv")
+    every = conversations.select("conv_id").distinct()
+    found = every.join(repair.report, F.col("conv_id").eqNullSafe(F.col("conv")), "left").join(
+        digests, F.col("conv_id").eqNullSafe(F.col("d_conv")), "left"
+    )
+    return found.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
@@ -113,6 +140,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_url_filters": op9_url_filters,
     "op10_sharding": op10_sharding,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_simhash": op13_simhash,
 }
