@@ -58,3 +58,65 @@ def merkle(fanout: int = 16, depth: int = 7, group_depth: int = 4) -> str:
     return "with " + ",".join(steps) + f"""
         select doc_id, leaf, subroot, node as root, sha256(proof) as proof_sha256, fold as folded_root, fold = node as verified
         from v{group_depth}"""
+
+
+def conversations() -> str:
+    """Least cheapest edits by a forward step for each row, over states '', s, u and a; lines begin with a newline."""
+    key = "coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')"
+    white = r"\x20\x09-\x0D"
+    return rf"""
+        with recursive how as materialized (
+            select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {crc32(key)} % 20 as h
+            from conversations
+        ), damaged as (
+            select conv_id, turn, case when h = 4 then 'user' else role end as role,
+                case when h = 1 then '' when h = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+                unnest(range(case when h = 3 then 2 else 1 end)) as copy
+            from how where h <> 0
+        ), judged as materialized (
+            select conv_id, turn, role, text, left(role, 1) as initial,
+                row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+                lag(left(role, 1)) over (partition by conv_id order by turn nulls first, role, text, copy) as earlier,
+                case when not regexp_matches(text, '[^{white}]') then 'blank'
+                    when row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 then 'duplicate'
+                    when not regexp_matches(text, '[.!?][{white}]*$') then 'truncated' else '' end as fault
+            from damaged
+        ), edits(q, kind, initial, q2, cost, line) as (
+            values ('', 'D', null, '', 4, null), ('s', 'D', null, 's', 4, null), ('u', 'D', null, 'u', 4, null), ('a', 'D', null, 'a', 4, null),
+                ('', 'K', 's', 's', 0, null), ('', 'K', 'u', 'u', 0, null), ('s', 'K', 'u', 'u', 0, null), ('a', 'K', 'u', 'u', 0, null),
+                ('u', 'K', 'a', 'a', 0, null), ('', 'R', null, 'u', 3, 'user'), ('s', 'R', null, 'u', 3, 'user'),
+                ('a', 'R', null, 'u', 3, 'user'), ('u', 'R', null, 'a', 3, 'assistant')
+        ), inserts(q, q2, cost, audit, lines) as (
+            values ('', '', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+                ('', 'u', 3, 'I', chr(10) || 'user:'), ('s', 'u', 3, 'I', chr(10) || 'user:'), ('a', 'u', 3, 'I', chr(10) || 'user:'),
+                ('u', 'a', 3, 'I', chr(10) || 'assistant:'), ('', 'a', 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+                ('s', 'a', 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+        ), best as (
+            select conv_id, 0::bigint as i, q2 as q, struct_pack(cost := cost::bigint, audit := audit, lines := lines) as b
+            from (select distinct conv_id from judged), inserts where q = ''
+            union all
+            select best.conv_id, best.i + 1, n.q2, min(struct_pack(
+                cost := (b.cost + e.cost + case when e.kind <> 'D' and fault = 'truncated' then 3 else 0 end + n.cost)::bigint,
+                audit := b.audit || e.kind || n.audit,
+                lines := b.lines || case when e.kind = 'D' then '' else chr(10) || coalesce(e.line, j.role) || ':' || j.text end || n.lines))
+            from best join judged j on j.conv_id is not distinct from best.conv_id and j.i = best.i + 1
+                join edits e on e.q = best.q and (e.kind = 'D' or j.fault not in ('blank', 'duplicate'))
+                    and (e.kind <> 'K' or e.initial = j.initial)
+                join inserts n on n.q = e.q2
+            group by best.conv_id, best.i + 1, n.q2
+        ), counted as (
+            select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+                count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+                count(*) filter (fault = 'truncated') as truncated,
+                count(*) filter (i > 1 and earlier || initial not in ('su', 'ua', 'au')) as illegal, max(i) as last
+            from judged group by conv_id
+        ), ended as (
+            select best.conv_id, min(b) as b from best join counted c on c.conv_id is not distinct from best.conv_id and i = last
+            where q in ('', 'a') group by best.conv_id
+        )
+        select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+            coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(b.cost, 0) as cost,
+            coalesce(b.audit, '') as audit, sha256(coalesce(b.lines[2:], '')) as repaired_sha256
+        from (select distinct conv_id from conversations) o
+            left join counted c on c.conv_id is not distinct from o.conv_id
+            left join ended d on d.conv_id is not distinct from o.conv_id"""

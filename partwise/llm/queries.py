@@ -167,5 +167,6 @@ ORACLE: dict[str, str] = {
         select page_id, host, path, b.rule as rule, coalesce(b.verdict, 'allow') as verdict
         from u left join best using (n)
     """,
+    "op11_conversation_repair": oracles.conversations(),
     "op12_merkle_manifest": oracles.merkle(),
 }
