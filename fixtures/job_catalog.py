@@ -18,7 +18,7 @@ from partwise.plans.verify import run_verify, verify_files
 from partwise.sources import progress as journal
 from partwise.sources.objects import digest_ranges, fetch_parts, scan_objects, scan_parts
 from partwise.sources.scratch import scratch_path
-from partwise.sources.sinks import assemble_objects, publish_files, publish_objects, write_parts, write_pieces, write_ranges
+from partwise.sources.sinks import assemble_objects, publish_files, publish_objects, read_parts, write_parts, write_pieces, write_ranges
 from partwise.sources.uploads import read_upload_state
 from partwise.streaming.objects import stream_objects
 from partwise.streaming.progress import read_state, stream_completion, stream_progress, write_changes
@@ -90,7 +90,8 @@ def _(v: Views) -> DataFrame:
 def _(v: Views) -> DataFrame:
     out = scratch_path(v.spark, "table")
     write_parts(v.parts(), out)
-    return v.spark.read.parquet(out).select("object_id", "part_num", "start", "end", F.md5("bytes").alias("md5"))
+    write_parts(v.parts(), out)  # a repeated write changes nothing
+    return read_parts(v.spark, out).select("object_id", "part_num", "start", "end", F.md5("bytes").alias("md5"))
 
 
 @query(
@@ -261,9 +262,8 @@ def _(v: Views) -> DataFrame:
     before = jobs.materialise(store.pending().select("upload_id"), "before")
     targets = prefix_targets(v).distinct().select(F.concat(F.lit("s3://"), "bucket", F.lit("/"), "key").alias("dst_url"))
     cancelled, _refused = run_cancel(store, targets, allow_prefix=True)
-    out = scratch_path(v.spark, "reclaimed")
-    store.reclaim(out)
-    counts = v.spark.read.parquet(out).groupBy("upload_id").agg(F.count("*").alias("n_parts"))
+    store.reclaim()
+    counts = store.table("parts").groupBy("upload_id").agg(F.count("*").alias("n_parts"))
     marked = before.join(cancelled.select("upload_id", F.lit(True).alias("cancelled")), "upload_id", "left")
     return marked.join(counts, "upload_id", "left").select(
         "upload_id", F.coalesce("cancelled", F.lit(False)).alias("cancelled"), F.coalesce("n_parts", F.lit(0)).alias("n_parts")

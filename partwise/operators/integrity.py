@@ -105,13 +105,19 @@ def _fold(ordered: DataFrame, algo: str, value: str) -> DataFrame:
     return ordered.select("object_id", value).mapInArrow(fold, f"object_id {id_type}, digest string")
 
 
+def fold_digests(ordered: DataFrame, algo: str = "md5") -> DataFrame:
+    """(object_id, digest) over bytes of rows that lie in order, each object's within one partition."""
+    check_algorithm(algo)
+    return _fold(ordered, algo, "bytes")
+
+
 def object_digests(df: DataFrame, algo: str = "md5") -> DataFrame:
     """(object_id, digest) over all bytes of each object, whatever its part size.
 
     df holds either content, one row for each object, or part rows with bytes. A digest over a
     whole object takes its bytes in order, so the parts of one object are read by one task as a
     sorted stream; memory does not grow with the object. Use composite_etags where the digest may
-    depend on the part size, and plans.verify for files, which shuffles no bytes.
+    depend on the part size, and plans.verify for files and stored objects, which shuffles no bytes.
     """
     check_algorithm(algo)
     if "content" in df.columns:

@@ -15,8 +15,8 @@ from partwise.sources.scratch import materialise
 def run_cancel(store: Store, targets: DataFrame, allow_prefix: bool = False) -> tuple[DataFrame, DataFrame]:
     """(cancelled uploads, refused targets with error_class and exit_code).
 
-    targets: dst_url. Where nothing is unfinished, nothing happens. The parts stay on disk until
-    Store.reclaim writes the table again.
+    targets: dst_url. Where nothing is unfinished, nothing happens. The bytes stay on disk until
+    Store.reclaim collects what no upload and no object names.
     """
     named = classify_locations(targets, "dst_url", STORE).select(
         "dst_url", F.col("authority").alias("bucket"), F.expr("substring(path, 2)").alias("key"),

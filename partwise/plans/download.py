@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from partwise.functions.skew import salted_join
 from partwise.operators import policy
-from partwise.operators.crypto import decrypted, derive_object_keys
+from partwise.operators.crypto import derive_object_keys
 from partwise.operators.integrity import VERIFIED, verify_parts
 from partwise.operators.locations import FILE, STORE, classify_locations
-from partwise.operators.parts import DOWNLOAD, plan_parts, resplit_parts
+from partwise.operators.parts import DOWNLOAD, plan_parts
 from partwise.operators.rejects import with_exit_code
 from partwise.plans.store import Store
 from partwise.plans.transfer import _first_reason, _keys, _size_reason, _without_rivals
 from partwise.sources import progress as journal
 from partwise.sources.objects import digest_ranges, tasks_for
 from partwise.sources.scratch import materialise
-from partwise.sources.sinks import file_states, publish_files, write_pieces
+from partwise.sources.segments import write_file_parts
+from partwise.sources.sinks import file_states, publish_files
 
 GO = (policy.NEW, policy.LOAD, policy.RESTART, policy.DISCARD)
 
@@ -51,7 +52,8 @@ def run_download(
 
     requests: object_id, src_url, dst_url, file_exists, download_exists, part_size, key_id.
     Files are written in place by all tasks, so the destination is mounted by all executors. Parts
-    finished by an earlier run are kept when their bytes still have the recorded MD5. Of requests for
+    finished by an earlier run are kept when their bytes still have the recorded MD5, and no byte of them is
+    read from the store. Parts of any size are cut from the stored ranges without a shuffle of bytes. Of requests for
     one file the first in order of object_id is done, the others end with FileExists.
     """
     spark = store.spark
@@ -105,28 +107,19 @@ def run_download(
         ),
         "sources",
     )
-    carry = ["object_id", "dst_path", "dst_part_size", "src_part_size"]
-    rows = store.part_rows(sources.withColumn("src_part_size", F.col("part_size")), carry, object_keys)
-    opened = rows.withColumn("bytes", decrypted(F.col("bytes"), F.col("object_key"))).filter("length(bytes) > 0")
-    same = F.col("src_part_size") == F.col("dst_part_size")
-    as_stored = opened.filter(same).select("object_id", "part_num", "offset", "dst_path", "bytes")
-    recut = resplit_parts(
-        opened.filter(~same).select(
-            F.struct("object_id", "dst_path").alias("object_id"),
-            F.col("offset").alias("start"),
-            (F.col("offset") + F.length("bytes")).alias("end"),
-            "bytes",
-            "dst_part_size",
-        ),
-        F.col("dst_part_size"),
-    ).select("object_id.object_id", "part_num", F.col("start").alias("offset"), "object_id.dst_path", "bytes")
-    pieces = as_stored.unionByName(recut).join(kept, ["object_id", "part_num"], "left_anti")
+    # What is kept leaves the plan before anything is opened; the rest is cut at the borders of the parts asked for.
+    planned = store.ranges(sources, ["object_id", "dst_path", "dst_part_size"], F.col("dst_part_size")).filter("n > 0")
+    planned = materialise(planned.join(kept, ["object_id", "part_num"], "left_anti"), "ranges")
+    tasks = -(-tasks_for(planned.select(F.col("offset").alias("start"), (F.col("offset") + planned["n"]).alias("end"))) // waves)
+    keyed = None
+    if keys is not None:
+        keyed = sources.select("object_id", "size", F.col("dst_part_size").alias("part_size")).join(object_keys, "object_id")
     wave_of = F.pmod(F.xxhash64("object_id", F.shiftright("part_num", 4)), F.lit(waves))
     header = sources.select("object_id", "size", F.col("dst_part_size").alias("part_size"), "etag")
     written = None
     for wave in range(waves):
-        done = materialise(write_pieces(pieces.filter(wave_of == wave)), "written")
-        # A part that is longer than a cell is written in several rows: it is not journalled.
+        opened = store.opened(planned.filter(wave_of == wave), keyed, tasks).filter("bytes is not null")
+        done = materialise(write_file_parts(opened), "written")
         whole = done.join(header, "object_id").filter(
             (F.col("offset") == F.col("part_num") * F.col("part_size"))
             & (F.col("n") == F.least(F.col("part_size"), F.col("size") - F.col("offset")))

@@ -11,17 +11,18 @@ from partwise.functions.locations import absolute_path, is_path
 from partwise.functions.skew import join_by_block
 from partwise.limits import MAX_CELL_BYTES, MAX_PART_SIZE
 from partwise.operators import policy
-from partwise.operators.crypto import attach_keys, decrypted, derive_object_keys, encrypted, read_keys
-from partwise.operators.integrity import composite_etags, piece_digests
+from partwise.operators.crypto import attach_keys, derive_object_keys, encrypted, read_keys
+from partwise.operators.integrity import composite_etags
 from partwise.operators.locations import SOURCE, STORE, classify_locations, derive_destination
-from partwise.operators.parts import UPLOAD, cut_at_borders, n_parts, plan_parts, resplit_parts
+from partwise.operators.parts import UPLOAD, n_parts, plan_parts
 from partwise.operators.rejects import with_exit_code
 from partwise.operators.uploads import sanity_check, unique_parts
 from partwise.plans.store import CANCELLED, COMPLETED, Store
 from partwise.sources.files import READABLE_SCHEMES
 from partwise.sources.objects import fetch_parts, tasks_for
 from partwise.sources.scratch import materialise
-from partwise.sources.sinks import bucket_id, file_states, write_parts
+from partwise.sources.segments import join_cells
+from partwise.sources.sinks import bucket_id, file_states
 
 GO = (policy.NEW, policy.RESUME, policy.CANCEL_AND_NEW)
 SLOT = ["upload_id", "part_num"]
@@ -132,7 +133,7 @@ def _report(store: Store, decided: DataFrame) -> DataFrame:
     """Decisions with size and etag; what was to run and is not published is a failure."""
     published = store.table("objects").select("upload_id", "etag")
     failures = (
-        store.table("parts")
+        store.index()
         .filter("reject_reason is not null")
         .groupBy("upload_id")
         .agg(F.min("reject_reason").alias("_why"))
@@ -238,7 +239,7 @@ def run_transfer(
             stored = fetched.withColumn("bytes", encrypted(F.col("bytes"), F.col("object_key"))).withColumn(
                 "is_encrypted", F.col("object_key").isNotNull()
             )
-        write_parts(stored.select(*store.table("parts").columns), store.path("parts"))
+        store.write(stored)
         _publish(store, _ready_in(go, wave, waves))
     return _report(store, decided)
 
@@ -253,9 +254,10 @@ def run_copy(
 ) -> DataFrame:
     """Copy objects of the store to other keys, under another encryption key if asked.
 
-    requests as for run_transfer with s3:// sources, and src_key_id. Parts keep their borders when
-    the part size stays; otherwise they are cut again. A new part of more than cell_bytes is stored
-    as the pieces it was cut from, followed by an empty row with the digest over them.
+    requests as for run_transfer with s3:// sources, and src_key_id. Where part size and key stay, the new
+    object names the ranges of the old one: no byte is read or written. Otherwise ranges are cut at the new
+    borders on paper, and read, opened and written in tasks that have each part's ranges in order; a new part of more than
+    cell_bytes is stored in several rows, the last with the digest over them.
     """
     spark = store.spark
     named = _named(requests, "/").withColumn("src_key", F.expr("substring(src_path, 2)"))
@@ -290,6 +292,8 @@ def run_copy(
     resumed = go.filter(F.col("action") == policy.RESUME)
     done = materialise(store.parts_of(resumed).select(*SLOT), "done")
 
+    # Parts that keep their borders and their key are entered under the new upload; nothing of them is read.
+    same_key = F.col("src_md5_b64").eqNullSafe(F.col("key_md5_b64"))
     sources = materialise(
         go.select(
             F.col("src_upload_id").alias("upload_id"),
@@ -299,69 +303,50 @@ def run_copy(
             "object_id",
             F.col("part_size").alias("dst_part_size"),
             n_parts(F.col("size"), F.col("part_size"), UPLOAD).alias("dst_parts"),
+            (same_key & (F.col("src_part_size") == F.col("part_size"))).alias("by_reference"),
         ),
         "sources",
     )
-    secrets = dst_key.select("object_id", F.col("object_key").alias("_to")).join(
-        src_key.select("object_id", F.col("object_key").alias("_from")), "object_id"
-    )
-    carry = ["dst_upload_id", "object_id", "dst_part_size", "dst_parts", "src_part_size", "dst_size"]
-    rows = store.part_rows(sources.withColumns({"src_part_size": F.col("part_size"), "dst_size": F.col("size")}), carry, secrets)
-    opened = rows.withColumn("bytes", decrypted(F.col("bytes"), F.col("_from"))).withColumn("upload_id", F.col("dst_upload_id"))
-    columns = ["upload_id", "part_num", "start", "end", "offset", "bytes", "md5", "_to", "dst_parts"]
-    same = F.col("src_part_size") == F.col("dst_part_size")
-    # A part that cannot be opened keeps its borders and becomes a reject.
-    kept = opened.filter(same | F.col("bytes").isNull()).select(*columns)
-    # The empty row that closes a part in pieces has no place in new parts.
-    filled = (F.length("bytes") > 0) | (F.col("dst_size") == 0)
-    recut = opened.filter(~same & F.col("bytes").isNotNull() & filled).select(
-        F.struct("upload_id", "_to", "dst_parts", F.col("dst_size").alias("n"), F.col("dst_part_size").alias("p")).alias("object_id"),
-        F.col("offset").alias("start"),
-        (F.col("offset") + F.length("bytes")).alias("end"),
-        "bytes",
-        "dst_part_size",
-    )
-    fits = F.col("dst_part_size") <= cell_bytes
-    o = lambda name: F.col(f"object_id.{name}")
-    cut = resplit_parts(recut.filter(fits), F.col("dst_part_size")).select(
-        o("upload_id"), "part_num", "start", "end", F.col("start").alias("offset"), "bytes",
-        F.md5("bytes").alias("md5"), o("_to"), o("dst_parts"),
-    )
-    pieces = cut_at_borders(recut.filter(~fits), F.col("dst_part_size"))
-    first = F.col("part_num") * o("p")
-    bounds = [first.alias("start"), F.least(first + o("p"), o("n")).alias("end")]
-    placed = pieces.select(
-        o("upload_id"), "part_num", *bounds, F.col("start").alias("offset"), "bytes",
-        F.lit(None).cast("string").alias("md5"), o("_to"), o("dst_parts"),
-    )
-    keyed = pieces.select(F.struct("object_id", "part_num").alias("object_id"), "start", "bytes")
-    closing = piece_digests(keyed).select(F.col("object_id.*"), "digest").select(
-        o("upload_id"), "part_num", *bounds, bounds[1].alias("offset"), F.lit(b"").alias("bytes"),
-        F.col("digest").alias("md5"), o("_to"), o("dst_parts"),
-    )
-    # Only the ways that some object takes are in the plan: each one reads the parts it needs.
-    other = F.col("part_size") != F.col("dst_part_size")
-    has_cut, has_pieces = sources.agg(F.max(other & fits), F.max(other & ~fits)).first()
-    moving = kept.unionByName(cut) if has_cut else kept
-    if has_pieces:
-        moving = moving.unionByName(placed).unionByName(closing)
-    part_wave = wave_of(F.col("part_num"), F.col("dst_parts"), waves)
-    for wave in range(waves):
-        moved = moving.filter(part_wave == wave).join(done, SLOT, "left_anti")
-        stored = moved.select(
-            "upload_id",
-            bucket_id("upload_id").alias("bucket_id"),
-            "part_num",
-            "start",
-            "end",
-            "offset",
-            encrypted(F.col("bytes"), F.col("_to")).alias("bytes"),
-            F.when(F.col("bytes").isNotNull(), F.col("md5")).alias("md5"),
-            F.col("_to").isNotNull().alias("is_encrypted"),
-            F.when(F.col("bytes").isNull(), F.lit("InvalidEncryptionKey")).alias("reject_reason"),
-            F.lit(run_id).alias("attempt"),
+    has_same, has_other = sources.agg(F.max("by_reference"), F.max(~F.col("by_reference"))).first()
+    bucket = bucket_id("upload_id").alias("bucket_id")
+    if has_same:
+        referred = store.pieces(sources.filter("by_reference"), ["dst_upload_id", "dst_parts"]).select(
+            F.col("dst_upload_id").alias("upload_id"), "dst_parts", "part_num", "start", "end", "offset", "n", "md5", "is_encrypted",
+            F.lit(None).cast("string").alias("reject_reason"), F.lit(run_id).alias("attempt"), "segment", "position", "stored",
         )
-        write_parts(stored, store.path("parts"))
+        referred = materialise(referred.join(done, SLOT, "left_anti"), "referred")
+    if has_other:
+        moving = sources.filter("not by_reference").withColumn("dst_size", F.col("size"))
+        carry = ["dst_upload_id", "object_id", "dst_part_size", "dst_parts", "dst_size"]
+        planned = store.ranges(moving, carry, F.col("dst_part_size")).withColumn("upload_id", F.col("dst_upload_id"))
+        planned = materialise(planned.join(done, SLOT, "left_anti"), "ranges")
+        tasks = -(-tasks_for(planned.select(F.col("offset").alias("start"), (F.col("offset") + F.col("n")).alias("end"))) // waves)
+        sized = moving.select("object_id", "size", F.col("dst_part_size").alias("part_size"))
+        to_keys = dst_key.select("object_id", "object_key").join(sized, "object_id")
+        from_keys = src_key.select("object_id", "object_key").join(sized, "object_id")
+    for wave in range(waves):
+        in_wave = wave_of(F.col("part_num"), F.col("dst_parts"), waves) == wave
+        if has_same:
+            store.refer(referred.filter(in_wave).select("*", bucket))
+        if has_other:
+            keyed = attach_keys(planned.filter(in_wave), to_keys).withColumnRenamed("object_key", "_to")
+            cells = join_cells(store.opened(keyed, from_keys, tasks), "upload_id", cell_bytes)
+            first = F.col("part_num") * F.col("dst_part_size")
+            # A part that cannot be opened becomes a reject.
+            moved = cells.select(
+                "upload_id",
+                bucket,
+                "part_num",
+                first.alias("start"),
+                F.least(first + F.col("dst_part_size"), F.col("dst_size")).alias("end"),
+                "offset",
+                encrypted(F.col("bytes"), F.col("_to")).alias("bytes"),
+                "md5",
+                F.col("_to").isNotNull().alias("is_encrypted"),
+                F.when(F.col("bytes").isNull(), F.lit("InvalidEncryptionKey")).alias("reject_reason"),
+                F.lit(run_id).alias("attempt"),
+            )
+            store.write(moved)
         _publish(store, _ready_in(go, wave, waves))
     return _report(store, decided)
 

@@ -8,7 +8,8 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +19,7 @@ from partwise.operators.parts import resplit_parts
 from partwise.sources.files import Reader, filesystem_of, local_path, partial_path, read_range
 from partwise.sources.objects import spread_ranges
 from partwise.sources.scratch import materialise
+from partwise.sources.segments import SEALED_BYTES, read_segments, write_segments
 
 N_BUCKETS = 64
 
@@ -27,14 +29,51 @@ def bucket_id(key: str) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(N_BUCKETS)).cast("int")
 
 
+INDEX = (
+    "upload_id string, bucket_id int, part_num bigint, start bigint, end bigint, offset bigint, n bigint, md5 string, "
+    "is_encrypted boolean, reject_reason string, attempt string, segment string, position bigint, stored bigint"
+)
+
+
+def append_index(places: DataFrame, index: str, keep_n: bool = False) -> None:
+    """Append rows that name ranges of segments: the rows of a job are all there or none is.
+
+    Only these narrow rows are shuffled, so that a file of the index holds few buckets.
+    """
+    columns = [field.split()[0] for field in INDEX.split(", ")]
+    if not keep_n and "n" not in places.columns:
+        sealed = F.when(F.col("is_encrypted"), SEALED_BYTES).otherwise(0)
+        places = places.withColumn("n", F.greatest(F.col("stored") - sealed, F.lit(0)))
+    rows = places.select(*columns).repartition("bucket_id").sortWithinPartitions("bucket_id", "upload_id", "part_num", "offset")
+    rows.write.mode("append").parquet(index)
+
+
 def write_parts(df: DataFrame, out: str, key: str = "object_id") -> None:
-    """Append parts to a table: the rows of a job are all there or none is.
+    """Append parts with bytes to a table: segments of bytes, and an index whose rows are all there or none is.
 
-    The rows should come ordered by bucket_id and key within tasks, as those of fetch_parts do when
-    its input was: then the row groups of a file hold few buckets, and nothing sorts the bytes.
+    A slot (key and part_num, and offset where a part is several rows) that the table has is not entered again,
+    nor is one twice that df repeats: writing the same parts another time, or a task that is killed and
+    repeated, leaves each slot once.
     """
+    spark = df.sparkSession
     rows = df if "bucket_id" in df.columns else df.withColumn("bucket_id", bucket_id(key))
-    rows.write.mode("append").parquet(out)
+    slot = [key, "part_num", *(["offset"] if "offset" in df.columns else [])]
+    written = materialise(write_segments(rows, f"{out}/segments"), "written")
+    try:
+        there = spark.read.parquet(f"{out}/index").select(*slot)
+    except AnalysisException:  # the first write
+        there = spark.createDataFrame([], written.select(*slot).schema)
+    fresh = written.dropDuplicates(slot).join(there, slot, "left_anti")
+    fresh.repartition("bucket_id").sortWithinPartitions("bucket_id", key, "part_num").write.mode("append").parquet(f"{out}/index")
+
+
+def read_parts(spark: SparkSession, out: str, key: str = "object_id") -> DataFrame:
+    """What write_parts wrote. Filter it before it is asked for bytes with parts_index and read_segments."""
+    return read_segments(parts_index(spark, out), f"{out}/segments").drop("segment", "position", "stored")
+
+
+def parts_index(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.parquet(f"{out}/index")
 
 
 def assemble_objects(parts: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -60,7 +99,9 @@ def _open_partial(dst: str):
     return os.fdopen(os.open(path, os.O_CREAT | os.O_WRONLY, 0o666), "wb")
 
 
-class _Writer:
+class FileWriter:
+    """Keeps the last partial file open."""
+
     def __init__(self) -> None:
         self._dst: str | None = None
         self._file = None
@@ -90,7 +131,7 @@ def write_pieces(parts: DataFrame) -> DataFrame:
     reserved = re.compile(RESERVED_SUFFIXES)
 
     def write_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer = _Writer()
+        writer = FileWriter()
         try:
             for batch in batches:
                 lengths, digests = [], []
@@ -135,7 +176,7 @@ def write_ranges(parts: DataFrame, key: str = "object_id", tasks: int | None = N
             return None
 
     def copy_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, writer = Reader(), _Writer()
+        reader, writer = Reader(), FileWriter()
         try:
             for batch in batches:
                 picked = [batch.column(columns.index(c)).to_pylist() for c in ("url", "dst_path", "start", "end")]

@@ -337,7 +337,7 @@ def test_leftovers_of_a_broken_part(spark, store, source):
     upload = store.objects().filter(f"key = '{2 * P}.bin'").first()["upload_id"]
     rows = store.table("parts").filter(F.col("upload_id") == upload)
     left = rows.filter("part_num = 1").withColumns({"bytes": F.lit(b"?" * 100), "md5": F.lit(None).cast("string"), "attempt": F.lit("broken")})
-    left.write.mode("append").parquet(store.path("parts"))
+    store.append("parts", left)
     assert digests(spark, store) == md5s(contents)
     # A part in two cells of one attempt.
     size = 5 * P // 2
@@ -347,7 +347,7 @@ def test_leftovers_of_a_broken_part(spark, store, source):
     first = whole.withColumns({"bytes": F.substring("bytes", 1, 1000), "md5": F.lit(None).cast("string")})
     last = whole.withColumns({"bytes": F.expr("substring(bytes, 1001)"), "offset": F.lit(1000).cast("bigint")})
     other = Store(spark, store.root + "-other").create()
-    kept.unionByName(first).unionByName(last).write.mode("append").parquet(other.path("parts"))
+    other.append("parts", kept.unionByName(first).unionByName(last))
     for name in ("uploads", "closed", "objects"):
         store.table(name).write.mode("append").parquet(other.path(name))
     assert digests(spark, other) == md5s(contents)
