@@ -270,6 +270,45 @@ def _(v: Views) -> DataFrame:
     )
 
 
+@query(
+    "reclaim_segments",
+    f"""with state as (select upload_id, exists (select 1 from ({_TARGETS}) t where t.bucket = p.bucket and starts_with(p.key, t.key)) as cancelled
+        from pending p), held as (select cancelled, cast(octet_length(bytes) as bigint) as n
+          from state join completed c using (upload_id) join parts p on p.object_id = c.object_id and p.part_num = c.part_num)
+      select cast(coalesce(sum(n) filter (cancelled), 0) as bigint) as bytes_freed,
+        cast(coalesce(sum(n) filter (not cancelled), 0) as bigint) as bytes_live from held""",
+)
+def _(v: Views) -> DataFrame:
+    store = jobs.half_done_store(v, "store")
+    targets = prefix_targets(v).distinct().select(F.concat(F.lit("s3://"), "bucket", F.lit("/"), "key").alias("dst_url"))
+    run_cancel(store, targets, allow_prefix=True)
+    return store.reclaim(least_live=1.0).select("bytes_freed", "bytes_live")
+
+
+@query(
+    "copy_by_reference",
+    f"""select a.object_id, size, 'NEW' as action, etag, md5(content) as digest, cast(0 as bigint) as bytes_written
+        from objects a join {_OWN_ETAGS.format("(select object_id, size, content, 1024::bigint as part_size from objects)")} e using (object_id)""",
+)
+def _(v: Views) -> DataFrame:
+    store = jobs.full_store(v, "store")
+    plain = jobs.store_requests(v).select(
+        "object_id", "src_url", F.concat(F.lit("s3://copies/"), "object_id").alias("dst_url"), F.lit(None).cast("string").alias("exists"),
+        F.lit(None).cast("string").alias("resume_mode"), F.lit(P).cast("bigint").alias("part_size"),
+        F.lit(None).cast("string").alias("key_id"), F.lit("").alias("location"),
+    )
+    # A first copy takes the keys off; the second one keeps part sizes and lack of a key.
+    run_copy(store, plain.withColumn("dst_url", F.concat(F.lit("s3://plain/"), "object_id")).join(
+        jobs.store_requests(v).select("object_id", F.col("key_id").alias("src_key_id")), "object_id"), None, v.key_table())
+    before = store.bytes_held()
+    again = plain.withColumn("src_url", F.concat(F.lit("s3://plain/"), "object_id")).withColumn("src_key_id", F.lit(None).cast("string"))
+    done = run_copy(store, again)
+    read = run_verify(store, done.select("object_id", F.concat(F.lit("s3://copies/"), "object_id").alias("src_url"), F.lit(None).cast("string").alias("key_id")))
+    return done.select("object_id", "size", "action", "etag").join(read.select("object_id", "digest"), "object_id").withColumn(
+        "bytes_written", F.lit(store.bytes_held() - before).cast("bigint")
+    )
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 

@@ -186,6 +186,10 @@ class Store:
     def close(self, uploads: DataFrame, how: str) -> None:
         self.append("closed", uploads.select("upload_id", F.lit(how).alias("how"), F.current_timestamp().alias("closed_at")))
 
+    def bytes_held(self) -> int:
+        """Bytes of all segments on disk, whether something names them or not."""
+        return list_segments(self.spark, self.path("segments")).agg(F.sum("size")).first()[0] or 0
+
     # --- collection -------------------------------------------------------------------------
 
     def reclaim(self, least_live: float = LEAST_LIVE, orphan_age: int = ORPHAN_AGE) -> DataFrame:
