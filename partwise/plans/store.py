@@ -106,11 +106,14 @@ class Store:
         """stored_parts of the given uploads, one row each in uploads."""
         return salted_join(self.stored_parts(), uploads.select("upload_id"), ["upload_id"], ["part_num"], "left_semi")
 
-    def objects(self) -> DataFrame:
+    def objects(self, named: DataFrame | None = None) -> DataFrame:
+        """The current objects, or those that named has (bucket, key) of."""
         values = ["location", "upload_id", "size", "part_size", "etag", "key_md5_b64"]
+        rows = self.table("objects")
+        if named is not None:
+            rows = rows.join(named.select("bucket", "key"), ["bucket", "key"], "left_semi")
         return (
-            self.table("objects")
-            .groupBy("bucket", "key")
+            rows.groupBy("bucket", "key")
             .agg(F.max_by(F.struct(*values), F.struct("published_at", "upload_id")).alias("_o"))
             .select("bucket", "key", *[F.col(f"_o.{c}").alias(c) for c in values])
         )

@@ -79,7 +79,7 @@ def _decide(store: Store, asked: DataFrame, run_id: str) -> DataFrame:
     The fingerprint of the key stands for the key; keys themselves are in no written table.
     """
     valid = asked.filter(F.col("reject_reason").isNull()).withColumn("key_id", F.col("key_md5_b64"))
-    dest = store.objects().withColumn("key_id", F.col("key_md5_b64"))
+    dest = store.objects(valid).withColumn("key_id", F.col("key_md5_b64"))
     pending = store.pending()
     decided = policy.upload_decisions(valid, dest, pending, store.parts_of(pending), on=("bucket", "key"))
     new_id = F.md5(F.concat_ws("/", "bucket", "key", F.lit(run_id)).cast("binary"))

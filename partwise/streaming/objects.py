@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -10,24 +10,8 @@ from partwise.limits import MIN_PART_SIZE
 from partwise.plans.store import Store
 from partwise.plans.transfer import run_transfer
 from partwise.sources.files import local_path
-from partwise.sources.objects import scan_objects
 from partwise.sources.scratch import materialise
-
-BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
-
-
-def new_objects(spark: SparkSession, directory: str, max_files: int | None = None) -> DataFrame:
-    """Stream of (url, size, modified) of files below directory; content is not read here.
-
-    Spark's file stream leaves out empty files; stream_objects lists those in each batch.
-    """
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.load(directory).select(
-        F.col("path").alias("url"), F.col("length").alias("size"), F.col("modificationTime").alias("modified")
-    )
-
+from partwise.streaming.listing import new_objects
 
 def stream_objects(
     store: Store,
@@ -41,42 +25,39 @@ def stream_objects(
     keys: DataFrame | None = None,
     max_files: int | None = None,
 ) -> DataStreamWriter:
-    """Writer that transfers each new file to dst_url followed by its path below directory.
+    """Writer that transfers each new file, empty ones too, to dst_url followed by its path below directory.
 
-    A batch that is repeated after a failure resumes its unfinished uploads and, with exists
-    "skip", leaves alone what it had finished: each file is transferred once. Empty files are
-    taken along by the batch after they appear.
+    A batch is the files that a listing found new, and looks at no other; the listing lies below checkpoint.
+    It is transferred max_files at a time. A batch that is repeated after a failure resumes its unfinished
+    uploads and, with exists "skip", leaves alone what it had finished: each file is transferred once.
     """
     base = (local_path(directory) or directory).rstrip("/") + "/"
-    bucket, _, prefix = dst_url.removeprefix("s3://").partition("/")
+    bucket_prefix = dst_url.removeprefix("s3://").partition("/")[2]
 
     def transfer(batch: DataFrame, batch_id: int) -> None:
-        below = F.expr("substring(url, position(_base in url) + length(_base))")
-        empty = scan_objects(store.spark, directory).filter("size = 0").select("url").withColumn("_empty", F.lit(True))
-        found = batch.select("url").withColumn("_empty", F.lit(False)).unionByName(empty).withColumn("_base", F.lit(base))
+        below = F.expr("substring(url, length(_base) + 1)")
         # Names of files are paths and keys as they are: what looks like a query in them is none.
-        named = found.select(
+        named = batch.withColumn("_base", F.lit(base)).select(
             F.monotonically_increasing_id().alias("object_id"),
-            F.regexp_replace("url", r"^file:(//)?(?=/)", "").alias("src_url"),
+            F.col("url").alias("src_url"),
             F.lit(dst_url).alias("dst_url"),
-            F.concat(F.lit(prefix), below).alias("dst_key"),
-            "_empty",
-        )
-        # An empty file that is in the store was taken along by an earlier batch.
-        there = store.objects().filter(F.col("bucket") == bucket).select(F.col("key").alias("dst_key"), F.lit(True).alias("_empty"))
-        listed = materialise(named.join(there, ["dst_key", "_empty"], "left_anti").drop("_empty"), "batch")
-        requests = listed.select(
-            "*",
+            F.concat(F.lit(bucket_prefix), below).alias("dst_key"),
             F.lit(exists).alias("exists"),
             F.lit("resume").alias("resume_mode"),
             F.lit(part_size).cast("bigint").alias("part_size"),
             F.lit(key_id).cast("string").alias("key_id"),
             F.lit(location).alias("location"),
         )
-        run_transfer(store, requests, keys)
+        n = batch.count()
+        if n == 0:
+            return
+        runs = -(-n // max_files) if max_files else 1
+        listed = materialise(named.withColumn("_run", F.pmod(F.xxhash64("dst_key"), F.lit(runs))), "batch")
+        for run in range(runs):
+            run_transfer(store, listed.filter(F.col("_run") == run).drop("_run"), keys)
 
     return (
-        new_objects(store.spark, directory, max_files)
+        new_objects(store.spark, directory, f"{checkpoint.rstrip('/')}/listing")
         .writeStream.foreachBatch(transfer)
         .option("checkpointLocation", checkpoint)
     )
