@@ -15,6 +15,7 @@ The benchmark is searched in blocks of a bounded number of items, which are what
 from __future__ import annotations
 
 import re
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +25,17 @@ from pyspark.sql import functions as F
 from partwise.llm.tables import id_and_text, in_slices, materialise
 
 WINDOW, STEP = 32, 16
-RANK = 48
-LEAST_COSINE = 0.2
+RANK = 128
+LEAST_COSINE = 0.3
 # Windows in which documents are searched: words, step, and the share of a benchmark passage's words that has
 # to be in one before the subsequence is sought. The short ones are for short items and thin paraphrases.
 VIEWS = ((WINDOW, STEP, 0.3), (16, 8, 0.25))
+GRAIN = 8  # words whose latent vectors are added once; windows and steps are multiples of it
 PAIRS = 1 << 16  # of windows and benchmark passages compared word by word at once
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
 SHORT = 12  # items of fewer words are found as a run of just these words
-ITEMS_PER_BLOCK = 2000
+# Bounds of what is broadcast for one pass over the documents.
+ITEMS_PER_BLOCK, WORDS_PER_BLOCK = 2000, 100_000
 # ASCII that is no letter or digit separates words
 SEPARATORS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -64,10 +67,9 @@ class Items:
         self.passages = [self.words[i][s : s + WINDOW] for i, s in cuts]
         self.masks = [_masks(w) for w in self.words]
 
-    def told(self, item: int, region: list[int]) -> float:
-        """Share of the answer's words that are in a region."""
-        answer = self.answers[item]
-        return len(answer.intersection(region)) / len(answer) if answer else 0.0
+    def plain(self) -> SimpleNamespace:
+        """What tasks need, without a class of this package: it need not be installed there."""
+        return SimpleNamespace(**vars(self))
 
     def vectors(self, idf: np.ndarray) -> np.ndarray:
         out = np.zeros((len(self.passages), len(idf)), np.float32)
@@ -77,6 +79,11 @@ class Items:
         return out
 
 
+def _told(answer: set[int], region: list[int]) -> float:
+    """Share of the answer's words that are in a region."""
+    return len(answer.intersection(region)) / len(answer) if answer else 0.0
+
+
 def _masks(terms: np.ndarray) -> dict[int, int]:
     masks: dict[int, int] = {}
     for i, t in enumerate(terms.tolist()):
@@ -196,15 +203,45 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndar
     return (u / np.maximum(s, 1e-9)).astype(np.float32)
 
 
-def _matches(texts: list[np.ndarray], items: Items, idf: np.ndarray, space: np.ndarray, latent: np.ndarray, counts: np.ndarray):
+def _grains(texts: list[np.ndarray], weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the latent vectors of every GRAIN words, a row of zeros behind them, and each text's first."""
+    first = np.cumsum([0, *[max(1, -(-len(t) // GRAIN)) for t in texts]])
+    terms = np.concatenate(texts)
+    lengths = np.array([len(t) for t in texts])
+    text = np.repeat(np.arange(len(texts)), lengths)
+    place = np.arange(len(terms)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    hit = np.flatnonzero(terms >= 0)
+    return _sum_runs(first[text[hit]] + place[hit] // GRAIN, weighted[terms[hit]], int(first[-1]) + 1), first
+
+
+def _runs_of(short: list[int], items, texts: list[np.ndarray], idf: np.ndarray):
+    """(text, item, first word) where the words of a short item lie in a row: looked for at its rarest word."""
+    anchors: dict[int, list[tuple[int, int]]] = {}
+    for item in short:
+        own = items.words[item]
+        at = int(np.argmax(idf[own]))
+        anchors.setdefault(int(own[at]), []).append((item, at))
+    is_anchor = np.zeros(len(idf) + 1, bool)  # -1, no term, is the last
+    is_anchor[list(anchors)] = True
+    for t, text in enumerate(texts):
+        for place in np.flatnonzero(is_anchor[text]).tolist():
+            for item, at in anchors[int(text[place])]:
+                own, lo = items.words[item], place - at
+                if lo >= 0 and np.array_equal(text[lo : lo + len(own)], own):
+                    yield t, item, lo
+
+
+def _matches(texts: list[np.ndarray], items, idf: np.ndarray, space: np.ndarray, latent: np.ndarray, counts: np.ndarray):
     """(text, item, similarity, cosine, first word) of what passes all checks."""
     best: dict[tuple[int, int], tuple[float, float, int]] = {}
     sizes = np.array([len(p) for p in items.passages])
+    grains, at_grain = _grains(texts, space * idf[:, None]) if len(items.passages) else (None, None)
     for window, step, least_shared in VIEWS if len(items.passages) else ():
         passage, term, n, of, first = _passages(texts, len(idf), step, window)
-        value = _weighted(passage, term, n, idf)[:, None]
-        reduced = _sum_runs(passage, value * space[term], len(of))
-        reduced /= np.maximum(np.linalg.norm(reduced, axis=1), 1e-9)[:, None]
+        grain, past = at_grain[of] + first // GRAIN, at_grain[of + 1]
+        # a window's vector is the sum of its grains; those past the text's end are the row of zeros
+        reduced = sum(grains[np.where(grain + g < past, grain + g, len(grains) - 1)] for g in range(window // GRAIN))
+        reduced = reduced / np.maximum(np.linalg.norm(reduced, axis=1), 1e-9)[:, None]
         begins = np.searchsorted(passage, np.arange(len(of) + 1))
         for a in range(0, len(of), 4096):
             cosine = reduced[a : a + 4096] @ latent.T
@@ -223,24 +260,17 @@ def _matches(texts: list[np.ndarray], items: Items, idf: np.ndarray, space: np.n
                     lo = max(0, start - len(own))
                     region = texts[t][lo : start + window + len(own)].tolist()
                     similar = common_subsequence(items.masks[item], len(own), region) / len(own)
-                    if similar >= VERBATIM or similar >= PARAPHRASE and items.told(item, region) >= ANSWER:
+                    if similar >= VERBATIM or similar >= PARAPHRASE and _told(items.answers[item], region) >= ANSWER:
                         best[t, item] = max(best.get((t, item), (0.0, 0.0, 0)), (similar, close, lo))
-    for item in items.short:
-        own = items.words[item]
-        for t, text in enumerate(texts):
-            if len(text) >= len(own):
-                run = np.ones(len(text) - len(own) + 1, bool)
-                for j, w in enumerate(own):
-                    run &= text[j : len(text) - len(own) + 1 + j] == w
-                if run.any():
-                    best[t, item] = (1.0, 1.0, int(run.argmax()))
+    for t, item, lo in _runs_of(items.short, items, texts, idf) if items.short else ():
+        best.setdefault((t, item), (1.0, 1.0, lo))
     return [(t, i, *b) for (t, i), b in best.items()]
 
 
 def _search(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(items)
+    shared = spark.sparkContext.broadcast(items.plain())
     table = materialise(numbered(docs, shared, id_col, text_col), "terms")
     texts = table.where("terms is not null").select("terms", "id")
     counted = table.where("seen is not null")
@@ -290,7 +320,8 @@ def find_contamination(
     items = benchmark.where(F.col(item_col).isNotNull()).select(
         F.col(item_col).cast("bigint").alias("item"), F.col(item_text).alias("text"), answer.alias("answer")
     )
-    n_blocks = max(1, -(-items.count() // ITEMS_PER_BLOCK))
+    held = items.agg(F.count("*").alias("n"), F.sum(F.size(F.split("text", " "))).alias("words")).first()
+    n_blocks = max(1, -(-held["n"] // ITEMS_PER_BLOCK), -(-(held["words"] or 0) // WORDS_PER_BLOCK))
     found = None
     for b in range(n_blocks):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b).collect()
