@@ -1,7 +1,7 @@
 """Benchmark passages in documents, by latent semantic retrieval and two exact checks.
 
 Words of the benchmark are the terms. Documents are read as passages of `WINDOW` words; a passage is the
-TF-IDF vector of its terms, with document frequencies over the passages of all documents. One
+TF-IDF vector of its terms (counts by inverse frequency), with frequencies over the passages of all documents. One
 distributed pass over them gives a randomised SVD: every task sums A^T (A R) for a fixed random R over
 its passages, the sums are added by term, and the few columns are factored. In that latent space,
 scaled by the singular values, passages of documents (of two lengths, overlapping by half) and of the
@@ -121,11 +121,24 @@ def _passages(texts: list[np.ndarray], n_terms: int, step: int, window: int = WI
     return key // n_terms, key % n_terms, n, of, (np.arange(first[-1]) - first[of]) * step
 
 
-def _weighted(passage: np.ndarray, term: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF values, each passage of length 1."""
-    value = ((1 + np.log(n)) * idf[term]).astype(np.float32)
-    norm = np.sqrt(np.bincount(passage, value * value))
-    return value / np.maximum(norm, 1e-9)[passage].astype(np.float32)
+def _grains(texts: list[np.ndarray], weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the vectors of every GRAIN words, a row of zeros behind them, and each text's first."""
+    first = np.cumsum([0, *[max(1, -(-len(t) // GRAIN)) for t in texts]])
+    lengths = np.array([len(t) for t in texts])
+    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    words_of = np.full((int(first[-1]) + 1) * GRAIN, -1, np.int32)
+    words_of[np.repeat(first[:-1] * GRAIN, lengths) + place] = np.concatenate(texts)
+    words_of = words_of.reshape(-1, GRAIN)
+    weighted = np.vstack([weighted, np.zeros((1, weighted.shape[1]), weighted.dtype)])  # row -1: no term
+    out = weighted[words_of[:, 0]]
+    for i in range(1, GRAIN):
+        out += weighted[words_of[:, i]]
+    return out, first
+
+
+def _windows(grains: np.ndarray, grain: np.ndarray, past: np.ndarray, n: int) -> np.ndarray:
+    """Sums of n grains from each of `grain` on; those from `past` on are behind the text's end."""
+    return sum(grains[np.where(grain + g < past, grain + g, len(grains) - 1)] for g in range(n))
 
 
 def _sum_runs(keys: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -180,9 +193,14 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndar
         idf, start = shared.value
         total = np.zeros((n_terms, rank))
         for batch in in_slices(batches):
-            passage, term, n, of, _ = _passages(_terms(batch, 0), n_terms, WINDOW)
-            value = _weighted(passage, term, n, idf)[:, None]
-            reduced = _sum_runs(passage, value * start[term], len(of))
+            texts = _terms(batch, 0)
+            passage, term, n, of, first = _passages(texts, n_terms, WINDOW)
+            value = (n * idf[term]).astype(np.float32)
+            square = np.maximum(np.bincount(passage, value * value, minlength=len(of)), 1e-9).astype(np.float32)
+            grains, at_grain = _grains(texts, start * idf[:, None])
+            # rows of A are of length 1: one division for A and one for its transpose
+            reduced = _windows(grains, at_grain[of] + first // GRAIN, at_grain[of + 1], WINDOW // GRAIN) / square[:, None]
+            value = value[:, None]
             order = np.argsort(term, kind="stable")
             total += _sum_runs(term[order], value[order] * reduced[passage[order]], n_terms)
         rows = np.flatnonzero(total.any(1))
@@ -203,17 +221,6 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndar
     return (u / np.maximum(s, 1e-9)).astype(np.float32)
 
 
-def _grains(texts: list[np.ndarray], weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of the latent vectors of every GRAIN words, a row of zeros behind them, and each text's first."""
-    first = np.cumsum([0, *[max(1, -(-len(t) // GRAIN)) for t in texts]])
-    terms = np.concatenate(texts)
-    lengths = np.array([len(t) for t in texts])
-    text = np.repeat(np.arange(len(texts)), lengths)
-    place = np.arange(len(terms)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    hit = np.flatnonzero(terms >= 0)
-    return _sum_runs(first[text[hit]] + place[hit] // GRAIN, weighted[terms[hit]], int(first[-1]) + 1), first
-
-
 def _runs_of(short: list[int], items, texts: list[np.ndarray], idf: np.ndarray):
     """(text, item, first word) where the words of a short item lie in a row: looked for at its rarest word."""
     anchors: dict[int, list[tuple[int, int]]] = {}
@@ -235,12 +242,12 @@ def _matches(texts: list[np.ndarray], items, idf: np.ndarray, space: np.ndarray,
     """(text, item, similarity, cosine, first word) of what passes all checks."""
     best: dict[tuple[int, int], tuple[float, float, int]] = {}
     sizes = np.array([len(p) for p in items.passages])
+    there = np.zeros(len(idf) + 1, bool)  # -1, no term, is the last
     grains, at_grain = _grains(texts, space * idf[:, None]) if len(items.passages) else (None, None)
     for window, step, least_shared in VIEWS if len(items.passages) else ():
         passage, term, n, of, first = _passages(texts, len(idf), step, window)
         grain, past = at_grain[of] + first // GRAIN, at_grain[of + 1]
-        # a window's vector is the sum of its grains; those past the text's end are the row of zeros
-        reduced = sum(grains[np.where(grain + g < past, grain + g, len(grains) - 1)] for g in range(window // GRAIN))
+        reduced = _windows(grains, grain, past, window // GRAIN)
         reduced = reduced / np.maximum(np.linalg.norm(reduced, axis=1), 1e-9)[:, None]
         begins = np.searchsorted(passage, np.arange(len(of) + 1))
         for a in range(0, len(of), 4096):
@@ -258,7 +265,13 @@ def _matches(texts: list[np.ndarray], items, idf: np.ndarray, space: np.ndarray,
                     if best.get((t, item), (0,))[0] == 1.0:
                         continue
                     lo = max(0, start - len(own))
-                    region = texts[t][lo : start + window + len(own)].tolist()
+                    region = texts[t][lo : start + window + len(own)]
+                    there[region] = True
+                    hope = np.count_nonzero(there[own])  # no subsequence is longer
+                    there[region] = False
+                    if hope < PARAPHRASE * len(own):
+                        continue
+                    region = region.tolist()
                     similar = common_subsequence(items.masks[item], len(own), region) / len(own)
                     if similar >= VERBATIM or similar >= PARAPHRASE and _told(items.answers[item], region) >= ANSWER:
                         best[t, item] = max(best.get((t, item), (0.0, 0.0, 0)), (similar, close, lo))
