@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from partwise.llm.tables import id_and_text, in_slices, materialise
 
 WINDOW, STEP = 32, 16
-RANK = 128
+RANK = 96
 LEAST_COSINE = 0.3
 # Windows in which documents are searched: words, step, and the share of a benchmark passage's words that has
 # to be in one before the subsequence is sought. The short ones are for short items and thin paraphrases.
@@ -252,13 +252,13 @@ def _matches(texts: list[np.ndarray], items, idf: np.ndarray, space: np.ndarray,
         begins = np.searchsorted(passage, np.arange(len(of) + 1))
         for a in range(0, len(of), 4096):
             cosine = reduced[a : a + 4096] @ latent.T
-            all_at, all_k = np.nonzero(cosine >= LEAST_COSINE)
-            for b in range(0, len(all_at), PAIRS):
-                at, k = all_at[b : b + PAIRS], all_k[b : b + PAIRS]
+            near = np.flatnonzero(cosine.ravel() >= LEAST_COSINE)
+            for b in range(0, len(near), PAIRS):
+                at, k = np.divmod(near[b : b + PAIRS], len(latent))
                 lengths = (begins[a + at + 1] - begins[a + at]).astype(np.int64)
                 pair = np.repeat(np.arange(len(at)), lengths)
                 entry = np.repeat(begins[a + at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-                shared = np.bincount(pair, np.minimum(n[entry], counts[k[pair], term[entry]]), minlength=len(at))
+                shared = np.bincount(pair, np.minimum(n[entry], counts.ravel().take((k * len(idf))[pair] + term[entry])), minlength=len(at))
                 for i in np.flatnonzero(shared >= least_shared * sizes[k]).tolist():
                     t, item = int(of[a + at[i]]), int(items.item[k[i]])
                     own, start, close = items.words[item], int(first[a + at[i]]), float(cosine[at[i], k[i]])
