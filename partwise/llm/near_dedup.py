@@ -164,6 +164,8 @@ def _by_rare_shingles(apart: DataFrame, sets: DataFrame, percent: int) -> DataFr
 
     With shingles in one order, rare ones first, sets with at least c in common share one among the
     first n - c + 1 of each. c follows from the sizes: no partner is smaller than the bucket's least.
+    Where two sets share the first of their common shingles, they have no more in common than what
+    comes from there on in each. So those far off that merely share a passage of the group are no pairs.
     """
     one = apart.groupBy("set").agg(
         F.first("n").alias("n"), F.first("own").alias("own"), F.first("root").alias("root"),
@@ -177,12 +179,14 @@ def _by_rare_shingles(apart: DataFrame, sets: DataFrame, percent: int) -> DataFr
     order = Window.partitionBy("set").orderBy(F.coalesce("m", F.lit(1)), "item")
     early = (
         items.join(held, "item", "left").withColumn("place", F.row_number().over(order))
-        .where("place <= first and m > 1").drop("m", "place", "first", "least")
+        .where("place <= first and m > 1").withColumn("rest", F.col("n") - F.col("place") + 1).drop("m", "place", "first", "least")
     )
     early = materialise(early, "early")
-    minor = early.where("minor").select("item", *[F.col(c).alias(f"{c}_") for c in ("set", "n", "own", "root")])
+    minor = early.where("minor").select("item", *[F.col(c).alias(f"{c}_") for c in ("set", "n", "own", "root", "rest")])
+    common = F.least("rest", "rest_")
     return (
         minor.join(early, "item").where("root != root_").where(_fits("n", "own", "n_", "own_", percent))
+        .where(100 * common >= percent * (F.col("n") + F.col("n_") - common))
         .where("set_ < set or not minor")
         .select(F.least("set", "set_").alias("a"), F.greatest("set", "set_").alias("b")).distinct()
     )
