@@ -127,11 +127,13 @@ def fit(
 
 def with_language(docs: DataFrame, model: Model | None, text_col: str = "text", least_margin: float = 0.05) -> DataFrame:
     """docs with lang_pred, score and ambiguous, as identify() gives them; columns of these names are replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values, which tasks can read where this package is not installed
+    parts = None if model is None else (model.languages, model.code, model.weights, model.trust)
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        model, n = shared.value, len(texts)
+        model, n = Model(*shared.value) if shared.value else None, len(texts)
         lang, score, close = ["und"] * n, [0.0] * n, [False] * n
         for at in range(0, n, 256):
             rows = [i for i in range(at, min(n, at + 256)) if model and LETTER.search(texts.iat[i] or "")]

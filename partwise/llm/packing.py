@@ -200,17 +200,19 @@ def pack_documents(
     pieces = materialise(made.withColumn("piece", F.monotonically_increasing_id()), "pieces")
     # at most `size` rows come to the driver
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    places = spark.sparkContext.broadcast(Places(*plan(histogram, size)))
+    # plain values, which tasks can read where this package is not installed
+    planned = spark.sparkContext.broadcast(plan(histogram, size))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def place(batches):
+        places = Places(*planned.value)
         for batch in in_slices(batches, 1024):
             ids = batch.column(batch.schema.get_field_index("ids")).to_pylist()
             start = batch.column(batch.schema.get_field_index("start")).to_pylist()
             rank = batch.column(batch.schema.get_field_index("rank")).to_numpy()
             length = batch.column(batch.schema.get_field_index("length")).to_numpy().astype(np.int64)
             keep, begins, cut, sequence, offset = [], [], [], [], []
-            for row, parts in enumerate(places.value.find(length, rank)):
+            for row, parts in enumerate(places.find(length, rank)):
                 for at, n, in_sequence, in_offset in parts:
                     keep.append(row)
                     begins.append(start[row] + at)

@@ -97,12 +97,13 @@ def permuted_number(x: Column, a: int, b: int, key: str, tweak: str) -> Column:
 def permuted_text(x: Column, key: str, tweak: str) -> Column:
     """Digits become digits, small letters small ones, capitals capitals; all else stays in its place.
 
-    The two halves take turns: each character moves by a keyed number made of the whole other half.
+    The two halves take turns: each character moves by a keyed number made of a digest of the whole other
+    half, which is taken once a turn, so the work is linear in the length.
     """
 
     def moved(half: Column, other: Column, mark: Column) -> Column:
-        def one(c: Column, i: Column) -> Column:
-            by = _prf(key, F.concat_ws("|", mark, i.cast("string")), other)
+        def one(c: Column, i: Column, stream: Column) -> Column:
+            by = _prf(key, i.cast("string"), stream)
             digit, small, capital = c.rlike("^[0-9]$"), c.rlike("^[a-z]$"), c.rlike("^[A-Z]$")
             return (
                 F.when(digit, ((c.cast("int") + by) % 10).cast("string"))
@@ -111,7 +112,12 @@ def permuted_text(x: Column, key: str, tweak: str) -> Column:
                 .otherwise(c)
             )
 
-        return F.array_join(F.transform(F.split(half, "", -1), one), "")
+        digest = F.sha2(F.concat_ws("|", F.lit(key), mark, F.lit("|"), other, F.lit(key)), 256)
+        # an array of one, so that its digest is evaluated once and not for each character
+        texts = F.transform(
+            F.array(digest), lambda stream: F.array_join(F.transform(F.split(half, "", -1), lambda c, i: one(c, i, stream)), "")
+        )
+        return F.get(texts, F.lit(0))
 
     def turn(pair: Column, i: Column) -> Column:
         left, right = pair["l"], pair["r"]
@@ -285,6 +291,18 @@ def _pseudonym(m: Column, kind: Column, key: str) -> Column:
     return out
 
 
+def unused(columns: list[str], name: str) -> str:
+    """name, with as many underscores before it as make it none of columns (case aside)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def _named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: str = "pii_counts") -> DataFrame:
     """docs with personal data in text_col replaced, and `counts`, a map from kind to how many were.
 
@@ -292,9 +310,10 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: str
     columns are kept, except one named like `counts`, which is replaced. No row is added or dropped.
     """
     text = F.col(text_col)
+    found_col, new_col = unused(docs.columns, "_found"), unused(docs.columns, "_new")
     # whole texts without a digit or @ are passed on without the search
     likely = text.rlike("[0-9@]")
-    pattern = F.col("_found")["pattern"]
+    pattern = F.col(found_col)["pattern"]
     found = F.when(likely, F.regexp_extract_all(text, pattern, F.lit(0)))
     changed = F.transform(
         found,
@@ -303,13 +322,13 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: str
         ),
     )
     replaced = F.transform(
-        F.col("_found")["all"], lambda c: F.struct(c["kind"].alias("kind"), _pseudonym(c["was"], c["kind"], key).alias("now"))
+        F.col(found_col)["all"], lambda c: F.struct(c["kind"].alias("kind"), _pseudonym(c["was"], c["kind"], key).alias("now"))
     )
     between = F.split(text, pattern, -1)
     joined = F.array_join(
-        F.transform(between, lambda part, i: F.concat(part, F.coalesce(F.get(F.col("_new"), i)["now"], F.lit("")))), ""
+        F.transform(between, lambda part, i: F.concat(part, F.coalesce(F.get(F.col(new_col), i)["now"], F.lit("")))), ""
     )
-    kinds = F.filter(F.transform(F.col("_new"), lambda c: c["kind"]), lambda k: k.isNotNull())
+    kinds = F.filter(F.transform(F.col(new_col), lambda c: c["kind"]), lambda k: k.isNotNull())
     n_by_kind = F.map_from_entries(
         F.transform(
             F.array_sort(F.array_distinct(kinds)),
@@ -317,15 +336,15 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: str
         )
     )
     none = F.create_map().cast("map<string,bigint>")
-    rest = [c for c in docs.columns if c not in (text_col, counts, "_found", "_new")]
+    rest = [_named(c) for c in docs.columns if c not in (text_col, counts)]
     return (
-        docs.withColumn("_found", F.struct(F.when(likely, _candidate(text)).alias("pattern")))
-        .withColumn("_found", F.struct(pattern.alias("pattern"), changed.alias("all")))
-        .withColumn("_new", replaced)
+        docs.withColumn(found_col, F.struct(F.when(likely, _candidate(text)).alias("pattern")))
+        .withColumn(found_col, F.struct(pattern.alias("pattern"), changed.alias("all")))
+        .withColumn(new_col, replaced)
         .select(
             *rest,
-            F.when(F.size("_new") > 0, joined).otherwise(text).alias(text_col),
-            F.when(F.size("_new") > 0, n_by_kind).otherwise(none).alias(counts),
+            F.when(F.size(new_col) > 0, joined).otherwise(text).alias(text_col),
+            F.when(F.size(new_col) > 0, n_by_kind).otherwise(none).alias(counts),
         )
-        .select(*[c for c in docs.columns if c not in (counts, "_found", "_new")], counts)
+        .select(*[_named(c) for c in docs.columns if c != counts], counts)
     )

@@ -47,3 +47,15 @@ def test_odd_rows(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         empty, docs = materialise(stage(spark, empty, sf_dir), "empty"), materialise(stage(spark, docs, sf_dir), "odd")
         assert empty.count() == 0 and docs.count() > 0
+
+
+def test_clashing_columns(spark, sf_dir):
+    """Columns named as what stages add inside keep their values through all stages but the last."""
+    odd = ["score", "_hash", "_hash_", "_id", "_counts", "_found", "_new", "_said", "row", "hash", "lang_pred", "kept", "pii_counts", "a.b", "ambiguous"]
+    docs = read(spark, sf_dir, "documents").selectExpr("*", *[f"concat('{c}', doc_id) as `{c}`" for c in odd])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), "clash")
+        assert docs.columns == before.columns
+    rows = docs.collect()
+    assert rows and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in odd)
+    assert corpus_pipeline.packed(spark, docs, sf_dir).count() > 0
