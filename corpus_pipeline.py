@@ -7,7 +7,7 @@ the first stage drops them; ids may be null or repeated.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partwise.llm.decontaminate import find_contamination
@@ -19,41 +19,54 @@ from partwise.llm.queries import PII_KEY, vocabulary
 from partwise.llm.tables import materialise, read
 
 
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """(row: all columns of docs, doc_id, text): whatever else docs holds, no name clashes with what a stage adds."""
+    return docs.select(F.struct(*[_column(c).alias(c) for c in docs.columns]).alias("row"), "doc_id", "text")
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _unwrapped(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    return rows.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labels of docs teach; those without letters go, and those whose
     two nearest codewords are as good as equally near. Without any label nothing can be told, and all stay."""
-    model = fit(docs)
+    model = fit(docs.select("text", "lang"))
     if model is None:
         return docs
-    said = with_language(docs, model, least_margin=0.01)
-    return said.where("lang_pred != 'und' and not ambiguous").select(*docs.columns)
+    said = with_language(_wrapped(docs), model, least_margin=0.01)
+    return _unwrapped(said.where("lang_pred != 'und' and not ambiguous"), docs)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the least id; of rows with equal id and text one."""
-    judged = near_duplicates(docs)
-    gone = judged.where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    hashed = docs.withColumn("_hash_", F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")))
-    left = hashed.join(gone, (F.col("doc_id") == F.col("_id")) & (F.col("_hash_") == F.col("_hash")), "left_anti")
-    return left.dropDuplicates(["doc_id", "_hash_"]).select(*docs.columns)
+    judged = near_duplicates(docs.select("doc_id", "text"))
+    gone = judged.where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    hashed = _wrapped(docs).withColumn("hash", F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")))
+    left = hashed.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("hash") == F.col("gone_hash")), "left_anti")
+    return _unwrapped(left.dropDuplicates(["doc_id", "hash"]), docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark. Equal texts are judged alike, whatever their ids."""
-    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    found = find_contamination(hashed.select("_hash", "text"), read(spark, sf_dir, "benchmark"), id_col="_hash")
-    return hashed.join(found.select("_hash").distinct(), "_hash", "left_anti").select(*docs.columns)
+    hashed = _wrapped(docs).withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = find_contamination(hashed.select("hash", "text"), read(spark, sf_dir, "benchmark"), id_col="hash")
+    return _unwrapped(hashed.join(found.select("hash").distinct(), "hash", "left_anti"), docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by pseudonyms."""
-    changed = pseudonymise(docs, PII_KEY, counts="_counts").drop("_counts")
-    return changed.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    """Personal data replaced by pseudonyms, and n_chars by the new text's."""
+    changed = pseudonymise(_wrapped(docs), PII_KEY)
+    return _unwrapped(changed, docs, text=F.col("text"), n_chars=F.length("text").cast("bigint"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids in full sequences."""
-    return pack_documents(docs, vocabulary())
+    return pack_documents(docs.select("doc_id", "text"), vocabulary())
 
 
 STAGES = [
