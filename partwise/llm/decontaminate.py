@@ -31,7 +31,8 @@ LEAST_COSINE = 0.3
 # to be in one before the subsequence is sought. The short ones are for short items and thin paraphrases.
 VIEWS = ((WINDOW, STEP, 0.3), (16, 8, 0.25))
 GRAIN = 8  # words whose latent vectors are added once; windows and steps are multiples of it
-PAIRS = 1 << 16  # of windows and benchmark passages compared word by word at once
+TEXTS_AT_ONCE = 64  # whose latent vectors a task holds
+PAIRS = 1 << 15  # of windows and benchmark passages compared word by word at once
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
 SHORT = 12  # items of fewer words are found as a run of just these words
 # Bounds of what is broadcast for one pass over the documents.
@@ -192,7 +193,7 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndar
     def project(batches):
         idf, start = shared.value
         total = np.zeros((n_terms, rank))
-        for batch in in_slices(batches):
+        for batch in in_slices(batches, TEXTS_AT_ONCE):
             texts = _terms(batch, 0)
             passage, term, n, of, first = _passages(texts, n_terms, WINDOW)
             value = (n * idf[term]).astype(np.float32)
@@ -303,7 +304,7 @@ def _search(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFr
     model = spark.sparkContext.broadcast((idf, space, latent, counts))
 
     def search(batches):
-        for batch in in_slices(batches):
+        for batch in in_slices(batches, TEXTS_AT_ONCE):
             found = _matches(_terms(batch, 0), shared.value, *model.value)
             rows = pa.array([f[0] for f in found], pa.int64())
             yield pa.RecordBatch.from_arrays(
