@@ -20,8 +20,9 @@ from partwise.llm.tables import materialise, read
 
 
 def _wrapped(docs: DataFrame) -> DataFrame:
-    """(row: all columns of docs, doc_id, text): whatever else docs holds, no name clashes with what a stage adds."""
-    return docs.select(F.struct(*[_column(c).alias(c) for c in docs.columns]).alias("row"), "doc_id", "text")
+    """(row: all other columns of docs, doc_id, text): whatever docs holds, no name clashes with what a stage adds."""
+    others = [_column(c).alias(c) for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select(F.struct(*others).alias("row"), "doc_id", "text")
 
 
 def _column(name: str) -> Column:
@@ -29,7 +30,8 @@ def _column(name: str) -> Column:
 
 
 def _unwrapped(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
-    return rows.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), **changed}
+    return rows.select(*[own[c].alias(c) if c in own else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +63,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms, and n_chars by the new text's."""
     changed = pseudonymise(_wrapped(docs), PII_KEY)
-    return _unwrapped(changed, docs, text=F.col("text"), n_chars=F.length("text").cast("bigint"))
+    return _unwrapped(changed, docs, n_chars=F.length("text").cast("bigint"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
