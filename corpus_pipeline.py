@@ -2,7 +2,8 @@
 
 Each stage is (name, function of (spark, docs, sf_dir)); its rows are written as Parquet and read again
 as the next one's docs. All but the last keep the columns of documents. Null texts have no language, so
-the first stage drops them; ids may be null or repeated.
+the first stage drops them; ids may be null or repeated. Stages set the session's rows for each Arrow batch to
+BATCH_ROWS, where it is more.
 """
 
 from __future__ import annotations
@@ -19,6 +20,17 @@ from partwise.llm.queries import PII_KEY, vocabulary
 from partwise.llm.tables import materialise, read
 
 
+# Rows of a batch that goes to a Python worker: texts are long, and a batch is held on both sides.
+BATCH_ROWS = 1000
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    """For the session, as a stage runs when its rows are written."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def _wrapped(docs: DataFrame) -> DataFrame:
     """(row: all other columns of docs, doc_id, text): whatever docs holds, no name clashes with what a stage adds."""
     others = [_column(c).alias(c) for c in docs.columns if c not in ("doc_id", "text")]
@@ -37,6 +49,7 @@ def _unwrapped(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labels of docs teach; those without letters go, and those whose
     two nearest codewords are as good as equally near. Without any label nothing can be told, and all stay."""
+    _in_small_batches(spark)
     model = fit(docs.select("text", "lang"))
     if model is None:
         return docs
@@ -46,6 +59,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the least id; of rows with equal id and text one."""
+    _in_small_batches(spark)
     judged = near_duplicates(docs.select("doc_id", "text"))
     gone = judged.where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
     hashed = _wrapped(docs).withColumn("hash", F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")))
@@ -55,6 +69,7 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark. Equal texts are judged alike, whatever their ids."""
+    _in_small_batches(spark)
     hashed = _wrapped(docs).withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     found = find_contamination(hashed.select("hash", "text"), read(spark, sf_dir, "benchmark"), id_col="hash")
     return _unwrapped(hashed.join(found.select("hash").distinct(), "hash", "left_anti"), docs)
@@ -68,6 +83,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids in full sequences."""
+    _in_small_batches(spark)
     return pack_documents(docs.select("doc_id", "text"), vocabulary())
 
 
