@@ -12,7 +12,7 @@ from partwise.plans.verify import verify_files
 from partwise.sources import objects
 from partwise.sources import progress as journal
 from partwise.sources.objects import digest_ranges, fetch_parts, scan_objects, scan_parts
-from partwise.sources.sinks import publish_objects, write_parts
+from partwise.sources.sinks import publish_objects, read_parts, write_parts
 from partwise.sources.uploads import read_upload_state
 
 P = 1000
@@ -115,12 +115,14 @@ def test_publish_refuses(spark, tmp_path):
 
 
 def test_write_parts_appends(spark, tmp_path):
+    """New slots are appended; those that are there are not doubled, as they once were."""
     out = str(tmp_path / "t")
-    rows = spark.range(10).select(F.col("id").alias("object_id"), F.lit(0).alias("part_num"))
+    rows = spark.range(20).select(F.col("id").alias("object_id"), F.lit(0).alias("part_num"), F.encode(F.col("id").cast("string"), "UTF-8").alias("bytes"))
+    write_parts(rows.filter("object_id < 10"), out)
     write_parts(rows, out)
-    write_parts(rows, out)
-    table = spark.read.parquet(out)
+    table = read_parts(spark, out)
     assert table.count() == 20 and table.filter("bucket_id < 0 or bucket_id > 63").count() == 0
+    assert table.filter("decode(bytes, 'UTF-8') <> object_id").count() == 0
 
 
 def test_upload_state_xml(spark, tmp_path):
