@@ -4,6 +4,9 @@ A page is read once into a tree of block elements. Every run of text gives point
 its commas to the elements above it, less the higher they are; an element's points count by the share
 of its text outside links. The best element is kept with those siblings that look like it, or the
 whole article element around it.
+
+Elements that are no article by their tag are dropped while reading. Words in a class or id, and forms,
+only make an element suspect: it is dropped unless it holds most of the text that is there to hold.
 """
 
 from __future__ import annotations
@@ -30,9 +33,9 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # Elements of HTML by what they mean here.
 RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "noembed", "noframes", "xmp"}
-DROPPED = RAW | {"head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "label", "fieldset", "canvas", "audio", "video"}
+DROPPED = RAW | {"head", "nav", "header", "footer", "aside", "menu", "dialog", "button", "select", "option", "label", "fieldset", "canvas", "audio", "video"}
 BLOCKS = DROPPED | set(
-    "html body main article section div p ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote pre "
+    "html body main article section form div p ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote pre "
     "h1 h2 h3 h4 h5 h6 figure figcaption address details summary center hgroup hr".split()
 )
 HEADINGS = {"h1", "h2", "h3"}
@@ -53,26 +56,37 @@ NOISE = set(
     "skip copyright".split()
 )
 NEVER_NOISE = {"html", "body", "article", "main"}
+REPLIES = {"comment", "comments", "disqus", "respond", "reply", "replies"}
+LANDMARKS = ("article", "main")
+# A suspect element has to hold more than this share of the text around it to be kept: comments are often
+# longer than what they comment on.
+NEEDED, NEEDED_OF_REPLIES = 0.5, 0.9
+# A form with less text than this is a form, not a page in a form.
+LEAST_OF_FORM = 250
 
 
 class Node:
-    __slots__ = ("tag", "parent", "dropped", "points", "chars", "linked", "children")
+    __slots__ = ("tag", "parent", "dropped", "needs", "points", "chars", "linked", "children")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool) -> None:
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, needs: float = 0.0) -> None:
         self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.needs = needs  # share of text that a suspect element needs; 0 for others
         self.points, self.chars, self.linked, self.children = 0.0, 0, 0, []
         if parent is not None:
             parent.children.append(self)
 
+    @property
+    def plain(self) -> int:
+        return self.chars - self.linked
 
-def _noisy(tag: str, attrs: str) -> bool:
-    if not attrs or tag in NEVER_NOISE:
-        return False
-    return any(
-        word.lower() in NOISE
-        for m in CLASSES.finditer(attrs)
-        for word in WORD.findall(m[2] or m[3] or m[4] or "")
-    )
+
+def _needs(tag: str, attrs: str) -> float:
+    words = set()
+    if attrs and tag not in NEVER_NOISE:
+        words = {w.lower() for m in CLASSES.finditer(attrs) for w in WORD.findall(m[2] or m[3] or m[4] or "")} & NOISE
+    if words & REPLIES:
+        return NEEDED_OF_REPLIES
+    return NEEDED if words or tag == "form" else 0.0
 
 
 def read_page(source: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
@@ -152,7 +166,7 @@ def read_page(source: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             leave(head)
         if name in VOID or name in ("html",):
             continue
-        made = Node(name, node, node.dropped or name in DROPPED or _noisy(name, attrs))
+        made = Node(name, node, node.dropped or name in DROPPED, _needs(name, attrs))
         nodes.append(made)
         if name in RAW and not attrs.rstrip().endswith("/"):
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*(?:>|\\Z)|\\Z", re.I).search(source, at)
@@ -164,17 +178,11 @@ def read_page(source: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     return nodes, runs
 
 
-def _score(nodes: list[Node], runs: list[tuple[Node, str, int]]) -> None:
-    """Passes points to the elements above each run, and lengths all the way up."""
+def _measure(nodes: list[Node], runs: list[tuple[Node, str, int]]) -> None:
+    """Sets the characters of each element, and those in links."""
+    for node in nodes:
+        node.chars = node.linked = 0
     for node, text, linked in runs:
-        points = (1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)) * (1 - linked / len(text))
-        if node.tag in ("h1", "h2", "h3", "h4", "h5", "h6", "li", "figcaption"):
-            points /= 4
-        own = node.tag in ("div", "section", "article", "main", "body", "html", "td")
-        up, level = node if own else node.parent or node, 1
-        while up is not None and level < 10_000:  # what is left of the points by then is next to nothing
-            up.points += points / level
-            up, level = up.parent, level * 2 if level < 2 else level * 3
         node.chars += len(text)
         node.linked += linked
     for node in reversed(nodes):
@@ -183,6 +191,64 @@ def _score(nodes: list[Node], runs: list[tuple[Node, str, int]]) -> None:
             node.parent.linked += node.linked
 
 
+def _drop_suspects(nodes: list[Node]) -> None:
+    """Drops suspect elements, but for those that hold most of the text of the landmark or page around them.
+
+    One beside a landmark goes, unless it has a landmark too and far more text. One that holds a main
+    element stays. A landmark counts if no suspect with less than half of the page's text is around it.
+    """
+    page = nodes[0].plain
+    clean: dict[int, bool] = {}  # no small suspect and nothing dropped at or above
+    around: dict[int, Node | None] = {}  # nearest landmark above
+    inside = {id(n): [0, 0, False] for n in nodes}  # clean landmarks, their text, any main element
+    for n in nodes:
+        up = n.parent
+        small = n.needs > 0 and 2 * n.plain <= page
+        clean[id(n)] = not n.dropped and not small and (up is None or clean[id(up)])
+        around[id(n)] = None if up is None else up if up.tag in LANDMARKS else around[id(up)]
+    for n in reversed(nodes):
+        own = inside[id(n)]
+        if n.tag in LANDMARKS and clean[id(n)]:
+            own[0], own[1] = 1, n.plain
+        own[2] = own[2] or n.tag == "main" and not n.dropped
+        if n.parent is not None:
+            above = inside[id(n.parent)]
+            above[0] += own[0]
+            above[1] += own[1]
+            above[2] = above[2] or own[2]
+    all_marks, all_text, _ = inside[id(nodes[0])]
+
+    def wraps(n: Node) -> bool:
+        if 2 * n.linked > n.chars:
+            return False
+        marks, text, main = inside[id(n)]
+        if main:
+            return True
+        landmark = around[id(n)]
+        if landmark is None and all_marks > marks and (not marks or 5 * (all_text - text) >= n.plain):
+            return False
+        return n.plain > n.needs * (landmark or nodes[0]).plain and (n.tag != "form" or n.plain >= LEAST_OF_FORM)
+
+    for n in nodes:
+        n.dropped = n.dropped or n.parent is not None and n.parent.dropped or n.needs > 0 and not wraps(n)
+
+
+def _score(nodes: list[Node], runs: list[tuple[Node, str, int]]) -> None:
+    """Passes points to the elements above each run: a half to the next one, then a third each time."""
+    for node, text, linked in runs:
+        points = (1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)) * (1 - linked / len(text))
+        if node.tag in ("h1", "h2", "h3", "h4", "h5", "h6", "li", "figcaption"):
+            points /= 4
+        own = node.tag in ("div", "section", "article", "main", "body", "html", "td", "form")
+        (node if own else node.parent or node).points += points
+    below = dict.fromkeys(map(id, nodes), 0.0)
+    for node in reversed(nodes):
+        passed = node.points / 2 + below[id(node)] / 3
+        node.points += below[id(node)]
+        if node.parent is not None:
+            below[id(node.parent)] += passed
+
+
 def _density(node: Node) -> float:
     return node.linked / node.chars if node.chars else 0.0
 
@@ -192,10 +258,15 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     nodes, runs = read_page(source)
+    if any(n.needs for n in nodes):
+        _measure(nodes, runs)
+        _drop_suspects(nodes)
+        runs = [run for run in runs if not run[0].dropped]
     if not runs:
         return ""
+    _measure(nodes, runs)
     _score(nodes, runs)
-    candidates = [n for n in nodes if n.points > 0 and n.tag not in ("p", "tr", "table", "tbody", "ul", "ol", "html")]
+    candidates = [n for n in nodes if n.points > 0 and not n.dropped and n.tag not in ("p", "tr", "table", "tbody", "ul", "ol", "html")]
     best = max(candidates, key=lambda n: n.points * (1 - _density(n)), default=nodes[0])
     landmark = best
     while landmark is not None and landmark.tag not in ("article", "main"):

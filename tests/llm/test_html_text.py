@@ -30,6 +30,39 @@ def test_main_text(page):
     assert main_text(page) == WANTED
 
 
+LONG = [f"Paragraph {i} of the article, which has, as is usual, some commas and a good many words in it." for i in range(8)]
+LONG_BODY = "".join(f"<p>{p}</p>" for p in LONG)
+MENU = "<div class=menu><ul>" + "".join(f"<li><a href=/{i}>Entry {i}</a>" for i in range(9)) + "</ul></div>"
+COOKIES = "<div class='cookie-consent'><p>We, and others, use cookies, to know, you, better.</p></div>"
+THREAD = "<div class=comments>" + "".join(f"<article><p>I think, {i} times over, that this is, in all, quite right.</p></article>" for i in range(12)) + "</div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body><div id="page" class="with-sidebar">{MENU}{LONG_BODY}</div>{COOKIES}',
+        f'<body><div class="site header-fixed">{MENU}<div>{LONG_BODY}</div>{COOKIES}</div>',
+        f'<body>{MENU}<div class="search-result-detail">{LONG_BODY}</div>{COOKIES}',
+        f'<body>{MENU}<article><div class="post-related-style">{LONG_BODY}</div></article>{COOKIES}',
+        f'<body>{MENU}<article><section id="notice-of-change">{LONG_BODY}</section></article>{THREAD}',
+        f"<body><form action=/ id=aspnetForm>{MENU}<div>{LONG_BODY}</div><input type=hidden></form></body>",
+        f'<body><div class="with-sidebar"><div class="no-banner">{LONG_BODY}{COOKIES}</div><div class=sidebar><p>A, b, c, d, e</p></div></div>',
+        f"<body><div class=content>{LONG_BODY}</div>{THREAD}",
+        f"<main>{LONG_BODY}{THREAD}{THREAD.replace('right', 'wrong')}</main>",
+        f"<article>{LONG_BODY}</article><div class='gdpr notice'>{'<p>We, and others, use cookies, to know, you, better.</p>' * 40}</div>",
+        f'<div class="site header-fixed">{COOKIES}<main>{LONG_BODY}</main></div>',
+    ],
+)
+def test_words_do_not_outrank_the_text(page):
+    assert main_text(page) == "\n\n".join(LONG)
+
+
+def test_small_suspects_go():
+    assert main_text("<body><form><p>Your name, please, and your address</p><input></form>") == ""
+    assert main_text(f"<article></article>{COOKIES}") == ""
+    assert main_text("<div class=ad>" * 30_000 + "<p>x, y, z" + "</div>" * 30_000) == "x, y, z"
+
+
 def test_nothing_else_is_dropped():
     page = "<article><h1>Title</h1>" + BODY + "<ul><li>a<li>b</ul><table><tr><td>c<td>d</table><blockquote>q</blockquote><pre>x  y</pre></article>"
     assert main_text(page) == "\n\n".join(["Title", *STORY, "a", "b", "c", "d", "q", "x y"])
