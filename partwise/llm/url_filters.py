@@ -51,7 +51,7 @@ def filter_urls(
     starts with the rule's. The longest rule (host and path together) wins; of equally long ones that
     with the longer host; of equal ones `block`. Without a fitting rule, rule is null and the verdict
     the default. A null URL, or one without ://, has empty host and path, which only a rule with both
-    empty fits. Other columns of pages are ignored; without pages the result is empty.
+    empty fits. Whole URLs are looked at, however long. Other columns of pages are ignored; without pages the result is empty.
     """
     known = (
         rules.select(
@@ -74,24 +74,22 @@ def filter_urls(
         path_of(F.col(url_col)).alias("path"),
     )
     labels = F.split("host", r"\.", -1)
-    expressions = [
-        F.when(
-            (F.size(labels) >= s["labels"]) & (F.length("path") >= s["chars"]),
-            _digest(F.array_join(F.slice(labels, -s["labels"], s["labels"]), "."), F.substring("path", 1, s["chars"])),
-        )
-        for s in shapes
-    ]
-    found = F.array_compact(F.array(*expressions)) if expressions else F.array().cast("array<string>")
+    # one small constant, whatever the number of shapes: (labels, characters)
+    listed = F.array(*[F.struct(F.lit(s["labels"]).alias("n"), F.lit(s["chars"]).alias("chars")) for s in shapes])
+    fitting = F.filter(listed, lambda s: (F.size(labels) >= s["n"]) & (F.length("path") >= s["chars"]))
+    found = F.transform(
+        fitting,
+        lambda s: _digest(F.array_join(F.slice(labels, -s["n"], s["n"]), "."), F.substring(F.col("path"), F.lit(1), s["chars"])),
+    ) if shapes else F.array().cast("array<string>")
     expanded = urls.withColumn("e_digest", F.explode_outer(found))
-    met = expanded.join(
-        known,
-        (F.substring("e_digest", 1, PREFIX_DIGITS) == F.col("prefix")) & (F.col("e_digest") == F.col("digest")),
-        "left",
+    # the join key is the short prefix alone; the whole digest confirms what met
+    met = expanded.withColumn("e_prefix", F.substring("e_digest", 1, PREFIX_DIGITS)).join(
+        known, F.col("e_prefix") == F.col("prefix"), "left"
     )
     rule = F.concat("r_host", "r_path")
     best = F.max(
         F.when(
-            F.col("digest").isNotNull(),
+            F.col("digest") == F.col("e_digest"),
             F.struct(
                 F.length(rule).alias("length"), F.length("r_host").alias("host_length"),
                 F.col("r_verdict").alias("verdict"), rule.alias("rule"),

@@ -1,6 +1,7 @@
 import duckdb
 
 from partwise.llm.queries import ORACLE, URL_RULES, op9_url_filters
+from partwise.llm import url_filters
 from partwise.llm.url_filters import filter_urls
 
 
@@ -40,3 +41,14 @@ def test_edges(spark):
         found = [tuple(r) for r in filter_urls(pages, table).collect()]
         assert sorted(found, key=str) == sorted([(i, *judge(u, rules)) for i, u in rows], key=str)
     assert filter_urls(pages.limit(0), table).count() == 0
+
+
+def test_prefixes_meet_and_digests_confirm(spark, monkeypatch):
+    monkeypatch.setattr(url_filters, "PREFIX_DIGITS", 1)  # nearly every expression meets some wrong rule
+    rules = [(f"h{i % 20}.org", "/" + "abc"[: i % 4], "block" if i % 3 else "allow") for i in range(60)]
+    rows = [(i, f"http://{'s.' * (i % 3)}h{i % 25}.org/{'abcd'[: i % 5]}") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    found = filter_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string"))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([(i, *judge(u, set(rules))) for i, u in rows], key=str)
+    keys = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert keys and all("e_prefix" in k and "e_digest" not in k for k in keys)
