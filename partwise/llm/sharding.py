@@ -1,9 +1,10 @@
 """Shards of equal bytes by sampled splitters.
 
-Records are ordered by a hash of their text, so equal texts lie side by side. A sample of keys, drawn
-with a chance in proportion to the bytes, gives the boundaries of some hundred ranges for each shard.
-Bytes of all records are then summed by range. A range that holds far more than its share (one text
-with a great many copies) is subdivided by the record ids. The exact byte at which each record begins
+Records are ordered by a hash of their text, so equal texts lie side by side. A sample of keys gives the
+boundaries of some hundred ranges for each shard: each row of the written table is drawn as often as its
+bytes hold whole shares, and once more with the chance of what is left. Bytes of all records are then summed
+by range. A range that holds far more than its share (one text with a great many copies) is subdivided by the
+records' numbers, so that repeated rows spread too. The exact byte at which each record begins
 decides its shard, and counts by range its slot.
 """
 
@@ -30,7 +31,9 @@ def shard_records(
     size is the UTF-8 bytes of the text (null: none) plus 1. Shards have equal bytes but for less than
     about a twentieth of a shard, mostly far less; equal texts share a shard, unless they are many enough to be an
     overfull range, which may lie over a shard's end. slot counts from 0 without gaps in each shard.
-    Ids may be null or repeated. Carried columns named like a result (size, shard, slot) are left out.
+    Ids may be null or repeated; which of wholly equal rows gets which place follows the order of the input.
+    A text of any length is one record; no text is held but where its size and hash are taken.
+    Carried columns named like a result (size, shard, slot) are left out.
     An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -41,16 +44,19 @@ def shard_records(
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.xxhash64(text).alias("key"),
         F.xxhash64(F.col(id_col).cast("string"), F.lit("id")).alias("within"),
+        F.monotonically_increasing_id().alias("row"),
     )
     records = materialise(keyed, "records")
 
-    # Each record is drawn with a chance in proportion to its bytes, by a hash: about so many keys in all.
-    u = F.shiftrightunsigned(F.xxhash64("key", "within", F.lit(7)), 11) / F.lit(float(2**53))
+    # About so many draws in all, by a hash of the row's number in the written table: repeated rows differ.
+    u = F.shiftrightunsigned(F.xxhash64("row", F.lit(7)), 11) / F.lit(float(2**53))
     n_ranges = RANGES_PER_SHARD * shards
     total = records.agg(F.sum("size")).first()[0] or 1
-    drawn = records.where(u < F.col("size") * (n_ranges * SAMPLES_PER_RANGE / total)).select("key").collect()
-    keys = np.sort(np.array([r["key"] for r in drawn], dtype=np.int64))
-    bounds = _bounds(keys)
+    shares = F.col("size") * (n_ranges * SAMPLES_PER_RANGE / total)
+    draws = (F.floor(shares) + (u < shares - F.floor(shares)).cast("bigint")).alias("draws")
+    drawn = records.select("key", draws).where("draws > 0").groupBy("key").agg(F.sum("draws").alias("draws")).collect()
+    keys = np.array([r["key"] for r in drawn], dtype=np.int64)
+    bounds = _bounds(np.sort(np.repeat(keys, np.array([r["draws"] for r in drawn], dtype=np.int64))))
 
     @F.pandas_udf("int")
     def range_of(key: pd.Series) -> pd.Series:
@@ -63,7 +69,7 @@ def shard_records(
     part = F.lit(0)
     if parts:
         of = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])
-        part = F.pmod("within", F.coalesce(of[F.col("range")], F.lit(1)).cast("bigint")).cast("int")
+        part = F.pmod(F.xxhash64("within", "row"), F.coalesce(of[F.col("range")], F.lit(1)).cast("bigint")).cast("int")
     split = ranged.withColumn("part", part)
 
     # at most some thousand rows: the ranges and the parts of overfull ones
@@ -74,7 +80,7 @@ def shard_records(
         at += r["bytes"]
     starts = spark.createDataFrame(first, "range int, part int, before long")
 
-    order = Window.partitionBy("range", "part").orderBy("key", "within")
+    order = Window.partitionBy("range", "part").orderBy("key", "within", "row")
     same = Window.partitionBy("range", "part", "key")
     begin = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = split.withColumn("begin", begin)
@@ -92,7 +98,7 @@ def shard_records(
         base.append((r["shard"], r["range"], r["part"], n[r["shard"]]))
         n[r["shard"]] += r["count"]
     bases = spark.createDataFrame(base, "shard int, range int, part int, base long")
-    own = F.row_number().over(Window.partitionBy("range", "part", "shard").orderBy("key", "within")) - 1
+    own = F.row_number().over(Window.partitionBy("range", "part", "shard").orderBy("key", "within", "row")) - 1
     slotted = sharded.withColumn("own", own).join(F.broadcast(bases), ["shard", "range", "part"])
     return slotted.select("record.*", "size", "shard", (F.col("base") + F.col("own")).alias("slot"))
 

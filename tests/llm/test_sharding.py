@@ -43,3 +43,20 @@ def test_hot_text_and_edges(spark):
     assert shard_records(docs.limit(0), 4).count() == 0
     one = shard_records(docs.limit(1), 4).collect()
     assert len(one) == 1 and one[0]["slot"] == 0
+
+
+def test_repeated_rows_and_very_long_texts(spark):
+    rows = [(None, "one row over and over, id and all")] * 4000 + [(i, f"text {i} " * (i % 9)) for i in range(4000)]
+    rows += [(9000 + i, chr(97 + i) * 30_000) for i in range(4)] + [(9100, "é" * 1_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id", "text")
+    found = shard_records(docs, 4).collect()
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in found))) == sorted(map(str, rows))
+    for s in range(4):
+        held = sorted(r["slot"] for r in found if r["shard"] == s)
+        assert held == list(range(len(held)))
+    # the long text is nearly all; without it shards are even
+    rows = rows[:-1]
+    check(rows, shard_records(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect(), 4, 0.12)
+    alone = spark.createDataFrame([r for r in rows if r[0] is None], "doc_id long, text string")
+    counts = [r["count"] for r in shard_records(alone, 4).groupBy("shard").count().collect()]
+    assert len(counts) == 4 and max(counts) <= 1100  # all are one row, and still spread
