@@ -1,7 +1,7 @@
 """Nearest neighbours by an adaptive scan over dimensions, inside the probed lists of an inverted index.
 
-Vectors are rotated by a random orthogonal matrix, which keeps distances and spreads them evenly over
-the dimensions, and assigned to the list of their nearest centroid. Lists are kept as blocks of at
+Vectors are centred on a mean, so that distances far from the origin keep their digits, and rotated by a
+random orthogonal matrix, which keeps distances and spreads them evenly over the dimensions, and assigned to the list of their nearest centroid. Lists are kept as blocks of at
 most about `BLOCK` vectors. A query first scans the few lists nearest to it in full, which gives a bound on its
 k-th distance. In its other lists rotated columns are added a few at a time: after d of D columns a
 candidate goes if its partial squared distance, times D / d, exceeds the bound by more than the test
@@ -14,6 +14,7 @@ are taken as hold the wanted share of their true neighbours.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -27,6 +28,8 @@ BLOCK = 512
 SUPPRESS = 2.1  # deviations that the test allows a partial distance
 FIRST_LISTS = 4
 MOST_LISTS = 4096
+PART = 16  # blocks of a list that meet a query in one row: a large list is many keys of the join
+ROUNDING = 1e-13  # what a squared distance by norms and products may be wrong by, for each unit of the norms
 SALTS = 64
 
 
@@ -87,15 +90,19 @@ def _scan(q: dict, block: dict, dims: int, k: int) -> tuple[np.ndarray, np.ndarr
         at, of = np.indices((len(q["ids"]), len(block["ids"]))).reshape(2, -1)
     else:
         done = min(dims, max(4, dims // 8))
-        part = _squares(q["turned"][:, :done], block["turned"][:, :done])
-        at, of = np.nonzero(part * (dims / done) <= bound * (1 + SUPPRESS / math.sqrt(done)) ** 2 * (1 + 1e-6))
-        part = part[at, of]
+        a, b = q["turned"][:, :done], block["turned"][:, :done]
+        wrong = ROUNDING * ((a * a).sum(1)[:, None] + (b * b).sum(1)[None])
+        at, of = np.nonzero((_squares(a, b) - wrong) * (dims / done) <= bound * (1 + SUPPRESS / math.sqrt(done)) ** 2)
+        part = np.empty(len(at))
+        for i in range(0, len(at), 1 << 16):  # differences, not products: no digits are lost from here on
+            part[i : i + (1 << 16)] = ((a[at[i : i + (1 << 16)]] - b[of[i : i + (1 << 16)]]) ** 2).sum(1)
         while done < dims and len(at):
             more = min(dims, 2 * done)
             part = part + ((q["turned"][at, done:more] - block["turned"][of, done:more]) ** 2).sum(1)
             done = more
-            slack = (1 + SUPPRESS / math.sqrt(done)) ** 2 if done < dims else 1 + 1e-6
-            stay = part * (dims / done) <= bound[at, 0] * slack + 1e-9
+            slack = (1 + SUPPRESS / math.sqrt(done)) ** 2 if done < dims else 1 + 1e-9
+            near_zero = 1e-24 * (q["norms"][at] + block["norms"][of])
+            stay = part * (dims / done) <= bound[at, 0] * slack + near_zero
             at, of, part = at[stay], of[stay], part[stay]
     other = q["ids"][at] != block["ids"][of]
     at, of = at[other], of[other]
@@ -117,8 +124,8 @@ def _scan(q: dict, block: dict, dims: int, k: int) -> tuple[np.ndarray, np.ndarr
 class Index:
     """Blocks of all usable vectors by list, with what a search needs."""
 
-    def __init__(self, blocks: DataFrame, turn: np.ndarray, centres: np.ndarray) -> None:
-        self.blocks, self.turn, self.centres = blocks, turn, centres
+    def __init__(self, blocks: DataFrame, parts: DataFrame, turn: np.ndarray, mean: np.ndarray, centres: np.ndarray) -> None:
+        self.blocks, self.parts, self.turn, self.mean, self.centres = blocks, parts, turn, mean, centres
 
 
 def build_index(items: DataFrame, dims: int, sample_rows: int, lists: int | None = None) -> Index:
@@ -127,13 +134,14 @@ def build_index(items: DataFrame, dims: int, sample_rows: int, lists: int | None
 
     def pack(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([_packed(batch, dims)[1].astype("<f4").tobytes()], pa.binary())], ["x"])
+            yield pa.RecordBatch.from_arrays([pa.array([_packed(batch, dims)[1].tobytes()], pa.binary())], ["x"])
 
     sample = items.sample(min(1.0, sample_rows / max(1, rows)), seed=1).mapInArrow(pack, "x binary").collect()
-    parts = [np.frombuffer(r["x"], "<f4").reshape(-1, dims).astype(np.float64) for r in sample]
+    parts = [np.frombuffer(r["x"], "<f8").reshape(-1, dims) for r in sample]
     turn = np.linalg.qr(np.random.default_rng(0).normal(size=(dims, dims)))[0]
     points = np.concatenate(parts) if parts else np.zeros((1, dims))
-    points = points[np.isfinite(points).all(1)] if np.isfinite(points).all(1).any() else np.zeros((1, dims))
+    mean = points.mean(0)
+    points = points - mean
     n = min(len(points), MOST_LISTS, lists or max(1, math.isqrt(rows)))
     centres = _centroids(points, n)
     shared = items.sparkSession.sparkContext.broadcast(centres)
@@ -141,7 +149,7 @@ def build_index(items: DataFrame, dims: int, sample_rows: int, lists: int | None
     def assign(batches):
         for batch in batches:
             ids, x = _packed(batch, dims)
-            near = [_squares(x[i : i + 1024], shared.value).argmin(1) for i in range(0, len(x), 1024)]
+            near = [_squares(x[i : i + 1024] - mean, shared.value).argmin(1) for i in range(0, len(x), 1024)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(near) if near else [], pa.int32()), pa.array(ids), pa.array([r.tobytes() for r in x], pa.binary())],
                 ["list", "id", "x"],
@@ -149,29 +157,27 @@ def build_index(items: DataFrame, dims: int, sample_rows: int, lists: int | None
 
     assigned = items.mapInArrow(assign, "list int, id long, x binary")
     assigned = materialise(assigned, "assigned")
-    # at most MOST_LISTS rows
-    counts = {r["list"]: r["n"] for r in assigned.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    cuts = F.create_map(*[F.lit(v) for l, n in counts.items() for v in (l, -(-n // BLOCK))]) if counts else None
-    of = F.pmod(F.xxhash64("id"), cuts[F.col("list")].cast("bigint")) if counts else F.lit(0).cast("bigint")
+    sizes = assigned.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("bigint").alias("blocks"))
+    sizes = materialise(sizes, "lists")  # at most MOST_LISTS rows
+    cut = assigned.join(F.broadcast(sizes), "list").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
 
     def fold(key, table):
         ids = table.column("id").to_numpy()
         x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float64).reshape(-1, dims)
-        turned = (x @ turn).astype("<f4")
+        turned = ((x - mean) @ turn).astype("<f8")
         return pa.table({
-            "list": pa.array([key[0].as_py()], pa.int32()), "ids": [ids.astype("<i8").tobytes()],
+            "list": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py() // PART], pa.int64()), "ids": [ids.astype("<i8").tobytes()],
             "plain": [x.astype("<f8").tobytes()], "turned": [turned.tobytes()],
         })
 
-    blocks = assigned.withColumn("block", of).groupBy("list", "block").applyInArrow(
-        fold, "list int, ids binary, plain binary, turned binary"
-    )
-    return Index(materialise(blocks, "index"), turn, centres)
+    blocks = cut.groupBy("list", "block").applyInArrow(fold, "list int, part long, ids binary, plain binary, turned binary")
+    parts = sizes.select("list", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("blocks") - 1) / PART))).alias("part"))
+    return Index(materialise(blocks, "index"), parts, turn, mean, centres)
 
 
 def _probe(queries: DataFrame, index: Index, dims: int, k: int, first: int, last: int) -> DataFrame:
     """Scans of the lists first to last, by nearness, for (id, vector, bound): (query_id, vec_id, score)."""
-    turn = index.turn
+    turn, mean = index.turn, index.mean
     shared = queries.sparkSession.sparkContext.broadcast(index.centres)
 
     def spread(batches):
@@ -179,7 +185,7 @@ def _probe(queries: DataFrame, index: Index, dims: int, k: int, first: int, last
             for at in range(0, batch.num_rows, 128):
                 ids, x = _packed(batch.slice(at, 128), dims)
                 bound = batch.slice(at, 128).column(2).to_numpy()
-                lists = np.argsort(_squares(x, shared.value), axis=1, kind="stable")[:, first:last]
+                lists = np.argsort(_squares(x - mean, shared.value), axis=1, kind="stable")[:, first:last]
                 chosen, order = lists.ravel(), np.repeat(np.arange(len(ids)), lists.shape[1])
                 rank = np.argsort(chosen, kind="stable")
                 chosen, order = chosen[rank], order[rank]
@@ -198,13 +204,15 @@ def _probe(queries: DataFrame, index: Index, dims: int, k: int, first: int, last
             for row in range(batch.num_rows):
                 get = lambda name, kind: np.frombuffer(batch.column(batch.schema.get_field_index(name))[row].as_py(), kind)
                 q = {"ids": get("q_ids", "<i8"), "plain": get("q_plain", "<f8").reshape(-1, dims), "bound": get("q_bound", "<f8")}
-                q["turned"] = q["plain"] @ turn
-                block = {"ids": get("ids", "<i8"), "plain": get("plain", "<f8").reshape(-1, dims), "turned": get("turned", "<f4").reshape(-1, dims)}
+                q["turned"] = (q["plain"] - mean) @ turn
+                block = {"ids": get("ids", "<i8"), "plain": get("plain", "<f8").reshape(-1, dims), "turned": get("turned", "<f8").reshape(-1, dims)}
+                for side in (q, block):
+                    side["norms"] = (side["turned"] ** 2).sum(1)
                 at, ids, score = _scan(q, block, dims, k)
                 yield pa.RecordBatch.from_arrays([pa.array(q["ids"][at]), pa.array(ids), pa.array(score)], ["query_id", "vec_id", "score"])
 
     probes = queries.select("id", "vector", "bound").mapInArrow(spread, "list int, q_ids binary, q_plain binary, q_bound binary")
-    return probes.join(index.blocks, "list").select("q_ids", "q_plain", "q_bound", "ids", "plain", "turned").mapInArrow(
+    return probes.join(index.parts, "list").join(index.blocks, ["list", "part"]).select("q_ids", "q_plain", "q_bound", "ids", "plain", "turned").mapInArrow(
         scan, "query_id long, vec_id long, score double"
     )
 
@@ -224,7 +232,7 @@ def lists_needed(queries: DataFrame, index: Index, dims: int, k: int, wanted: fl
     if not some:  # so small a share may give none of a few queries
         some = queries.limit(sample_rows).collect()
     ids = np.array([r["id"] for r in some], np.int64)
-    plain = np.array([r["vector"] for r in some])
+    plain, mean = np.array([r["vector"] for r in some]) - index.mean, index.mean
     shared = queries.sparkSession.sparkContext.broadcast((ids, plain))
 
     def all_of(batches):
@@ -233,7 +241,7 @@ def lists_needed(queries: DataFrame, index: Index, dims: int, k: int, wanted: fl
             for row in range(batch.num_rows):
                 list_ = batch.column(0)[row].as_py()
                 block = np.frombuffer(batch.column(1)[row].as_py(), "<i8")
-                score = _squares(plain, np.frombuffer(batch.column(2)[row].as_py(), "<f8").reshape(-1, dims))
+                score = _squares(plain, np.frombuffer(batch.column(2)[row].as_py(), "<f8").reshape(-1, dims) - mean)
                 score[ids[:, None] == block[None]] = np.inf
                 near = np.argsort(score, axis=1)[:, :k]
                 q = np.repeat(np.arange(len(ids)), near.shape[1])
@@ -262,13 +270,27 @@ def nearest_neighbours(
     Nearness is the Euclidean distance of the original vectors in double precision, ties go to the lesser
     id, and a query's own id is no candidate of its own; fewer candidates give fewer rows. Ids are
     integers. Rows whose id or vector is null, whose vector is zero or holds a null or non-finite
-    component, or is not of the most frequent length, take no part; equal rows count once. Other
-    columns are ignored. Without vectors or queries the result is empty.
+    component take no part; equal rows count once. A query is compared with the vectors of its own length,
+    for to others there is no distance: each length that a query has is searched in an index of its own.
+    Other columns are ignored. Without vectors or queries the result is empty.
     """
-    items, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
-    sizes = items.groupBy(F.size("vector").alias("dims")).count().orderBy(F.desc("count"), "dims").limit(1).collect()
-    dims = sizes[0]["dims"] if sizes else 1
-    items, asked = (x.where(F.size("vector") == dims) for x in (items, asked))
+    items = materialise(usable(vectors, id_col, vector_col).withColumn("dims", F.size("vector")), "usable")
+    asked = usable(queries, id_col, vector_col).withColumn("dims", F.size("vector"))
+    lengths = sorted(r["dims"] for r in asked.select("dims").distinct().collect())
+    found = [
+        _nearest_of_length(
+            *(x.where(F.col("dims") == dims).drop("dims") for x in (items, asked)), k, dims, wanted_recall, sample_rows, sample_queries
+        )
+        for dims in lengths
+    ]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.union, found)
+
+
+def _nearest_of_length(
+    items: DataFrame, asked: DataFrame, k: int, dims: int, wanted_recall: float, sample_rows: int, sample_queries: int
+) -> DataFrame:
     asked = materialise(asked.withColumn("bound", F.lit(float("inf"))), "queries")
     index = build_index(materialise(_first_of_equal(items, k + 1), "vectors"), dims, sample_rows)
     lists = max(FIRST_LISTS, lists_needed(asked, index, dims, k, wanted_recall, sample_queries))
