@@ -53,7 +53,8 @@ def run_download(
     requests: object_id, src_url, dst_url, file_exists, download_exists, part_size, key_id.
     Files are written in place by all tasks, so the destination is mounted by all executors. Parts
     finished by an earlier run are kept when their bytes still have the recorded MD5, and no byte of them is
-    read from the store. Parts of any size are cut from the stored ranges without a shuffle of bytes. Of requests for
+    read from the store. Progress belongs to the file: another manifest neither sees nor ends it by using the
+    same object_id, and finds it under any object_id for the same file. Parts of any size are cut from the stored ranges without a shuffle of bytes. Of requests for
     one file the first in order of object_id is done, the others end with FileExists.
     """
     spark = store.spark
@@ -66,10 +67,8 @@ def run_download(
     asked = materialise(_without_rivals(asked, ["dst_path"], "FileExists"), "asked")
     valid = asked.filter(F.col("reject_reason").isNull())
     before = asked.filter(F.col("file_size").isNotNull()).select("object_id")
-    recorded = journal.load_progress(spark, progress_table)
-    progress = materialise(
-        salted_join(recorded, valid.select("object_id"), ["object_id"], ["part_num"], "left_semi"), "progress"
-    )
+    targets = valid.select("object_id", F.col("dst_path").alias("destination"))
+    progress = materialise(journal.load_progress(spark, progress_table, targets), "progress")
     decisions = policy.apply_file_exists_policy(valid, before, progress, valid)
     decided = materialise(
         with_exit_code(
@@ -82,7 +81,8 @@ def run_download(
         "decisions",
     )
     go = decided.filter(F.col("action").isin(*GO))
-    journal.begin_progress(go.filter(F.col("action") != policy.LOAD), progress_table)
+    fresh = go.filter(F.col("action") != policy.LOAD).withColumn("destination", F.col("dst_path"))
+    journal.begin_progress(fresh, progress_table)
 
     # What an earlier run wrote, read back from the partial files.
     partial = F.regexp_replace("dst_path", r"([^/]+)$", ".$1.partial")
@@ -115,7 +115,9 @@ def run_download(
     if keys is not None:
         keyed = sources.select("object_id", "size", F.col("dst_part_size").alias("part_size")).join(object_keys, "object_id")
     wave_of = F.pmod(F.xxhash64("object_id", F.shiftright("part_num", 4)), F.lit(waves))
-    header = sources.select("object_id", "size", F.col("dst_part_size").alias("part_size"), "etag")
+    header = sources.select(
+        "object_id", "size", F.col("dst_part_size").alias("part_size"), "etag", F.col("dst_path").alias("destination")
+    )
     written = None
     for wave in range(waves):
         opened = store.opened(planned.filter(wave_of == wave), keyed, tasks).filter("bytes is not null")
@@ -124,7 +126,7 @@ def run_download(
             (F.col("offset") == F.col("part_num") * F.col("part_size"))
             & (F.col("n") == F.least(F.col("part_size"), F.col("size") - F.col("offset")))
         )
-        journal.journal_progress(whole.select("object_id", "part_size", "etag", "part_num", "md5"), progress_table)
+        journal.journal_progress(whole.select("object_id", "part_size", "etag", "part_num", "md5", "destination"), progress_table)
         written = done if written is None else written.unionByName(done)
 
     tally = (
@@ -144,7 +146,7 @@ def run_download(
     after = materialise(file_states(go.select("object_id", "dst_path"), "dst_path"), "after").filter("file_size is not null")
     checked = materialise(policy.recheck_destination(counted, before, after), "checked")
     named = materialise(publish_files(checked.filter(F.col("action").isin(*GO))), "published").filter("published")
-    journal.end_progress(named, progress_table)
+    journal.end_progress(named.withColumn("destination", F.col("dst_path")), progress_table)
     lost = F.col("action").isin(*GO) & F.col("_ok").isNull()
     result = checked.join(named.select("object_id", F.lit(True).alias("_ok")), "object_id", "left")
     return with_exit_code(

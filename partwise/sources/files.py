@@ -62,6 +62,10 @@ def read_range(f: BinaryIO, start: int, end: int, buffer: int = READ_BUFFER) ->
         yield data
 
 
+# What opening a file may end with where there is no such file to read: a folder, or rights that changed, too.
+NOT_READABLE = (FileNotFoundError, IsADirectoryError, NotADirectoryError, PermissionError)
+
+
 class Reader:
     """Keeps the last file open: the ranges of one object come one after the other."""
 

@@ -15,7 +15,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from partwise.limits import BATCH_BYTES, MAX_CELL_BYTES
 from partwise.operators.integrity import new_hash
-from partwise.sources.files import Reader, filesystem_of, read_range
+from partwise.sources.files import NOT_READABLE, Reader, filesystem_of, read_range
 from partwise.sources.scratch import materialise
 
 
@@ -123,7 +123,7 @@ def fetch_parts(
     Adds offset, bytes, md5 (named after algo), attempt and reject_reason. A part of up to cell_bytes is
     one row; a longer one is several, of which the last holds the digest of the part. offset is where
     the bytes of a row begin. attempt is the same for the rows of one reading of a part: rows of an
-    attempt without a last row are leftovers. A range that gives fewer bytes than planned, or whose file is gone,
+    attempt without a last row are leftovers. A range that gives fewer bytes than planned, or whose file is gone or may not be read,
     ends in a reject row without bytes. Any other failure fails the task, which Spark repeats.
     """
     columns = parts.columns
@@ -148,7 +148,7 @@ def fetch_parts(
             """(offset, bytes, digest, reason) rows of one part."""
             try:
                 f = reader.open(url)
-            except FileNotFoundError:
+            except NOT_READABLE:
                 yield start, None, None, "SourceMissing"
                 return
             state, low = new_hash(algo), start
@@ -212,7 +212,7 @@ def digest_ranges(parts: DataFrame, key: str = "object_id", algo: str = "md5", t
                     state, got = new_hash(algo), 0
                     try:
                         f = reader.open(url)
-                    except FileNotFoundError:
+                    except NOT_READABLE:
                         found.append(None)
                         continue
                     for data in read_range(f, start, end):

@@ -1,5 +1,7 @@
 """Progress of downloads: an append-only table in which the last record of a slot counts.
 
+Progress belongs to the destination: a record with one counts for it, whatever number a manifest gives
+the object. A record without a destination belongs to every object with its number.
 A record with part_num -1 begins a download with its part size and etag, and makes all earlier
 slots of the object void. One without a part size says that the object has no progress any more.
 """
@@ -12,15 +14,18 @@ from pyspark.sql import functions as F
 from partwise.functions.skew import salted_join
 
 SCHEMA = (
-    "object_id bigint, part_size bigint, etag string, part_num bigint, md5 string, recorded_at timestamp"
+    "object_id bigint, part_size bigint, etag string, part_num bigint, md5 string, recorded_at timestamp, "
+    "destination string"
 )
-COLUMNS = ["object_id", "part_size", "etag", "part_num", "md5", "recorded_at"]
+COLUMNS = ["object_id", "part_size", "etag", "part_num", "md5", "recorded_at", "destination"]
 HEADER = -1
 NO_MD5 = "0" * 32
 
 
 def _append(rows: DataFrame, table: str) -> None:
     stamped = rows if "recorded_at" in rows.columns else rows.withColumn("recorded_at", F.current_timestamp())
+    if "destination" not in stamped.columns:
+        stamped = stamped.withColumn("destination", F.lit(None).cast("string"))
     stamped.select(*COLUMNS).write.mode("append").parquet(table)
 
 
@@ -29,9 +34,10 @@ def create_journal(spark: SparkSession, table: str) -> None:
 
 
 def begin_progress(objects: DataFrame, table: str) -> None:
-    """objects: object_id, part_size and etag of the downloads that start from nothing."""
+    """objects: object_id, part_size, etag and, if any, destination of the downloads that start from nothing."""
+    destination = [c for c in objects.columns if c == "destination"]
     header = objects.select(
-        "object_id", "part_size", "etag", F.lit(HEADER).cast("bigint").alias("part_num"), F.lit(NO_MD5).alias("md5")
+        "object_id", "part_size", "etag", F.lit(HEADER).cast("bigint").alias("part_num"), F.lit(NO_MD5).alias("md5"), *destination
     )
     _append(header, table)
 
@@ -45,32 +51,53 @@ def journal_progress(df: DataFrame, table: str) -> None:
 def end_progress(objects: DataFrame, table: str) -> None:
     """The objects are finished: nothing of their progress is to be used again."""
     begin_progress(
-        objects.select("object_id", F.lit(None).cast("bigint").alias("part_size"), F.lit(None).cast("string").alias("etag")),
+        objects.select(
+            "object_id", F.lit(None).cast("bigint").alias("part_size"), F.lit(None).cast("string").alias("etag"),
+            *[c for c in objects.columns if c == "destination"],
+        ),
         table,
     )
 
 
 def latest_progress(rows: DataFrame) -> DataFrame:
-    """One row for each slot that is not void, headers included.
+    """One row for each slot of a destination that is not void, headers included.
 
     The latest record of a slot is found before the shuffle, however often a slot was written.
     """
+    place = F.coalesce("destination", F.lit(""))  # no path is empty
     last = (
-        rows.groupBy("object_id", "part_num")
+        rows.groupBy(place.alias("_place"), "object_id", "part_num")
         .agg(F.max_by(F.struct("part_size", "etag", "md5", "recorded_at"), F.struct("recorded_at", "md5")).alias("_r"))
-        .select("object_id", "_r.part_size", "_r.etag", "part_num", "_r.md5", "_r.recorded_at")
+        .select("_place", "object_id", "_r.part_size", "_r.etag", "part_num", "_r.md5", "_r.recorded_at")
     )
     headers = last.filter(F.col("part_num") == HEADER).select(
-        "object_id", F.struct("part_size", "recorded_at").alias("_h")
+        "_place", "object_id", F.struct("part_size", "recorded_at").alias("_h")
     )
     valid = F.col("_h").isNull() | (
         F.col("_h.part_size").isNotNull() & (F.col("recorded_at") >= F.col("_h.recorded_at"))
     )
-    return salted_join(last, headers, ["object_id"], ["part_num"], "left").filter(valid).drop("_h")
+    found = salted_join(last, headers, ["_place", "object_id"], ["part_num"], "left").filter(valid).drop("_h")
+    return found.withColumn("destination", F.nullif("_place", F.lit(""))).drop("_place")
 
 
-def load_progress(spark: SparkSession, table: str) -> DataFrame:
-    return latest_progress(spark.read.schema(SCHEMA).parquet(table))
+def load_progress(spark: SparkSession, table: str, targets: DataFrame | None = None) -> DataFrame:
+    """What counts of the journal; with targets (object_id, destination, each once), of those alone.
+
+    With targets, records of a destination get the number that its target has now, and those without a
+    destination go by their number. Columns of other names are not taken over.
+    """
+    rows = spark.read.schema(SCHEMA).parquet(table)
+    if targets is None:
+        return latest_progress(rows)
+    named = targets.filter("destination is not null").select("destination", F.col("object_id").alias("_now"))
+    placed = salted_join(rows.filter("destination is not null"), named, ["destination"], ["part_num"], "inner")
+    placed = placed.withColumn("object_id", F.col("_now")).drop("_now")
+    loose = salted_join(
+        rows.filter("destination is null"), targets.select("object_id"), ["object_id"], ["part_num"], "left_semi"
+    )
+    # both kinds are of one object from here on, and the later record of a slot counts
+    both = placed.select(*COLUMNS).unionByName(loose.select(*COLUMNS))
+    return latest_progress(both.withColumn("destination", F.lit(None).cast("string"))).drop("destination")
 
 
 def remove_progress(progress: DataFrame, published: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from partwise.limits import CHUNK_BYTES
 from partwise.operators.locations import RESERVED_SUFFIXES
 from partwise.operators.parts import resplit_parts
-from partwise.sources.files import Reader, filesystem_of, local_path, partial_path, read_range
+from partwise.sources.files import NOT_READABLE, Reader, filesystem_of, local_path, partial_path, read_range
 from partwise.sources.objects import spread_ranges
 from partwise.sources.scratch import materialise
 from partwise.sources.segments import SEALED_BYTES, read_segments, write_segments
@@ -172,7 +172,7 @@ def write_ranges(parts: DataFrame, key: str = "object_id", tasks: int | None = N
     def opened(reader, url):
         try:
             return reader.open(url)
-        except FileNotFoundError:
+        except NOT_READABLE:
             return None
 
     def copy_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

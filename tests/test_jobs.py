@@ -281,6 +281,34 @@ def test_download_restarts_for_new_etag(spark, store, source, tmp_path):
     assert {int(f.stem): f.read_bytes() for f in out.iterdir()} == contents
 
 
+def test_other_manifests_see_no_progress(spark, store, source, tmp_path):
+    """Half a download of one file: another file under its number starts anew, the same file under another number goes on."""
+    from partwise.sources import progress as journal
+
+    folder, contents = source
+    run_transfer(store, requests(spark, folder))
+    size = SIZES[-1]
+    etag = store.objects().filter(F.col("key") == f"{size}.bin").first()["etag"]
+    out, table = tmp_path / "out", str(tmp_path / "journal")
+    out.mkdir()
+    with open(partial_path(f"{out}/a"), "wb") as f:
+        f.write(contents[size][: 20 * P])
+    journal.create_journal(spark, table)
+    rows = [(1, P, etag, i, hashlib.md5(contents[size][i * P : (i + 1) * P]).hexdigest(), f"{out}/a") for i in range(20)]
+    schema = "object_id bigint, part_size bigint, etag string, part_num bigint, md5 string, destination string"
+    journal.journal_progress(spark.createDataFrame(rows, schema), table)
+
+    def download(number, name):
+        asked = spark.createDataFrame([(number, f"s3://b/{size}.bin", f"{out}/{name}", None, "resume", P, None)], DOWNLOAD)
+        return run_download(store, asked, table).first()
+
+    other = download(1, "b")
+    assert (other["action"], other["error_class"], other["n_kept"]) == ("NEW", None, 0)
+    same = download(2, "a")
+    assert (same["action"], same["n_kept"], same["n_fetched"]) == ("LOAD", 20, 20)
+    assert (out / "a").read_bytes() == (out / "b").read_bytes() == contents[size]
+
+
 def test_keys_are_in_no_scratch_table(spark, store, source, keys):
     from partwise.sources.scratch import shared_dir
 

@@ -165,3 +165,36 @@ def test_journal(spark, tmp_path):
         journal.journal_progress(rows((1, 0, "short")), table)
     left = journal.remove_progress(journal.load_progress(spark, table), spark.createDataFrame([(1,)], "object_id bigint"))
     assert left.count() == 0
+
+
+def test_progress_belongs_to_its_destination(spark, tmp_path):
+    table = str(tmp_path / "journal")
+    journal.create_journal(spark, table)
+    schema = "object_id bigint, part_size bigint, etag string, part_num bigint, md5 string, destination string"
+
+    def add(*rows):
+        journal.journal_progress(spark.createDataFrame([(o, 5, "e", n, c * 32, d) for o, n, c, d in rows], schema), table)
+
+    def slots(*targets):
+        wanted = spark.createDataFrame(list(targets), "object_id bigint, destination string")
+        return {(r["object_id"], r["part_num"]): r["md5"][0] for r in journal.load_progress(spark, table, wanted).collect()}
+
+    add((1, 0, "a", "/x"), (1, 1, "b", "/x"), (1, 0, "c", "/y"), (2, 0, "d", None))
+    assert slots((1, "/x")) == {(1, 0): "a", (1, 1): "b"}
+    assert slots((1, "/y"), (2, "/x")) == {(1, 0): "c", (2, 0): "d", (2, 1): "b"}
+    assert slots((7, "/x")) == {(7, 0): "a", (7, 1): "b"}
+    assert slots((1, "/z"), (9, None)) == {}
+    assert journal.load_progress(spark, table).count() == 4
+    journal.end_progress(spark.createDataFrame([(7, "/x")], "object_id bigint, destination string"), table)
+    assert slots((1, "/x")) == {} and slots((1, "/y")) == {(1, 0): "c"}
+
+
+def test_what_cannot_be_read_is_a_reject_row(spark, tmp_path):
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "file").write_bytes(b"12345")
+    rows = [(1, 0, f"{tmp_path}/folder", 0, 5), (2, 0, f"{tmp_path}/file", 0, 5), (3, 0, f"{tmp_path}/file/below", 0, 5), (4, 0, f"{tmp_path}/none", 0, 5)]
+    parts = spark.createDataFrame(rows, "object_id long, part_num long, url string, start long, end long")
+    found = {r["object_id"]: (r["bytes"], r["reject_reason"]) for r in fetch_parts(parts).collect()}
+    assert found.pop(2) == (b"12345", None)
+    assert set(found) == {1, 3, 4} and set(found.values()) == {(None, "SourceMissing")}
+    assert {r["object_id"] for r in digest_ranges(parts).filter("md5 is null").collect()} == {1, 3, 4}
