@@ -16,7 +16,8 @@ from partwise.plans.download import run_download
 from partwise.plans.transfer import run_copy, run_transfer
 from partwise.plans.verify import run_verify, verify_files
 from partwise.sources import progress as journal
-from partwise.sources.objects import digest_ranges, fetch_parts, scan_objects, scan_parts
+from partwise.sources.objects import digest_ranges, fetch_parts, scan_objects
+from partwise.sources.part_scan import scan_parts
 from partwise.sources.scratch import scratch_path
 from partwise.sources.sinks import assemble_objects, publish_files, publish_objects, read_parts, write_parts, write_pieces, write_ranges
 from partwise.sources.uploads import read_upload_state

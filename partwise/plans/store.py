@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partwise.functions.balance import deal_by_bytes
 from partwise.functions.skew import block_of, broadcast_if_small, join_by_block, salted_join
 from partwise.operators.crypto import attach_keys, decrypted
 from partwise.operators.parts import n_parts
@@ -165,7 +166,7 @@ class Store:
         else:
             ranges = attach_keys(ranges, keyed)
         n = tasks or self.spark.sparkContext.defaultParallelism
-        dealt = ranges.repartition(n, F.col("object_id"), F.shiftright("part_num", 4)).sortWithinPartitions("object_id", "part_num", "offset")
+        dealt = deal_by_bytes(ranges, n, "object_id", F.col("n"), last=["offset"])
         return self.plain(read_segments(dealt, self.path("segments")))
 
     def plain(self, rows: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from partwise.functions.balance import deal_by_bytes
 from partwise.limits import BATCH_BYTES, MAX_CELL_BYTES
 from partwise.operators.integrity import new_hash
 from partwise.sources.files import NOT_READABLE, Reader, filesystem_of, read_range
@@ -97,7 +97,7 @@ def tasks_for(ranges: DataFrame, bytes_per_task: int = BYTES_PER_TASK) -> int:
 def spread_ranges(
     parts: DataFrame, key: str, tasks: int | None = None, first: tuple[str, ...] = (), run: int = 4
 ) -> DataFrame:
-    """Part rows without bytes, dealt to tasks in runs of 2^run neighbours.
+    """Part rows without bytes, dealt to tasks so that each has nearly the same bytes; see deal_by_bytes.
 
     Tasks have them in the order of the columns first, key and part_num. Without tasks there is
     one for each core; tasks_for gives a number that fits the bytes.
@@ -106,8 +106,7 @@ def spread_ranges(
     work, so adaptive execution must not put them together by their size.
     """
     n = tasks or parts.sparkSession.sparkContext.defaultParallelism
-    dealt = parts.repartition(n, F.col(key), F.shiftright("part_num", run))
-    return dealt.sortWithinPartitions(*first, key, "part_num")
+    return deal_by_bytes(parts, n, key, F.col("end") - F.col("start"), first, run=run)
 
 
 def _arrow_type(batch: pa.RecordBatch, extra: list[pa.Field]) -> pa.Schema:
@@ -228,115 +227,3 @@ def digest_ranges(parts: DataFrame, key: str = "object_id", algo: str = "md5", t
 
     schema = T.StructType([*parts.schema.fields, T.StructField(algo, T.StringType())])
     return spread_ranges(parts, key, tasks).mapInArrow(digest_all, schema)
-
-
-class _Runs(InputPartition):
-    """Ranges (url, start, end) for one task."""
-
-    def __init__(self, runs: list[tuple[str, int, int]]) -> None:
-        self.runs = runs
-
-
-# What opening a file counts for when ranges are packed into tasks.
-OPEN_COST = 256 * 1024
-
-
-class PartSource(DataSource):
-    """spark.read.format("partwise_parts"): the parts of the files below a path.
-
-    Options: path, partSize, partitionBytes (bytes for one task, rounded to parts), withContent
-    ("false" leaves bytes NULL and opens no file). Large files are many tasks and small files
-    share one. The list of tasks is made on the driver: for millions of files use scan_objects,
-    plan_parts and fetch_parts, which keep it distributed.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "partwise_parts"
-
-    def schema(self) -> str:
-        return "url string, part_num bigint, start bigint, end bigint, bytes binary"
-
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _PartReader(self.options)
-
-
-class _PartReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]) -> None:
-        self.path = options["path"]
-        self.part_size = int(options["partSize"])
-        if not 1 <= self.part_size <= MAX_CELL_BYTES:
-            raise ValueError(f"partSize must be 1 to {MAX_CELL_BYTES}")
-        self.wanted = int(options.get("partitionBytes", 128 * 1024**2))
-        self.run = max(1, self.wanted // self.part_size) * self.part_size
-        self.with_content = options.get("withContent", "true").lower() == "true"
-
-    def partitions(self) -> list[InputPartition]:
-        tasks, runs, held = [], [], 0
-        for url, size in _list_files(self.path):
-            for low in range(0, size, self.run):
-                high = min(low + self.run, size)
-                runs.append((url, low, high))
-                held += high - low + OPEN_COST
-                if held >= self.wanted:
-                    tasks.append(_Runs(runs))
-                    runs, held = [], 0
-        return [*tasks, _Runs(runs)] if runs or not tasks else tasks
-
-    def read(self, partition: _Runs) -> Iterator[pa.RecordBatch]:
-        names = ["url", "part_num", "start", "end", "bytes"]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-
-        def batch(rows):
-            columns = [pa.array(list(c), t) for c, t in zip(zip(*rows), types)]
-            return pa.RecordBatch.from_arrays(columns, names)
-
-        reader, rows, held = Reader(), [], 0
-        try:
-            for url, first, last in partition.runs:
-                for low in range(first, last, self.part_size):
-                    high = min(low + self.part_size, last)
-                    data = None
-                    if self.with_content:
-                        data = b"".join(read_range(reader.open(url), low, high))
-                        if len(data) != high - low:
-                            raise OSError(f"{url} became shorter while it was read")
-                        held += len(data)
-                    rows.append((url, low // self.part_size, low, high, data))
-                    if held >= BATCH_BYTES or len(rows) >= 10_000:
-                        yield batch(rows)
-                        rows, held = [], 0
-            if rows:
-                yield batch(rows)
-        finally:
-            reader.close()
-
-
-def _list_files(path: str) -> Iterator[tuple[str, int]]:
-    from pyarrow import fs
-
-    filesystem, base, prefix = filesystem_of(path)
-    info = filesystem.get_file_info(base)
-    if info.type == fs.FileType.Directory:
-        found = filesystem.get_file_info(fs.FileSelector(base, recursive=True))
-    else:
-        found = [info]
-    for f in found:
-        if f.type == fs.FileType.File and not (f.base_name.startswith(".") and f.base_name.endswith(".partial")):
-            yield prefix + f.path, f.size
-
-
-def scan_parts(
-    spark: SparkSession, path: str, part_size: int, with_content: bool = True,
-    partition_bytes: int = 128 * 1024**2,
-) -> DataFrame:
-    """(url, part_num, start, end, bytes) of the files below path; empty files have no parts."""
-    spark.dataSource.register(PartSource)
-    return (
-        spark.read.format("partwise_parts")
-        .option("path", path)
-        .option("partSize", str(part_size))
-        .option("partitionBytes", str(partition_bytes))
-        .option("withContent", str(with_content).lower())
-        .load()
-    )

@@ -1,0 +1,134 @@
+"""Ranges dealt to tasks by bytes, and the part source with its filters."""
+
+import math
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from partwise.functions.balance import OPEN_COST, deal_by_bytes
+from partwise.sources.objects import spread_ranges
+from partwise.sources.part_scan import scan_parts
+
+KB, GB = 1024, 1024**3
+
+
+def loads(dealt):
+    size = F.col("end") - F.col("start")
+    by_task = dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.sum(size).alias("bytes"), F.count("*").alias("n"))
+    return [(r["bytes"], r["n"]) for r in by_task.collect()]
+
+
+def test_tasks_have_equal_bytes(spark):
+    """20,000 ranges of 1 KB to 5 GB, and one object with a third of the rows."""
+    rng = random.Random(3)
+    sizes = [int(math.exp(rng.uniform(math.log(KB), math.log(5 * GB)))) for _ in range(20_000)]
+    rows = [(0 if i % 3 == 0 else i, i, s) for i, s in enumerate(sizes)]
+    parts = spark.createDataFrame(rows, "object_id long, part_num long, end long").withColumn("start", F.lit(0).cast("long"))
+    dealt = spread_ranges(parts, "object_id", 40)
+    assert dealt.rdd.getNumPartitions() == 40
+    found = loads(dealt)
+    assert sum(n for _, n in found) == 20_000 and sum(b for b, _ in found) == sum(sizes)
+    assert len(found) == 40 and max(b for b, _ in found) <= 1.2 * sum(sizes) / 40
+    assert dealt.agg(F.count_distinct("object_id", "part_num")).first()[0] == 20_000
+
+
+def test_pieces_of_a_part_stay_together_in_order(spark):
+    rows = [(o, p, 100 * c, 100 * c + 100) for o in range(3) for p in range(20) for c in range(7)]
+    random.Random(1).shuffle(rows)
+    parts = spark.createDataFrame(rows, "object_id long, part_num long, start long, end long")
+    dealt = deal_by_bytes(parts, 6, "object_id", F.col("end") - F.col("start"), last=["start"])
+    tasks = [list(rows) for rows in dealt.rdd.glom().collect()]
+    assert sum(map(len, tasks)) == len(rows)
+    seen = set()
+    for task in tasks:
+        assert task == sorted(task)
+        here = {(r["object_id"], r["part_num"]) for r in task}
+        assert not here & seen
+        seen |= here
+
+
+def test_no_rows_and_empty_ranges(spark):
+    parts = spark.createDataFrame([], "object_id long, part_num long, start long, end long")
+    assert spread_ranges(parts, "object_id", 5).count() == 0
+    empty = spark.range(50).select(F.col("id").alias("object_id"), F.lit(0).alias("part_num"), F.lit(7).alias("start"), F.lit(7).alias("end"))
+    counts = [n for _, n in loads(spread_ranges(empty, "object_id", 5))]
+    assert sum(counts) == 50 and max(counts) <= 12
+
+
+@pytest.fixture()
+def files(tmp_path):
+    rng = random.Random(5)
+    contents = {f"{tmp_path}/d{i % 3}/f{i:02d}": rng.randbytes(i * 37 % 400) for i in range(40)}
+    for path, data in contents.items():
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as f:
+            f.write(data)
+    return str(tmp_path), contents
+
+
+def expected(contents, size):
+    return {
+        (url, n // size): data[n : n + size] for url, data in contents.items() for n in range(0, len(data), size)
+    }
+
+
+def rows_of(df):
+    return {(r["url"], r["part_num"]): bytes(r["bytes"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize(
+    "where",
+    [
+        "part_num = 2", "part_num in (0, 3)", "start > 100", "url like '%/d1/f0%'", "url = '{root}/d1/f10' and part_num = 1",
+        "part_num = 1 or start = 0", "part_num = 77", "url is null", None,
+    ],
+)
+def test_conditions_on_parts(spark, files, where):
+    root, contents = files
+    where = where and where.format(root=root)
+    found = rows_of(scan_parts(spark, root, 50, partition_bytes=3 * OPEN_COST, where=where))
+    rows = [(u, n, n * 50, n * 50 + len(b), bytearray(b)) for (u, n), b in expected(contents, 50).items()]
+    wanted = spark.createDataFrame(rows, "url string, part_num long, start long, end long, bytes binary")
+    assert found == rows_of(wanted.filter(where) if where else wanted)
+
+
+def test_one_part_opens_one_file_in_one_task(spark, files):
+    root, contents = files
+    scanned = scan_parts(spark, root, 50, partition_bytes=3 * OPEN_COST)
+    assert scanned.rdd.getNumPartitions() > 5
+    wanted = f"{root}/d1/f10"
+    one = scan_parts(spark, root, 50, partition_bytes=3 * OPEN_COST, where=(F.col("name") == "f10") & (F.col("part_num") == 3))
+    for path in contents:
+        if path != wanted:
+            os.truncate(path, 0)  # reading any of them would fail
+    assert one.rdd.getNumPartitions() == 1
+    assert rows_of(one) == {(wanted, 3): contents[wanted][150:200]}
+    with pytest.raises(Exception, match="became shorter"):
+        scanned.collect()
+
+
+def test_filters_after_reading_do_not_touch_other_uses(spark, files):
+    root, contents = files
+    scanned, n = scan_parts(spark, root, 50), len(expected(contents, 50))
+    first, second = scanned.filter("part_num = 1"), scanned.filter("part_num = 2")
+    counts = {r["part_num"]: r["count"] for r in first.union(second).groupBy("part_num").count().collect()}
+    assert counts == {k: sum(p == k for _, p in expected(contents, 50)) for k in (1, 2)}
+    assert scanned.count() == n
+
+
+def test_parts_of_several_cells(spark, files):
+    root, contents = files
+    found = {}
+    for r in scan_parts(spark, root, 3 * GB, cell_bytes=64).orderBy("url", "offset").collect():
+        assert (r["part_num"], r["start"], r["end"]) == (0, 0, len(contents[r["url"]])) and len(r["bytes"]) <= 64
+        found[r["url"]] = found.get(r["url"], b"") + bytes(r["bytes"])
+    assert found == {k: v for k, v in contents.items() if v}
+    assert scan_parts(spark, root, 3 * GB, with_content=False, cell_bytes=64).count() == len(found)
+
+
+def test_a_folder_without_files(spark, tmp_path):
+    assert scan_parts(spark, str(tmp_path), 10).count() == 0
+    (tmp_path / "empty").write_bytes(b"")
+    assert scan_parts(spark, str(tmp_path), 10).filter("part_num = 0").count() == 0

@@ -11,7 +11,8 @@ from partwise.operators.parts import DOWNLOAD, plan_parts
 from partwise.plans.verify import verify_files
 from partwise.sources import objects
 from partwise.sources import progress as journal
-from partwise.sources.objects import digest_ranges, fetch_parts, scan_objects, scan_parts
+from partwise.sources.objects import digest_ranges, fetch_parts, scan_objects
+from partwise.sources.part_scan import scan_parts
 from partwise.sources.sinks import publish_objects, read_parts, write_parts
 from partwise.sources.uploads import read_upload_state
 
