@@ -158,6 +158,39 @@ def _(v: Views) -> DataFrame:
     return journal.load_progress(v.spark, table).select("object_id", "part_num", "md5")
 
 
+@query(
+    "compact_progress",
+    """select object_id, part_num, md5, cast(case when part_num % 3 = 2 then 'after' else 'before' end as varchar) as snapshot
+       from (select upload_id as object_id, part_num, md5, row_number() over (
+         partition by upload_id, part_num order by recorded_at desc, md5 desc) as rn from attempts where ok) where rn = 1 and object_id % 7 <> 0""",
+)
+def _(v: Views) -> DataFrame:
+    """A third of the slots comes after the snapshot, and finished objects are not in it."""
+    table = scratch_path(v.spark, "journal")
+    rows = v.attempts().filter("ok").select(
+        F.col("upload_id").alias("object_id"), F.lit(P).cast("bigint").alias("part_size"), F.lit("e").alias("etag"),
+        "part_num", "md5", "recorded_at", F.concat(F.lit("/d/"), "upload_id").alias("destination"),
+    )
+    finished = rows.filter("object_id % 7 = 0")
+    journal.journal_progress(rows.filter("part_num % 3 <> 2 or object_id % 7 = 0"), table)
+    journal.end_progress(finished.select("object_id", "destination").distinct(), table)
+    journal.compact_progress(v.spark, table)
+    inside = journal.read_journal(v.spark, table).select("object_id", "part_num").withColumn("snapshot", F.lit("before"))
+    journal.journal_progress(rows.filter("part_num % 3 = 2 and object_id % 7 <> 0"), table)
+    slots = journal.load_progress(v.spark, table)
+    found = slots.join(inside, ["object_id", "part_num"], "left")
+    return found.select("object_id", "part_num", "md5", F.coalesce("snapshot", F.lit("after")).alias("snapshot"))
+
+
+@query(
+    "scan_parts_where",
+    """select object_id, part_num, "start", "end", md5(bytes) as md5 from parts where "end" > 0 and part_num % 2 = 1 and "end" - "start" > 100""",
+)
+def _(v: Views) -> DataFrame:
+    read = scan_parts(v.spark, jobs.published(v, "parts_where"), P, where='part_num % 2 = 1 and `end` - `start` > 100')
+    return read.select(jobs.object_id().alias("object_id"), "part_num", "start", "end", F.md5("bytes").alias("md5"))
+
+
 # --- jobs -------------------------------------------------------------------------------------
 
 _OWN_PARTS = """(select object_id, part_size, unnest(range(greatest(1, cast(ceil(size/part_size) as bigint)))) as part_num, content

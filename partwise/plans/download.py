@@ -59,6 +59,7 @@ def run_download(
     """
     spark = store.spark
     journal.create_journal(spark, progress_table)
+    journal.compact_if_grown(spark, progress_table)
     found, object_keys = find_objects(store, requests, keys)
     target = classify_locations(found.withColumnRenamed("reject_reason", "_src_reject"), "dst_url", FILE, base_dir)
     asked = target.withColumn("reject_reason", F.coalesce("_src_reject", "reject_reason")).withColumnRenamed("path", "dst_path")
