@@ -12,10 +12,14 @@ from partwise.operators.parts import n_parts
 
 
 def read_keys(key_table: DataFrame) -> DataFrame:
-    """(key_id, key, is_master, reject_reason) from key_text, or key_base64 where that is given."""
-    key = K.key_from_text(F.col("key_text"))
-    if "key_base64" in key_table.columns:
-        key = F.coalesce(key, K.key_from_base64(F.col("key_base64")))
+    """(key_id, key, is_master, reject_reason) from the first that is given of key_text, key_base64 and key_bytes.
+
+    key_bytes is BINARY: a raw key, as a table holds it or reading a key file gives it. Any of the three columns
+    may be lacking.
+    """
+    ways = {"key_text": K.key_from_text, "key_base64": K.key_from_base64, "key_bytes": lambda raw: raw.cast("binary")}
+    given = [way(F.col(name)) for name, way in ways.items() if name in key_table.columns]
+    key = F.coalesce(F.lit(None).cast("binary"), *given)
     return key_table.select(
         "key_id",
         key.alias("key"),

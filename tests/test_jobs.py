@@ -220,6 +220,23 @@ def test_derived_key(spark):
     assert (rows[7]["object_key"], rows[7]["reject_reason"]) == (KEY_B.encode().hex(), None)
 
 
+def test_raw_keys(spark):
+    """Keys as bytes that are no text; one that is given as text as well; one of 31 bytes; columns may lack."""
+    raw = bytes(range(200, 232))
+    rows = [("raw", bytearray(raw), True), ("short", bytearray(raw[1:]), False), ("none", None, False)]
+    table = spark.createDataFrame(rows, "key_id string, key_bytes binary, is_master boolean")
+    read = {r["key_id"]: r for r in crypto.read_keys(table).collect()}
+    assert bytes(read["raw"]["key"]) == raw and read["raw"]["reject_reason"] is None
+    assert read["short"]["reject_reason"] == read["none"]["reject_reason"] == "InvalidEncryptionKey"
+    both = table.withColumn("key_text", F.when(F.col("key_id") == "raw", F.lit(KEY_A)))
+    assert {r["key_id"]: r["key"] and bytes(r["key"]) for r in crypto.read_keys(both).collect()} == {
+        "raw": KEY_A.encode(), "short": raw[1:], "none": None
+    }
+    objects = spark.createDataFrame([(1, "raw", "b", "k", "")], "object_id bigint, key_id string, bucket string, key string, location string")
+    derived = hashlib.sha256(raw + b"https://s3.amazonaws.com/b/k").hexdigest()
+    assert crypto.derive_object_keys(objects, crypto.read_keys(table)).first()["object_key"] == derived
+
+
 def test_download_resume(spark, store, source, tmp_path):
     folder, contents = source
     run_transfer(store, requests(spark, folder))
