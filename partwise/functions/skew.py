@@ -43,7 +43,8 @@ def salted_join(
     spread names fact columns that differ between the rows of one key.
     """
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    # A cross join and no explode: Spark takes an array for one row, and would broadcast the copies of a large dim.
+    copies = dim.crossJoin(dim.sparkSession.range(salts).select(F.col("id").alias("_salt")))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
