@@ -24,6 +24,8 @@ from partwise.sources.files import Reader, filesystem_of, local_path, read_range
 
 # A segment is closed when it has so many bytes.
 SEGMENT_BYTES = 1024**3
+# Bytes of rows that wait for their segment to be closed.
+HELD_BYTES = 2 * BATCH_BYTES
 # What AES-GCM adds to each row: an IV of 12 bytes and a tag of 16.
 SEALED_BYTES = 28
 
@@ -74,7 +76,7 @@ def write_segments(rows: DataFrame, folder: str) -> DataFrame:
     """
 
     def write_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments, done = _Segments(folder), []
+        segments, done, held = _Segments(folder), [], 0
         try:
             for batch in batches:
                 places = []
@@ -87,13 +89,14 @@ def write_segments(rows: DataFrame, folder: str) -> DataFrame:
                     segments.append(data)
                 names = _names(batch, "bytes")
                 added = [pa.array([p[i] for p in places], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
-                done.append(
-                    pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *added], [*names, *[f.name for f in PLACE]])
-                )
-                if len(done) >= 64:
+                # Copies: the columns of a batch share one buffer, and with any of them its bytes would be held too.
+                narrow = batch.select(names).take(pa.array(range(batch.num_rows), pa.int64()))
+                done.append(pa.RecordBatch.from_arrays([*narrow.columns, *added], [*names, *[f.name for f in PLACE]]))
+                held += done[-1].nbytes
+                if len(done) >= 64 or held >= HELD_BYTES:
                     segments.close()
                     yield from done
-                    done = []
+                    done, held = [], 0
             segments.close()  # on disk before the last rows are reported
             yield from done
         finally:
