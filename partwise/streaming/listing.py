@@ -1,7 +1,7 @@
 """A streaming source of new files, empty ones too, whose offset is a position in its own listing.
 
-Each batch lists once. What is new is appended to the listing, a folder of small files beside the
-stream's checkpoint, before the position behind it is handed to Spark: so a batch that is repeated,
+Each batch lists once, and has some entries in memory at a time. What is new is appended to the listing, a folder of
+small files beside the stream's checkpoint, before the position behind it is handed to Spark: so a batch that is repeated,
 or the stream when it starts again, finds the same files between the same positions. On a mounted
 file system a folder that has not changed since it was listed is not listed again; its files are
 not looked at: files should come into it whole, by a rename, as one rewritten in place may be missed.
@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,8 @@ from partwise.sources.files import filesystem_of, local_path
 LISTED = pa.schema([("url", pa.string()), ("size", pa.int64()), ("modified_ns", pa.int64())])
 # Entries of the listing that one task hands on.
 SLICE = 10_000
+# Entries that are in memory at a time while a listing is made or read, and most entries of one of its files.
+AT_ONCE = 20_000
 # A folder written to this shortly before it was listed may change again within the same time stamp.
 SETTLED_NS = 2_000_000_000
 
@@ -53,7 +57,7 @@ class ListingSource(DataSource):
 class ListingReader(DataSourceStreamReader):
     def __init__(self, path: str, log: str) -> None:
         self.path, self.log = path.rstrip("/") or "/", log.rstrip("/")
-        self.seen: set[int] | None = None  # 8 bytes for each file ever listed
+        self.seen: np.ndarray | None = None  # sorted hashes: 8 bytes for each file ever listed
         self.position = 0
         self.folders: dict[str, tuple[int, list[str]]] = {}  # when each was last changed, and its subfolders
 
@@ -84,12 +88,24 @@ class ListingReader(DataSourceStreamReader):
 
     def _load(self) -> None:
         if self.seen is None:
-            self.seen = set()
+            self.seen = np.empty(0, np.int64)
             for first, path in self._files():
                 table = self._read(path)
-                self.seen.update(map(hash, zip(*[c.to_pylist() for c in table.columns])))
+                for batch in table.to_batches(max_chunksize=AT_ONCE):
+                    self._unseen(list(zip(*[c.to_pylist() for c in batch.columns])))
                 self.position = first + table.num_rows
 
+    def _unseen(self, rows: list[tuple]) -> list[tuple]:
+        """Those of rows that were not seen before; now they are."""
+        hashes = np.fromiter(map(hash, rows), np.int64, len(rows))
+        hashes, firsts = np.unique(hashes, return_index=True)
+        at = np.searchsorted(self.seen, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.seen)
+        new[inside] = self.seen[at[inside]] != hashes[inside]
+        self.seen = np.insert(self.seen, at[new], hashes[new])
+        return [rows[i] for i in firsts[new]]
+
     # --- what there is ---
 
     def _mounted(self, base: str) -> Iterator[tuple]:
@@ -102,16 +118,18 @@ class ListingReader(DataSourceStreamReader):
                 if known is not None and known[0] == changed:
                     waiting += known[1]
                     continue
-                entries = list(os.scandir(folder))
+                entries = os.scandir(folder)
             except FileNotFoundError:
                 continue
-            below = [e.path for e in entries if e.is_dir(follow_symlinks=False)]
-            newest = changed
-            for e in entries:
-                if e.is_file() and not _is_partial(e.name):
-                    info = e.stat()
-                    newest = max(newest, info.st_mtime_ns)
-                    yield e.path, info.st_size, info.st_mtime_ns
+            below, newest = [], changed
+            with entries:
+                for e in entries:
+                    if e.is_dir(follow_symlinks=False):
+                        below.append(e.path)
+                    elif e.is_file() and not _is_partial(e.name):
+                        info = e.stat()
+                        newest = max(newest, info.st_mtime_ns)
+                        yield e.path, info.st_size, info.st_mtime_ns
             now = self._now()
             if now - newest > SETTLED_NS:
                 self.folders[folder] = (changed, below)
@@ -130,9 +148,13 @@ class ListingReader(DataSourceStreamReader):
             yield from self._mounted(path)
             return
         filesystem, name, prefix = filesystem_of(self.path)
-        for f in filesystem.get_file_info(fs.FileSelector(name, recursive=True)):
-            if f.type == fs.FileType.File and not _is_partial(f.base_name):
-                yield prefix + f.path, f.size, f.mtime_ns
+        waiting = [name]
+        while waiting:
+            for f in filesystem.get_file_info(fs.FileSelector(waiting.pop())):
+                if f.type == fs.FileType.Directory:
+                    waiting.append(f.path)
+                elif f.type == fs.FileType.File and not _is_partial(f.base_name):
+                    yield prefix + f.path, f.size, f.mtime_ns
 
     # --- the source ---
 
@@ -141,13 +163,10 @@ class ListingReader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         self._load()
-        fresh = []
-        for row in self._listed():
-            if hash(row) not in self.seen:
-                self.seen.add(hash(row))
-                fresh.append(row)
-        if fresh:
-            self._append(sorted(fresh))
+        found = self._listed()
+        while rows := list(islice(found, AT_ONCE)):
+            if fresh := self._unseen(rows):
+                self._append(sorted(fresh))
         return {"position": self.position}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
