@@ -20,7 +20,7 @@ from partwise.operators.crypto import attach_keys, decrypted
 from partwise.operators.parts import n_parts
 from partwise.sources.files import filesystem_of
 from partwise.sources.objects import tasks_for
-from partwise.sources.scratch import materialise
+from partwise.sources.scratch import materialise, sizes_as_unpacked
 from partwise.sources.segments import SEALED_BYTES, delete_segments, list_segments, move_ranges, read_segments, write_segments
 from partwise.sources.sinks import INDEX, append_index, bucket_id
 
@@ -41,6 +41,7 @@ ORPHAN_AGE = 24 * 3600
 class Store:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        sizes_as_unpacked(spark)
 
     def create(self) -> "Store":
         for name, schema in SCHEMAS.items():
