@@ -32,6 +32,7 @@ LEAST_COSINE = 0.3
 VIEWS = ((WINDOW, STEP, 0.3), (16, 8, 0.25))
 GRAIN = 8  # words whose latent vectors are added once; windows and steps are multiples of it
 TEXTS_AT_ONCE = 64  # whose latent vectors a task holds
+WINDOWS = 4096  # whose latent vectors are held at once
 PAIRS = 1 << 15  # of windows and benchmark passages compared word by word at once
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
 SHORT = 12  # items of fewer words are found as a run of just these words
@@ -139,7 +140,10 @@ def _grains(texts: list[np.ndarray], weighted: np.ndarray) -> tuple[np.ndarray,
 
 def _windows(grains: np.ndarray, grain: np.ndarray, past: np.ndarray, n: int) -> np.ndarray:
     """Sums of n grains from each of `grain` on; those from `past` on are behind the text's end."""
-    return sum(grains[np.where(grain + g < past, grain + g, len(grains) - 1)] for g in range(n))
+    out = grains[np.where(grain < past, grain, len(grains) - 1)]
+    for g in range(1, n):
+        out += grains[np.where(grain + g < past, grain + g, len(grains) - 1)]
+    return out
 
 
 def _sum_runs(keys: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -200,10 +204,15 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndar
             square = np.maximum(np.bincount(passage, value * value, minlength=len(of)), 1e-9).astype(np.float32)
             grains, at_grain = _grains(texts, start * idf[:, None])
             # rows of A are of length 1: one division for A and one for its transpose
-            reduced = _windows(grains, at_grain[of] + first // GRAIN, at_grain[of + 1], WINDOW // GRAIN) / square[:, None]
-            value = value[:, None]
-            order = np.argsort(term, kind="stable")
-            total += _sum_runs(term[order], value[order] * reduced[passage[order]], n_terms)
+            grain, past = at_grain[of] + first // GRAIN, at_grain[of + 1]
+            for a in range(0, len(of), WINDOWS):  # long texts have many passages, and a row for each term of each
+                reduced = _windows(grains, grain[a : a + WINDOWS], past[a : a + WINDOWS], WINDOW // GRAIN)
+                reduced /= square[a : a + WINDOWS, None]
+                low, high = np.searchsorted(passage, (a, a + WINDOWS))
+                order = low + np.argsort(term[low:high], kind="stable")
+                rows = reduced[passage[order] - a]
+                rows *= value[order, None]
+                total += _sum_runs(term[order], rows, n_terms)
         rows = np.flatnonzero(total.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(rows), *[pa.array(total[rows, i]) for i in range(rank)]], ["term", *[f"c{i}" for i in range(rank)]])
 
@@ -248,11 +257,11 @@ def _matches(texts: list[np.ndarray], items, idf: np.ndarray, space: np.ndarray,
     for window, step, least_shared in VIEWS if len(items.passages) else ():
         passage, term, n, of, first = _passages(texts, len(idf), step, window)
         grain, past = at_grain[of] + first // GRAIN, at_grain[of + 1]
-        reduced = _windows(grains, grain, past, window // GRAIN)
-        reduced = reduced / np.maximum(np.linalg.norm(reduced, axis=1), 1e-9)[:, None]
         begins = np.searchsorted(passage, np.arange(len(of) + 1))
-        for a in range(0, len(of), 4096):
-            cosine = reduced[a : a + 4096] @ latent.T
+        for a in range(0, len(of), WINDOWS):
+            reduced = _windows(grains, grain[a : a + WINDOWS], past[a : a + WINDOWS], window // GRAIN)
+            reduced /= np.maximum(np.linalg.norm(reduced, axis=1), 1e-9)[:, None]
+            cosine = reduced @ latent.T
             near = np.flatnonzero(cosine.ravel() >= LEAST_COSINE)
             for b in range(0, len(near), PAIRS):
                 at, k = np.divmod(near[b : b + PAIRS], len(latent))
