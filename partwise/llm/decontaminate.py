@@ -7,7 +7,8 @@ its passages, the sums are added by term, and the few columns are factored. In t
 scaled by the singular values, passages of documents (of two lengths, overlapping by half) and of the
 benchmark are compared by cosine. A candidate has to share enough words with the item, and then the longest
 common subsequence of words decides: a near-verbatim copy by itself, a paraphrase only if the words of
-the item's answer are there too.
+the item's answer are there too. Terms are also marked as bits, by window and around it: where more of an item's bits
+lack than words may, the words are not compared.
 
 The benchmark is searched in blocks of a bounded number of items, which are what is broadcast.
 """
@@ -15,6 +16,7 @@ The benchmark is searched in blocks of a bounded number of items, which are what
 from __future__ import annotations
 
 import re
+from itertools import repeat
 from types import SimpleNamespace
 
 import numpy as np
@@ -30,9 +32,11 @@ LEAST_COSINE = 0.3
 # Windows in which documents are searched: words, step, and the share of a benchmark passage's words that has
 # to be in one before the subsequence is sought. The short ones are for short items and thin paraphrases.
 VIEWS = ((WINDOW, STEP, 0.3), (16, 8, 0.25))
-GRAIN = 8  # words whose latent vectors are added once; windows and steps are multiples of it
-TEXTS_AT_ONCE = 64  # whose latent vectors a task holds
-WINDOWS = 4096  # whose latent vectors are held at once
+GRAIN = 8  # words whose latent vectors are added once; short windows are two of these, long ones two short ones
+# Bits in which the terms of a place are marked, those around it and its own: what lacks too many is compared no further.
+BITS, NARROW = 1024, 256
+TEXTS_AT_ONCE, WORDS_AT_ONCE = 64, 1 << 17  # whose latent vectors a task holds; of more words, one text
+WINDOWS = 1024  # whose latent vectors are held at once
 PAIRS = 1 << 15  # of windows and benchmark passages compared word by word at once
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
 SHORT = 12  # items of fewer words are found as a run of just these words
@@ -104,61 +108,97 @@ def common_subsequence(masks: dict[int, int], n: int, other: list[int]) -> int:
     return n - row.bit_count()
 
 
-def _passages(texts: list[np.ndarray], n_terms: int, step: int, window: int = WINDOW) -> tuple[np.ndarray, ...]:
-    """Counts of terms by passage: (passage, term, count), and each passage's text and first word."""
-    ns = np.array([max(1, -(-(len(t) - window + step) // step)) for t in texts])
-    first = np.concatenate([[0], np.cumsum(ns)])
-    all_terms = np.concatenate(texts)
-    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    place = np.arange(len(all_terms)) - np.repeat(np.cumsum([0, *[len(t) for t in texts[:-1]]]), [len(t) for t in texts])
-    hit = np.flatnonzero(all_terms >= 0)
-    block, text, term = place[hit] // step, text[hit], all_terms[hit].astype(np.int64)
-    keys = []
-    for back in range(window // step):
-        at = block - back
-        ok = (at >= 0) & (at < ns[text])
-        keys.append((first[text[ok]] + at[ok]) * n_terms + term[ok])
-    key, n = np.unique(np.concatenate(keys), return_counts=True)
-    of = np.repeat(np.arange(len(texts)), ns)
-    return key // n_terms, key % n_terms, n, of, (np.arange(first[-1]) - first[of]) * step
-
-
-def _grains(texts: list[np.ndarray], weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of the vectors of every GRAIN words, a row of zeros behind them, and each text's first."""
-    first = np.cumsum([0, *[max(1, -(-len(t) // GRAIN)) for t in texts]])
-    lengths = np.array([len(t) for t in texts])
-    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    words_of = np.full((int(first[-1]) + 1) * GRAIN, -1, np.int32)
-    words_of[np.repeat(first[:-1] * GRAIN, lengths) + place] = np.concatenate(texts)
-    words_of = words_of.reshape(-1, GRAIN)
-    weighted = np.vstack([weighted, np.zeros((1, weighted.shape[1]), weighted.dtype)])  # row -1: no term
-    out = weighted[words_of[:, 0]]
-    for i in range(1, GRAIN):
-        out += weighted[words_of[:, i]]
-    return out, first
-
-
-def _windows(grains: np.ndarray, grain: np.ndarray, past: np.ndarray, n: int) -> np.ndarray:
-    """Sums of n grains from each of `grain` on; those from `past` on are behind the text's end."""
-    out = grains[np.where(grain < past, grain, len(grains) - 1)]
-    for g in range(1, n):
-        out += grains[np.where(grain + g < past, grain + g, len(grains) - 1)]
+def _laid_out(values: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of the lengths in rows of `size`, each from a row of its own, filled up with -1, as is a row behind them; each list's first row."""
+    first = np.concatenate([[0], np.cumsum(np.maximum(1, -(-lengths // size)))])
+    place = np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    rows = np.full((int(first[-1]) + 1) * size, -1, np.int64)
+    rows[np.repeat(first[:-1] * size, lengths) + place] = values
+    return rows.reshape(-1, size), first
+
+
+def _words_in_rows(texts: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    return _laid_out(np.concatenate(texts), np.array([len(t) for t in texts]), size)
+
+
+def _counts(passages: np.ndarray, n_terms: int) -> tuple[np.ndarray, ...]:
+    """Counts of terms by passage, which are rows of WINDOW words: (passage, term, count)."""
+    words_of = passages.ravel()
+    hit = np.flatnonzero(words_of >= 0)
+    key, n = np.unique(hit // WINDOW * n_terms + words_of[hit], return_counts=True)
+    return key // n_terms, key % n_terms, n
+
+
+def _with_zeros(table: np.ndarray) -> np.ndarray:
+    return np.vstack([table, np.zeros((1, table.shape[1]), table.dtype)])  # row -1: no term
+
+
+def _over_words(table: np.ndarray, rows: np.ndarray, add=np.add) -> np.ndarray:
+    """What the words of each row have in a table by term, added."""
+    out = table.take(rows[:, 0], 0)
+    for i in range(1, rows.shape[1]):
+        add(out, table.take(rows[:, i], 0), out=out)
     return out
 
 
-def _sum_runs(keys: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows with equal keys, which lie together."""
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    if len(keys):
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        out[keys[starts]] = np.add.reduceat(rows, starts)
+def _bits_of_terms(n_terms: int) -> np.ndarray:
+    """One bit of BITS for each term, none for -1."""
+    out, term = np.zeros((n_terms + 1, BITS // 64), np.uint64), np.arange(n_terms)
+    out[term, term % BITS // 64] = np.uint64(1) << (term % 64).astype(np.uint64)
     return out
 
 
+def _bits_of(bits: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    return np.array([np.bitwise_or.reduce(bits[s]) for s in sets], np.uint64).reshape(-1, bits.shape[1])
+
+
+def _narrow(signs: np.ndarray) -> np.ndarray:
+    return np.bitwise_or.reduce(signs.reshape(len(signs), -1, NARROW // 64), 1)
+
+
+def _unions(signs: np.ndarray, longest: int) -> np.ndarray:
+    """Bits of the 1, 2, 4, ... rows from each row on, up to the longest run of rows that is asked for."""
+    out = np.empty((max(1, longest).bit_length(), *signs.shape), signs.dtype)
+    out[0] = signs
+    for level in range(1, len(out)):
+        half = 1 << level - 1
+        out[level] = out[level - 1]
+        out[level, :-half] |= out[level - 1, half:]
+    return out
+
+
+def _missing(signs: np.ndarray, which: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Bits of each of `which` that are not there: so many of its words at least are not."""
+    return np.bitwise_count(signs.take(which, 0) & ~there).sum(1, dtype=np.int64)
+
+
+def _add_runs(total: np.ndarray, keys: np.ndarray, at: np.ndarray, table: np.ndarray) -> None:
+    """Adds rows `at` of a table, whose last is zeros, to those of total that keys name; equal keys lie together."""
+    while len(keys):
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        if len(starts) == len(keys):
+            total[keys] += table.take(at, 0)
+            return
+        rows, first = _laid_out(at, np.diff(starts, append=len(keys)), 4)  # four at a time: faster than reduceat
+        table = _over_words(table, rows)
+        keys = np.repeat(keys[starts], np.diff(first))
+        at = np.arange(len(keys))
+
+
 def _terms(batch: pa.RecordBatch, column: int) -> list[np.ndarray]:
     return [np.frombuffer(t, np.int32) for t in batch.column(column).to_pylist()]
 
 
+def _slices(batches):
+    """Slices of record batches and their texts: TEXTS_AT_ONCE, or fewer where they are long."""
+    for batch in in_slices(batches, TEXTS_AT_ONCE):
+        texts = _terms(batch, 0)
+        part = np.cumsum([len(t) for t in texts]) // WORDS_AT_ONCE
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        for a, b in zip(starts, [*starts[1:], len(texts)]):
+            yield batch.slice(a, b - a), texts[a:b]
+
+
 def numbered(docs: DataFrame, items, id_col: str, text_col: str) -> DataFrame:
     """Documents as term numbers (-1: no term of the benchmark), and for each task the frequencies."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -168,10 +208,10 @@ def numbered(docs: DataFrame, items, id_col: str, text_col: str) -> DataFrame:
         n_terms, seen, passages = len(items.value.terms), None, 0
         for batch in in_slices(batches):
             cut = [raw.decode("utf-8", "replace") for raw in batch.column(1).to_pylist()]
-            texts = [np.array([get(w, -1) for w in words(t)], np.int32) for t in cut]
-            _, term, _, of, _ = _passages(texts, n_terms, WINDOW)
-            found = np.bincount(term, minlength=n_terms)
-            seen, passages = found if seen is None else seen + found, passages + len(of)
+            texts = [np.fromiter(map(get, ws, repeat(-1)), np.int32, len(ws)) for ws in map(words, cut)]
+            rows, first = _words_in_rows(texts, WINDOW)
+            found = np.bincount(_counts(rows, n_terms)[1], minlength=n_terms)
+            seen, passages = found if seen is None else seen + found, passages + int(first[-1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([t.tobytes() for t in texts], pa.binary()), pa.nulls(len(texts), pa.list_(pa.int64())), pa.nulls(len(texts), pa.int64())],
                 ["id", "terms", "seen", "passages"],
@@ -197,22 +237,21 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndar
     def project(batches):
         idf, start = shared.value
         total = np.zeros((n_terms, rank))
-        for batch in in_slices(batches, TEXTS_AT_ONCE):
-            texts = _terms(batch, 0)
-            passage, term, n, of, first = _passages(texts, n_terms, WINDOW)
+        weighted = _with_zeros(start * idf[:, None])
+        for _, texts in _slices(batches):
+            rows, first = _words_in_rows(texts, WINDOW)
+            passage, term, n = _counts(rows, n_terms)
             value = (n * idf[term]).astype(np.float32)
-            square = np.maximum(np.bincount(passage, value * value, minlength=len(of)), 1e-9).astype(np.float32)
-            grains, at_grain = _grains(texts, start * idf[:, None])
+            square = np.maximum(np.bincount(passage, value * value, minlength=first[-1]), 1e-9).astype(np.float32)
+            reduced = _over_words(weighted, rows)
             # rows of A are of length 1: one division for A and one for its transpose
-            grain, past = at_grain[of] + first // GRAIN, at_grain[of + 1]
-            for a in range(0, len(of), WINDOWS):  # long texts have many passages, and a row for each term of each
-                reduced = _windows(grains, grain[a : a + WINDOWS], past[a : a + WINDOWS], WINDOW // GRAIN)
-                reduced /= square[a : a + WINDOWS, None]
-                low, high = np.searchsorted(passage, (a, a + WINDOWS))
-                order = low + np.argsort(term[low:high], kind="stable")
-                rows = reduced[passage[order] - a]
-                rows *= value[order, None]
-                total += _sum_runs(term[order], rows, n_terms)
+            reduced[:-1] /= square[:, None]
+            for a in range(0, len(rows), WINDOWS):  # long texts have many words, and a row for each
+                at = rows[a : a + WINDOWS].ravel()
+                order = np.flatnonzero(at >= 0)
+                order = order[np.argsort(at[order].astype(np.min_scalar_type(n_terms)), kind="stable")]
+                _add_runs(total, at[order], a + order // WINDOW, reduced)
+        total *= idf[:, None]
         rows = np.flatnonzero(total.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(rows), *[pa.array(total[rows, i]) for i in range(rank)]], ["term", *[f"c{i}" for i in range(rank)]])
 
@@ -248,48 +287,91 @@ def _runs_of(short: list[int], items, texts: list[np.ndarray], idf: np.ndarray):
                     yield t, item, lo
 
 
-def _matches(texts: list[np.ndarray], items, idf: np.ndarray, space: np.ndarray, latent: np.ndarray, counts: np.ndarray):
-    """(text, item, similarity, cosine, first word) of what passes all checks."""
-    best: dict[tuple[int, int], tuple[float, float, int]] = {}
+def _candidates(texts: list[np.ndarray], items, model) -> list[list[tuple[int, int, int, float]]]:
+    """For each of VIEWS, (text, benchmark passage, first word, cosine) of near windows, but for those that lack too
+    many words of the passage, or with the words around them too many of the item, by the bits of their terms."""
+    rows, first = _words_in_rows(texts, GRAIN)
+    n_words = np.array([len(t) for t in texts])
+    text = np.repeat(np.arange(len(texts)), np.diff(first))
+    row, last = np.arange(len(text)), len(text)
+    place = (row - first[text]) * GRAIN
+
+    def after(n: int) -> np.ndarray:
+        return np.where(row + n < first[text + 1], row + n, last)
+
+    lengths = np.array([len(w) for w in items.words])
     sizes = np.array([len(p) for p in items.passages])
-    there = np.zeros(len(idf) + 1, bool)  # -1, no term, is the last
-    grains, at_grain = _grains(texts, space * idf[:, None]) if len(items.passages) else (None, None)
-    for window, step, least_shared in VIEWS if len(items.passages) else ():
-        passage, term, n, of, first = _passages(texts, len(idf), step, window)
-        grain, past = at_grain[of] + first // GRAIN, at_grain[of + 1]
-        begins = np.searchsorted(passage, np.arange(len(of) + 1))
-        for a in range(0, len(of), WINDOWS):
-            reduced = _windows(grains, grain[a : a + WINDOWS], past[a : a + WINDOWS], window // GRAIN)
+    # windows from each row on: two rows, and then two of these; the last row has no terms
+    latent, signs = _over_words(model.weighted, rows), _over_words(model.bits, rows, np.bitwise_or)
+    around = _unions(signs, int(min(2 * lengths.max() + WINDOW, n_words.max())) // GRAIN + 2)
+    signs = _narrow(signs)
+    found: list[list[tuple[int, int, int, float]]] = []
+    for n_rows, (window, step, least_shared) in zip((1, 2), reversed(VIEWS)):
+        latent[:-1] += latent.take(after(n_rows), 0)
+        signs[:-1] |= signs.take(after(n_rows), 0)
+        begin = np.flatnonzero((place % step == 0) & ((place == 0) | (place < n_words[text] - window + step)))
+        found.insert(0, [])
+        for a in range(0, len(begin), WINDOWS):
+            at = begin[a : a + WINDOWS]
+            reduced = latent.take(at, 0)
             reduced /= np.maximum(np.linalg.norm(reduced, axis=1), 1e-9)[:, None]
-            cosine = reduced @ latent.T
+            cosine = reduced @ model.latent.T
             near = np.flatnonzero(cosine.ravel() >= LEAST_COSINE)
             for b in range(0, len(near), PAIRS):
-                at, k = np.divmod(near[b : b + PAIRS], len(latent))
-                lengths = (begins[a + at + 1] - begins[a + at]).astype(np.int64)
-                pair = np.repeat(np.arange(len(at)), lengths)
-                entry = np.repeat(begins[a + at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-                shared = np.bincount(pair, np.minimum(n[entry], counts.ravel().take((k * len(idf))[pair] + term[entry])), minlength=len(at))
-                for i in np.flatnonzero(shared >= least_shared * sizes[k]).tolist():
-                    t, item = int(of[a + at[i]]), int(items.item[k[i]])
-                    own, start, close = items.words[item], int(first[a + at[i]]), float(cosine[at[i], k[i]])
-                    if best.get((t, item), (0,))[0] == 1.0:
-                        continue
-                    lo = max(0, start - len(own))
-                    region = texts[t][lo : start + window + len(own)]
-                    there[region] = True
-                    hope = np.count_nonzero(there[own])  # no subsequence is longer
-                    there[region] = False
-                    if hope < PARAPHRASE * len(own):
-                        continue
-                    region = region.tolist()
-                    similar = common_subsequence(items.masks[item], len(own), region) / len(own)
-                    if similar >= VERBATIM or similar >= PARAPHRASE and _told(items.answers[item], region) >= ANSWER:
-                        best[t, item] = max(best.get((t, item), (0.0, 0.0, 0)), (similar, close, lo))
-    for t, item, lo in _runs_of(items.short, items, texts, idf) if items.short else ():
+                which, k = np.divmod(near[b : b + PAIRS], len(sizes))
+                enough = sizes[k] - _missing(model.passage_bits, k, signs.take(at[which], 0)) >= least_shared * sizes[k]
+                which, k = which[enough], k[enough]
+                t, start, length = text[at[which]], place[at[which]], lengths[items.item[k]]
+                low = first[t] + np.maximum(0, start - length) // GRAIN
+                n = first[t] + -(-np.minimum(n_words[t], start + window + length) // GRAIN) - low
+                level = np.frexp(n)[1] - 1
+                there = around[level, low] | around[level, low + n - (1 << level)]
+                enough = length - _missing(model.item_bits, items.item[k], there) >= PARAPHRASE * length
+                found[0] += zip(*[x[enough].tolist() for x in (t, k, start, cosine[which, k])])
+    return found
+
+
+def _matches(texts: list[np.ndarray], items, model):
+    """(text, item, similarity, cosine, first word) of what passes all checks."""
+    best: dict[tuple[int, int], tuple[float, float, int]] = {}
+    there = np.zeros(len(model.idf) + 1, bool)  # -1, no term, is the last
+    for (window, _, least_shared), near in zip(VIEWS, _candidates(texts, items, model) if items.passages else ()):
+        for t, k, start, close in near:
+            item = int(items.item[k])
+            if best.get((t, item), (0,))[0] == 1.0:
+                continue
+            own, lo = items.words[item], max(0, start - len(items.words[item]))
+            region = texts[t][lo : start + window + len(own)]
+            there[region] = True
+            hope = np.count_nonzero(there[own])  # no subsequence is longer
+            there[region] = False
+            if hope < PARAPHRASE * len(own):
+                continue
+            term, n = np.unique(texts[t][start : start + window], return_counts=True)
+            if np.minimum(n, model.counts[k, term] * (term >= 0)).sum() < least_shared * len(items.passages[k]):
+                continue
+            region = region.tolist()
+            similar = common_subsequence(items.masks[item], len(own), region) / len(own)
+            if similar >= VERBATIM or similar >= PARAPHRASE and _told(items.answers[item], region) >= ANSWER:
+                best[t, item] = max(best.get((t, item), (0.0, 0.0, 0)), (similar, close, lo))
+    for t, item, lo in _runs_of(items.short, items, texts, model.idf) if items.short else ():
         best.setdefault((t, item), (1.0, 1.0, lo))
     return [(t, i, *b) for (t, i), b in best.items()]
 
 
+def _model(items: Items, idf: np.ndarray, space: np.ndarray) -> SimpleNamespace:
+    latent = items.vectors(idf) @ space if items.passages else np.zeros((0, space.shape[1]), np.float32)
+    latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
+    counts = np.zeros((len(items.passages), len(idf)), np.uint8)
+    for row, passage in zip(counts, items.passages):
+        np.add.at(row, passage, 1)
+    bits = _bits_of_terms(len(idf))
+    return SimpleNamespace(
+        idf=idf, weighted=_with_zeros(space * idf[:, None]), latent=latent, counts=counts, bits=bits,
+        passage_bits=_narrow(_bits_of(bits, items.passages)), item_bits=_bits_of(bits, items.words),
+    )
+
+
 def _search(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -305,16 +387,11 @@ def _search(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFr
     asked = np.isin(np.arange(len(seen)), np.concatenate(items.words))
     idf = (asked * (np.log((n + 1) / (seen + 1)) + 0.3)).astype(np.float32)
     space = latent_space(texts, idf)
-    latent = items.vectors(idf) @ space if items.passages else np.zeros((0, space.shape[1]), np.float32)
-    latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
-    counts = np.zeros((len(items.passages), len(idf)), np.uint8)
-    for row, passage in zip(counts, items.passages):
-        np.add.at(row, passage, 1)
-    model = spark.sparkContext.broadcast((idf, space, latent, counts))
+    model = spark.sparkContext.broadcast(_model(items, idf, space))
 
     def search(batches):
-        for batch in in_slices(batches, TEXTS_AT_ONCE):
-            found = _matches(_terms(batch, 0), shared.value, *model.value)
+        for batch, texts in _slices(batches):
+            found = _matches(texts, shared.value, model.value)
             rows = pa.array([f[0] for f in found], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
